@@ -1,0 +1,94 @@
+"""Run registered queries in Spark and their oracle SQL in DuckDB, compare.
+
+Usage: python tests/oracle_compare.py [sf_dir] [name ...]
+Comparison: row count, column names (sorted), and the multiset of rows with
+columns in name order; values are normalised (timestamps/dates to ISO text,
+floats to 9 significant digits) before hashing.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+from collections import Counter
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.9g}")
+    if isinstance(v, decimal.Decimal):
+        return float(f"{float(v):.9g}")
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    return v
+
+
+def duck(sf_dir: str):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def rows_spark(df):
+    cols = sorted(df.columns)
+    return cols, [tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect()]
+
+
+def rows_duck(con, sql):
+    cur = con.execute(sql)
+    names = [d[0] for d in cur.description]
+    data = cur.fetchall()
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return [names[i] for i in order], [tuple(_norm(r[i]) for i in order) for r in data]
+
+
+def compare(spark, sf_dir, names=None, verbose=True):
+    import __spark_entry__ as E
+    qs, ors = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    results = {}
+    for name in (names or list(qs)):
+        df = qs[name](spark, sf_dir)
+        scols, srows = rows_spark(df)
+        if name not in ors:
+            results[name] = ("rows-only", len(srows))
+            if verbose:
+                print(f"{name:28s} rows-only  spark={len(srows)}")
+            continue
+        dcols, drows = rows_duck(con, ors[name])
+        ok_cols = scols == dcols
+        ok_rows = Counter(srows) == Counter(drows)
+        results[name] = (ok_cols and ok_rows, len(srows), len(drows))
+        if verbose:
+            print(f"{name:28s} {'OK ' if ok_cols and ok_rows else 'BAD'} spark={len(srows)} duck={len(drows)}"
+                  + ("" if ok_cols else f"\n   cols spark={scols}\n   cols duck ={dcols}"))
+            if ok_cols and not ok_rows:
+                a, b = Counter(srows), Counter(drows)
+                print("   only spark:", list((a - b).elements())[:3])
+                print("   only duck :", list((b - a).elements())[:3])
+    return results
+
+
+if __name__ == "__main__":
+    from ledgerflow.session import build_session
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = build_session(master="local[8]", shuffle_partitions=8)
+    compare(spark, sf, sys.argv[2:] or None)
