@@ -112,3 +112,194 @@ def q_surrogate_key(spark, sf_dir):
         "transaction_id", "posted_at", "card_id",
         surrogate_key(rows, ["transaction_id", "posted_at"]).alias("event_key"),
         surrogate_key(rows, ["_d", "card_id", "is_international", "amount"]).alias("mixed_key"))
+
+
+# ---------------------------------------------------------------- ingest / landing / load
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerflow.session import scratch_path  # noqa: E402
+from ledgerflow.sources import landing as L  # noqa: E402
+from ledgerflow.sources import loader as LD  # noqa: E402
+from ledgerflow.sources.json_files import (  # noqa: E402
+    read_array_payloads, read_raw_transactions,
+)
+
+# JSON text that replaces every 97th landed element (a string,
+# not a record).
+BAD_ELEMENT = '"{bad"'
+
+
+def _land_transactions(spark, sf_dir, root, batch_size=L.BATCH_SIZE, payload=None):
+    rows = fx.raw_transaction_rows(spark, sf_dir)
+    return L.land(rows, root, "transactions", TRANSACTION_COLUMNS, "loaded_at",
+                  batch_size=batch_size, payload=payload)
+
+
+@register("bad_json_rejects", O.with_(O.EV, O.RAW_TX) + """
+SELECT CAST(loaded_at AS DATE) AS load_date, COUNT(*) AS rows_total,
+       COUNT(*) FILTER (WHERE event_id % 97 <> 0) AS rows_parsed,
+       COUNT(*) FILTER (WHERE event_id % 97 = 0) AS rows_rejected
+FROM raw_tx GROUP BY 1""")
+def q_bad_json_rejects(spark, sf_dir):
+    """Unparseable payloads become all-NULL rows and are counted as rejects."""
+    raw = fx.raw_transactions(spark, sf_dir, corrupt_every=fx.BAD_PAYLOAD_EVERY)
+    parsed = parse_raw(raw, TRANSACTION_FIELDS, None, None)
+    return (parsed.groupBy(F.to_date("_loaded_at").alias("load_date"))
+                  .agg(F.count(F.lit(1)).alias("rows_total"),
+                       F.count_if(F.col("transaction_id").isNotNull()).alias("rows_parsed"),
+                       F.count_if(F.col("transaction_id").isNull()).alias("rows_rejected")))
+
+
+@register("outer_array_rows", O.with_(O.EV, O.RAW_TX) + f"""
+SELECT {O.landing_part()} AS source_partition, {O.TX_FIELDS}, TRUE AS has_position
+FROM raw_tx""")
+def q_outer_array_rows(spark, sf_dir):
+    """Land JSON-array files, strip the outer array, keep provenance."""
+    root = scratch_path(spark, "outer_array")
+    res = _land_transactions(spark, sf_dir, root)
+    rows = read_array_payloads(spark, res.prefix)
+    v = rows.select(LD.landing_partition_of("source_file").alias("source_partition"),
+                    F.col("source_row").between(0, L.BATCH_SIZE - 1).alias("has_position"),
+                    F.try_parse_json("raw_payload").alias("_v"))
+    return v.select("source_partition",
+                    *[F.try_variant_get("_v", f"$.{n}", t.simpleString()).alias(n)
+                      for n, t in TRANSACTION_FIELDS], "has_position")
+
+
+# The extraction window used by the registered query.
+EXTRACT_START = "2024-01-10 00:00:00"
+EXTRACT_END = "2024-01-20 00:00:00"
+
+
+@register("extract_hour_window", O.with_(O.EV, O.RAW_TX) + f"""
+SELECT date_trunc('hour', posted_at) AS window_start,
+       date_trunc('hour', posted_at) + INTERVAL 1 HOUR AS window_end,
+       COUNT(*) AS records, min(posted_at) AS first_ts, max(posted_at) AS last_ts
+FROM raw_tx
+WHERE posted_at >= TIMESTAMP '{EXTRACT_START}' AND posted_at < TIMESTAMP '{EXTRACT_END}'
+GROUP BY 1, 2""")
+def q_extract_hour_window(spark, sf_dir):
+    """Half-open [start, end) extraction window, bucketed into hourly runs."""
+    import datetime as dt
+    start = dt.datetime.fromisoformat(EXTRACT_START)
+    end = dt.datetime.fromisoformat(EXTRACT_END)
+    rows = L.extract_window(fx.raw_transaction_rows(spark, sf_dir), "posted_at", start, end)
+    ws = F.date_trunc("hour", "posted_at").cast("timestamp_ntz")
+    return (rows.groupBy(ws.alias("window_start"))
+                .agg(F.count(F.lit(1)).alias("records"), F.min("posted_at").alias("first_ts"),
+                     F.max("posted_at").alias("last_ts"))
+                .withColumn("window_end", (F.col("window_start") + F.expr("INTERVAL 1 HOUR"))
+                            .cast("timestamp_ntz")))
+
+
+@register("extract_payment_types", O.with_(O.EV, O.RAW_PAY) + f"""
+SELECT {O.PAY_FIELDS} FROM raw_pay WHERE payment_type IN ('ACH', 'WIRE', 'BILLPAY')""")
+def q_extract_payment_types(spark, sf_dir):
+    """Payment events restricted to ACH, WIRE, BILLPAY."""
+    return L.payment_subset(fx.raw_payment_rows(spark, sf_dir)).select(*PAYMENT_COLUMNS)
+
+
+# A small chunk size so that the registered query exercises chunking.
+CHUNK_QUERY_BATCH = 25
+
+
+@register("landing_chunks", O.with_(O.EV, O.RAW_TX) + f"""
+SELECT {O.landing_part()} AS landing_partition, COUNT(*) AS records, TRUE AS within_cap
+FROM raw_tx GROUP BY 1""")
+def q_landing_chunks(spark, sf_dir):
+    """Hour-partitioned landing with at most N records per file."""
+    root = scratch_path(spark, "landing")
+    res = _land_transactions(spark, sf_dir, root, batch_size=CHUNK_QUERY_BATCH)
+    rows = read_array_payloads(spark, res.prefix)
+    per_file = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    return (per_file.groupBy(LD.landing_partition_of("source_file").alias("landing_partition"))
+                    .agg(F.sum("n").alias("records"),
+                         (F.max("n") <= CHUNK_QUERY_BATCH).alias("within_cap")))
+
+
+@register("load_metrics", O.with_(O.EV, O.RAW_TX) + """
+SELECT CAST(loaded_at AS DATE) AS landing_date,
+       COUNT(*) FILTER (WHERE event_id % 97 <> 0) AS rows_loaded,
+       COUNT(*) FILTER (WHERE event_id % 97 = 0) AS rows_errored,
+       CASE WHEN COUNT(*) FILTER (WHERE event_id % 97 = 0) = 0 THEN 'success' ELSE 'partial' END AS status
+FROM raw_tx GROUP BY 1""")
+def q_load_metrics(spark, sf_dir):
+    """Load landed arrays with bad elements; per-day load metrics."""
+    root = scratch_path(spark, "load_metrics")
+    bad = F.when(F.col("event_id") % fx.BAD_PAYLOAD_EVERY == 0, F.lit(BAD_ELEMENT)) \
+           .otherwise(fx.to_json_payload(TRANSACTION_COLUMNS))
+    res = _land_transactions(spark, sf_dir, root, payload=bad)
+    LD.load(spark, res.prefix, f"{root}/raw", f"{root}/ledger", AS_OF)
+    return LD.load_report(spark, f"{root}/ledger").drop("files_processed")
+
+
+@register("load_idempotent", O.with_(O.EV, O.RAW_TX) + """
+SELECT CAST(loaded_at AS DATE) AS landing_date, COUNT(*) AS rows_loaded, 1 AS loads,
+       0 AS second_run_files
+FROM raw_tx GROUP BY 1""")
+def q_load_idempotent(spark, sf_dir):
+    """Loading the same files twice adds nothing the second time."""
+    root = scratch_path(spark, "load_idempotent")
+    res = _land_transactions(spark, sf_dir, root)
+    LD.load(spark, res.prefix, f"{root}/raw", f"{root}/ledger", AS_OF)
+    second = LD.load(spark, res.prefix, f"{root}/raw", f"{root}/ledger", AS_OF)
+    raw = LD.read_raw_table(spark, f"{root}/raw", f"{root}/ledger")
+    return (raw.groupBy(LD.landing_date_of("source_file").alias("landing_date"))
+               .agg(F.count(F.lit(1)).alias("rows_loaded"),
+                    F.count_distinct("load_id").cast("int").alias("loads"))
+               .withColumn("second_run_files", F.lit(second.files_processed)))
+
+
+# ---------------------------------------------------------------- batch lane
+
+from ledgerflow.operators import transform as TR  # noqa: E402
+from ledgerflow.sources.catalog import register_partitioned_table  # noqa: E402
+
+
+def _batch_output(spark, sf_dir, name):
+    root = scratch_path(spark, name)
+    res = _land_transactions(spark, sf_dir, root)
+    raw = read_raw_transactions(spark, res.prefix)
+    out = TR.transform_transactions(raw, AS_OF)
+    TR.write_partitioned(out.select(*[f.name for f in TR.PROCESSED_SCHEMA.fields]),
+                         f"{root}/processed", ["event_date"],
+                         cluster_cols=["event_date", "transaction_type"],
+                         spread_col="transaction_id")
+    return f"{root}/processed"
+
+
+@register("batch_transform", O.with_(O.EV, O.RAW_TX, O.BATCH_LANE) + "SELECT * FROM batch")
+def q_batch_transform(spark, sf_dir):
+    """JSON arrays -> dedupe -> classify -> Parquet."""
+    return TR.read_processed(spark, _batch_output(spark, sf_dir, "batch"))
+
+
+@register("catalog_partitions", O.with_(O.EV, O.RAW_TX, O.BATCH_LANE) + """
+SELECT event_date, COUNT(*) AS rows_in_partition FROM batch GROUP BY 1""")
+def q_catalog_partitions(spark, sf_dir):
+    """Register the processed output as a table; partitions found by recovery."""
+    import uuid
+    path = _batch_output(spark, sf_dir, "catalog")
+    name = f"processed_transactions_{uuid.uuid4().hex[:8]}"
+    t = register_partitioned_table(spark, name, path, TR.PROCESSED_SCHEMA, ["event_date"])
+    return t.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_in_partition"))
+
+
+@register("clustered_write", O.with_(*O.chain(None)) + """
+SELECT event_date, COUNT(*) AS rows_written, TRUE AS files_sorted FROM int_ev GROUP BY 1""")
+def q_clustered_write(spark, sf_dir):
+    """Events written by event_date, each file sorted by transaction_type."""
+    from pyspark.sql import Window
+    root = scratch_path(spark, "clustered")
+    ev = int_events(spark, sf_dir)
+    TR.write_partitioned(ev, f"{root}/events", ["event_date"],
+                         cluster_cols=["event_date", "transaction_type"], spread_col="event_key")
+    back = spark.read.parquet(f"{root}/events").select(
+        "event_date", "transaction_type", F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"))
+    w = Window.partitionBy("_file").orderBy("_row")
+    back = back.withColumn("_ok", F.coalesce(
+        F.lag("transaction_type").over(w) <= F.col("transaction_type"), F.lit(True)))
+    return back.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_written"),
+                                          F.bool_and("_ok").alias("files_sorted"))
