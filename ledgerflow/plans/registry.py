@@ -303,3 +303,99 @@ def q_clustered_write(spark, sf_dir):
         F.lag("transaction_type").over(w) <= F.col("transaction_type"), F.lit(True)))
     return back.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_written"),
                                           F.bool_and("_ok").alias("files_sorted"))
+
+
+# ---------------------------------------------------------------- incremental
+
+import datetime as _dt  # noqa: E402
+
+from ledgerflow.operators.events import EVENT_COLUMNS  # noqa: E402
+from ledgerflow.operators.merge import merge_by_key, read_table, write_full  # noqa: E402
+from ledgerflow.plans import incremental as INC  # noqa: E402
+
+# Data loaded up to this instant forms the first run.
+CUTOFF = _dt.datetime(2024, 1, 20, 0, 0, 0)
+CUTOFF_SQL = "TIMESTAMP '2024-01-20 00:00:00'"
+
+
+def _staged_until(spark, sf_dir, tx_cutoff, pay_cutoff, as_of):
+    rt = fx.raw_transactions(spark, sf_dir)
+    rp = fx.raw_payments(spark, sf_dir)
+    if tx_cutoff is not None:
+        rt = rt.where(F.col("loaded_at") <= F.lit(tx_cutoff).cast("timestamp_ntz"))
+    if pay_cutoff is not None:
+        rp = rp.where(F.col("loaded_at") <= F.lit(pay_cutoff).cast("timestamp_ntz"))
+    return stg_transactions(rt, as_of, None), stg_payments(rp, as_of, None)
+
+
+def _two_runs(spark, sf_dir, name, tx_cutoff, pay_cutoff, with_fact=False, relink=True):
+    root = scratch_path(spark, name)
+    ev_path, fact_path = f"{root}/events", f"{root}/daily"
+    st1, sp1 = _staged_until(spark, sf_dir, tx_cutoff, pay_cutoff, CUTOFF)
+    st2, sp2 = _staged_until(spark, sf_dir, None, None, AS_OF)
+    if with_fact:
+        INC.run_chain(spark, st1, sp1, ev_path, fact_path, CUTOFF, mode="full")
+        INC.run_chain(spark, st2, sp2, ev_path, fact_path, AS_OF, mode="incremental",
+                      relink=relink)
+    else:
+        INC.run_events(spark, st1, sp1, ev_path, CUTOFF, mode="full")
+        INC.run_events(spark, st2, sp2, ev_path, AS_OF, mode="incremental", relink=relink)
+    return ev_path, fact_path
+
+
+_EVENTS_NO_META = "SELECT * EXCLUDE (_dbt_updated_at) FROM int_ev"
+
+
+@register("lookback_filter", O.with_(O.EV, O.RAW_TX, O.stg_tx(None),
+                                     O.stg_tx(None, "stg_cut", f" AND loaded_at <= {CUTOFF_SQL}")) + """
+SELECT transaction_id, posted_at FROM stg_tx
+WHERE posted_at >= (SELECT coalesce(max(posted_at), TIMESTAMP '1900-01-01') FROM stg_cut)
+                   - INTERVAL 6 HOUR""")
+def q_lookback_filter(spark, sf_dir):
+    """High-water mark of the target minus 6 h selects the rows to redo."""
+    root = scratch_path(spark, "lookback")
+    st1, sp1 = _staged_until(spark, sf_dir, CUTOFF, CUTOFF, CUTOFF)
+    INC.run_events(spark, st1, sp1, f"{root}/events", CUTOFF, mode="full")
+    hw = INC.high_water_mark(spark, f"{root}/events", "posted_at")
+    st_all = stg_transactions(fx.raw_transactions(spark, sf_dir), AS_OF, None)
+    from ledgerflow.functions.expressions import incremental_predicate
+    return st_all.where(incremental_predicate("posted_at", hw, 6)).select("transaction_id",
+                                                                          "posted_at")
+
+
+@register("incremental_events", O.with_(*O.chain(None)) + _EVENTS_NO_META)
+def q_incremental_events(spark, sf_dir):
+    """Full run on early data, incremental merge on the rest == full refresh."""
+    ev_path, _ = _two_runs(spark, sf_dir, "inc_events", CUTOFF, CUTOFF)
+    return spark.read.parquet(ev_path).drop("_dbt_updated_at")
+
+
+@register("incremental_daily", O.with_(*O.chain(None), O.daily_agg("int_ev"))
+          + O.DAILY_SELECT.replace(", _dbt_updated_at", "") + " FROM daily")
+def q_incremental_daily(spark, sf_dir):
+    """I2/I5/§2.13 #9: whole-day fact recompute after an incremental events merge."""
+    _, fact_path = _two_runs(spark, sf_dir, "inc_daily", CUTOFF, CUTOFF, with_fact=True)
+    return round_money(spark.read.parquet(fact_path)).drop("_dbt_updated_at")
+
+
+@register("late_settlement_relink", O.with_(*O.chain(None)) + _EVENTS_NO_META)
+def q_late_settlement_relink(spark, sf_dir):
+    """§2.13 #10: settlements arriving after the transactions' look-back still link."""
+    ev_path, _ = _two_runs(spark, sf_dir, "relink", None, CUTOFF)
+    return spark.read.parquet(ev_path).drop("_dbt_updated_at")
+
+
+@register("schema_sync", O.with_(*O.chain(None)) + _EVENTS_NO_META)
+def q_schema_sync(spark, sf_dir):
+    """I4: merge into a table written with an older schema (one column missing,
+    one extra); the result has the current schema only."""
+    root = scratch_path(spark, "schema_sync")
+    path = f"{root}/events"
+    st1, sp1 = _staged_until(spark, sf_dir, CUTOFF, CUTOFF, CUTOFF)
+    old = (credit_card_events(st1, sp1, CUTOFF).drop("amount_tier")
+           .withColumn("legacy_score", F.lit(0.0)))
+    write_full(old, path, "event_date")
+    st2, sp2 = staged(spark, sf_dir, None)
+    batch = credit_card_events(st2, sp2, AS_OF)
+    merge_by_key(spark, path, batch, ["event_key"], "event_date")
+    return read_table(spark, path, batch.schema).drop("_dbt_updated_at")
