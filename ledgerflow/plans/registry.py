@@ -399,3 +399,158 @@ def q_schema_sync(spark, sf_dir):
     batch = credit_card_events(st2, sp2, AS_OF)
     merge_by_key(spark, path, batch, ["event_key"], "event_date")
     return read_table(spark, path, batch.schema).drop("_dbt_updated_at")
+
+
+# ---------------------------------------------------------------- quality
+
+from ledgerflow.operators import quality as QL  # noqa: E402
+
+_QUALITY_SQL = O.with_(*O.chain(None), O.daily_agg("int_ev"),
+                       f"fct AS (SELECT {O.key_sql(O.date_text('event_date'), 'CAST(card_id AS VARCHAR)', 'geo_type')} AS daily_key, * FROM daily)") + """
+SELECT 'int_credit_card_events' AS table_name, rule, column_name, failing_rows FROM (
+  SELECT 'not_null' AS rule, 'transaction_id' AS column_name, COUNT(*) FILTER (WHERE transaction_id IS NULL) AS failing_rows FROM int_ev
+  UNION ALL SELECT 'not_null', 'event_key', COUNT(*) FILTER (WHERE event_key IS NULL) FROM int_ev
+  UNION ALL SELECT 'not_null', 'member_id', COUNT(*) FILTER (WHERE member_id IS NULL) FROM int_ev
+  UNION ALL SELECT 'accepted_values', 'geo_type', COUNT(*) FILTER (WHERE geo_type NOT IN ('INTERNATIONAL', 'DOMESTIC')) FROM int_ev
+  UNION ALL SELECT 'accepted_values', 'amount_tier', COUNT(*) FILTER (WHERE amount_tier NOT IN ('HIGH', 'MEDIUM', 'LOW')) FROM int_ev
+  UNION ALL SELECT 'accepted_values', 'transaction_status', COUNT(*) FILTER (WHERE transaction_status NOT IN ('APPROVED', 'DECLINED', 'PENDING')) FROM int_ev
+  UNION ALL SELECT 'accepted_values', 'payment_status', COUNT(*) FILTER (WHERE payment_status NOT IN ('SETTLED')) FROM int_ev
+  UNION ALL SELECT 'unique', 'event_key,payment_id', coalesce(sum(n), 0) FROM (
+      SELECT COUNT(*) AS n FROM int_ev GROUP BY event_key, payment_id HAVING COUNT(*) > 1))
+UNION ALL
+SELECT 'fct_credit_card_daily', rule, column_name, failing_rows FROM (
+  SELECT 'not_null' AS rule, 'daily_key' AS column_name, COUNT(*) FILTER (WHERE daily_key IS NULL) AS failing_rows FROM fct
+  UNION ALL SELECT 'not_null', 'event_date', COUNT(*) FILTER (WHERE event_date IS NULL) FROM fct
+  UNION ALL SELECT 'approved_plus_declined', 'total_transactions',
+      COUNT(*) FILTER (WHERE approved_transactions + declined_transactions <> total_transactions) FROM fct
+  UNION ALL SELECT 'unique', 'daily_key', coalesce(sum(n), 0) FROM (
+      SELECT COUNT(*) AS n FROM fct GROUP BY daily_key HAVING COUNT(*) > 1)
+  UNION ALL SELECT 'unique', 'event_date,card_id,member_id,geo_type', coalesce(sum(n), 0) FROM (
+      SELECT COUNT(*) AS n FROM fct GROUP BY event_date, card_id, member_id, geo_type HAVING COUNT(*) > 1))
+"""
+
+
+@register("quality_report", _QUALITY_SQL)
+def q_quality_report(spark, sf_dir):
+    """Rule results over the events table and the daily fact."""
+    ev = int_events(spark, sf_dir)
+    fact = daily_fact(ev, AS_OF)
+    return (QL.evaluate(ev, "int_credit_card_events", QL.events_rules())
+              .unionByName(QL.evaluate(fact, "fct_credit_card_daily", QL.daily_rules())))
+
+
+# ---------------------------------------------------------------- streaming
+
+from ledgerflow.streaming import streams as ST  # noqa: E402
+
+# Files per micro-batch in the registered streaming queries, so
+# the merge runs over several epochs.
+STREAM_FILES_PER_TRIGGER = 200
+
+
+def _land_sets(spark, sf_dir, root, feed="transactions"):
+    """Land set A, then set B (re-sends) as separate files of the same feed."""
+    rows = fx.raw_transaction_rows(spark, sf_dir)
+    a = L.land(rows.where(F.col("resend_set") == "A"), root, feed, TRANSACTION_COLUMNS,
+               "loaded_at")
+    b = L.land(rows.where(F.col("resend_set") == "B"), root, feed, TRANSACTION_COLUMNS,
+               "loaded_at")
+    return a.prefix, b
+
+
+@register("stream_ingest", O.with_(O.EV, O.RAW_TX) + f"SELECT {O.TX_FIELDS} FROM raw_tx")
+def q_stream_ingest(spark, sf_dir):
+    """K1/A10: file-source stream of landed arrays -> raw table (checkpointed)."""
+    root = scratch_path(spark, "stream_ingest")
+    res = _land_transactions(spark, sf_dir, root)
+    s = ST.to_raw_rows(ST.transaction_stream(spark, res.prefix), TRANSACTION_COLUMNS, AS_OF)
+    ST.run_available(s.writeStream.format("parquet")
+                     .option("checkpointLocation", f"{root}/_chk_ingest")
+                     .option("path", f"{root}/raw"))
+    raw = spark.read.parquet(f"{root}/raw")
+    return parse_raw(raw, TRANSACTION_FIELDS, None, None).select(*TRANSACTION_COLUMNS)
+
+
+@register("stream_dedupe", O.with_(O.EV, O.RAW_TX)
+          + f"SELECT {O.TX_FIELDS} FROM raw_tx WHERE resend_set = 'A'")
+def q_stream_dedupe(spark, sf_dir):
+    """K2: watermark dedupe keeps the first arrival; re-sends landed later are dropped."""
+    root = scratch_path(spark, "stream_dedupe")
+    rows = fx.raw_transaction_rows(spark, sf_dir)
+    prefix = L.land(rows.where(F.col("resend_set") == "A"), root, "transactions",
+                    TRANSACTION_COLUMNS, "loaded_at").prefix
+
+    def run():
+        s = ST.dedupe_first_arrival(ST.transaction_stream(spark, prefix))
+        ST.run_available(s.select(*TRANSACTION_COLUMNS).writeStream.format("parquet")
+                         .option("checkpointLocation", f"{root}/_chk_dedupe")
+                         .option("path", f"{root}/dedup"))
+    run()
+    L.land(rows.where(F.col("resend_set") == "B"), root, "transactions",
+           TRANSACTION_COLUMNS, "loaded_at")
+    run()
+    return spark.read.parquet(f"{root}/dedup")
+
+
+def _stream_merge(spark, sf_dir, name, with_fact):
+    root = scratch_path(spark, name)
+    prefix, _ = _land_sets(spark, sf_dir, root)
+    raw_pay = fx.raw_payments(spark, sf_dir)
+    sink = ST.merge_sink(spark, f"{root}/raw", f"{root}/events",
+                         lambda: stg_payments(raw_pay, AS_OF, None), AS_OF,
+                         fact_path=f"{root}/daily" if with_fact else None)
+    s = ST.transaction_stream(spark, prefix, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    ST.run_available(s.writeStream.foreachBatch(sink)
+                     .option("checkpointLocation", f"{root}/_chk_merge"))
+    return root
+
+
+@register("stream_merge", O.with_(*O.chain(None)) + _EVENTS_NO_META)
+def q_stream_merge(spark, sf_dir):
+    """K4: foreachBatch merge of arriving transactions == full refresh."""
+    root = _stream_merge(spark, sf_dir, "stream_merge", with_fact=False)
+    return spark.read.parquet(f"{root}/events").drop("_dbt_updated_at")
+
+
+@register("stream_daily", O.with_(*O.chain(None), O.daily_agg("int_ev"))
+          + O.DAILY_SELECT.replace(", _dbt_updated_at", "") + " FROM daily")
+def q_stream_daily(spark, sf_dir):
+    """K5: touched days of the fact recomputed per micro-batch (exact distincts)."""
+    root = _stream_merge(spark, sf_dir, "stream_daily", with_fact=True)
+    return round_money(spark.read.parquet(f"{root}/daily")).drop("_dbt_updated_at")
+
+
+_JOIN_SQL = O.with_(O.EV, O.RAW_TX, O.RAW_PAY) + f"""
+, t AS (SELECT * FROM raw_tx WHERE resend_set = 'A' AND transaction_id IS NOT NULL),
+p AS (SELECT * FROM raw_pay WHERE payment_status = 'SETTLED'),
+wm AS (SELECT least((SELECT max(posted_at) FROM t), (SELECT max(settled_at) FROM p))
+              - INTERVAL 3 DAY - INTERVAL 4 DAY AS evict_before),
+j AS (SELECT t.transaction_id, t.card_id, t.member_id, t.amount, t.currency_code, t.merchant_name,
+             t.merchant_category_code, t.transaction_type, t.transaction_status, t.posted_at,
+             t.authorized_at, t.network, t.is_international, t.decline_reason,
+             p.payment_id, p.payment_type, p.payment_status, p.settled_at
+      FROM t LEFT JOIN p
+        ON t.member_id = p.member_id AND t.amount = p.amount
+       AND CAST(t.posted_at AS DATE) = p.scheduled_date
+       AND p.settled_at >= t.posted_at AND p.settled_at <= t.posted_at + INTERVAL 4 DAY)
+SELECT * FROM j
+WHERE payment_id IS NOT NULL OR posted_at < (SELECT evict_before FROM wm)"""
+
+
+@register("stream_settlement_join", _JOIN_SQL)
+def q_stream_settlement_join(spark, sf_dir):
+    """K3: stream-stream left outer join with watermarks. Matched pairs are emitted
+    at once; an unmatched transaction is emitted only after the watermark passes its
+    settlement range, so the newest unmatched ones are still held in state."""
+    root = scratch_path(spark, "stream_join")
+    rows = fx.raw_transaction_rows(spark, sf_dir).where(F.col("resend_set") == "A")
+    tx_prefix = L.land(rows, root, "transactions", TRANSACTION_COLUMNS, "loaded_at").prefix
+    pay_prefix = L.land(fx.raw_payment_rows(spark, sf_dir), root, "payments",
+                        PAYMENT_COLUMNS, "loaded_at").prefix
+    tx = ST.transaction_stream(spark, tx_prefix).where(F.col("transaction_id").isNotNull())
+    pay = ST.payment_stream(spark, pay_prefix)
+    j = ST.settlement_join(tx, pay)
+    ST.run_available(j.writeStream.format("parquet").outputMode("append")
+                     .option("checkpointLocation", f"{root}/_chk_join")
+                     .option("path", f"{root}/joined"))
+    return spark.read.parquet(f"{root}/joined")
