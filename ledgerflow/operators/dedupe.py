@@ -16,15 +16,22 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[Column],
                    drop_null_keys: bool = True) -> DataFrame:
     """Keep the first row per ``key`` under ``order``.
 
-    Rows with a NULL key are filtered *before* the window when
-    ``drop_null_keys`` is set: they would all hash to one reducer, and every
-    caller discards them anyway (C2, C3).
+    With ``drop_null_keys`` rows whose key is NULL are removed (C2, C3). The
+    test is taken as a column *before* the window and applied *after* it: a
+    filter on the key itself would be pushed by Catalyst below the parsing
+    projection that produces the key, and the payload would be parsed twice.
+    The NULL-key group costs nothing extra: the partial WindowGroupLimit
+    reduces it to one row per map task before the shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = df
+    keep = F.col("_row_num") == 1
     if drop_null_keys:
+        ok = F.lit(True)
         for k in keys:
-            df = df.where(F.col(k).isNotNull())
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (df.withColumn("_row_num", F.row_number().over(w))
-              .where(F.col("_row_num") == 1)
-              .drop("_row_num"))
+            ok = ok & F.col(k).isNotNull()
+        out = out.withColumn("_key_ok", ok)
+        keep = keep & F.col("_key_ok")
+    out = out.withColumn("_row_num", F.row_number().over(w)).where(keep)
+    return out.drop("_row_num", "_key_ok")

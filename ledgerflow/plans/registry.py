@@ -554,3 +554,32 @@ def q_stream_settlement_join(spark, sf_dir):
                      .option("checkpointLocation", f"{root}/_chk_join")
                      .option("path", f"{root}/joined"))
     return spark.read.parquet(f"{root}/joined")
+
+
+# ---------------------------------------------------------------- invalid UTF-8
+
+def _with_invalid_byte(payload):
+    """Insert one undecodable byte (0xFF) right after 'MERCHANT_' in the JSON text."""
+    bad = F.unhex(F.lit("FF")).cast("string")
+    return F.concat(F.substring_index(payload, "MERCHANT_", 1), F.lit("MERCHANT_"), bad,
+                    F.substring_index(payload, "MERCHANT_", -1))
+
+
+@register("utf8_repair", O.with_(O.EV, O.RAW_TX) + """
+SELECT transaction_id,
+       CASE WHEN event_id % 97 = 0 THEN 'MERCHANT_' || chr(65533) || CAST(k AS VARCHAR)
+            ELSE merchant_name END AS merchant_name,
+       event_id % 97 = 0 AS repaired
+FROM raw_tx JOIN (SELECT event_id AS eid, k FROM ev) e ON e.eid = raw_tx.event_id""")
+def q_utf8_repair(spark, sf_dir):
+    """A4: files with undecodable bytes load with U+FFFD instead of losing records."""
+    root = scratch_path(spark, "utf8")
+    payload = fx.to_json_payload(TRANSACTION_COLUMNS)
+    payload = F.when(F.col("event_id") % fx.BAD_PAYLOAD_EVERY == 0,
+                     _with_invalid_byte(payload)).otherwise(payload)
+    res = _land_transactions(spark, sf_dir, root, payload=payload)
+    LD.load(spark, res.prefix, f"{root}/raw", f"{root}/ledger", AS_OF)
+    raw = LD.read_raw_table(spark, f"{root}/raw", f"{root}/ledger")
+    parsed = parse_raw(raw, TRANSACTION_FIELDS, None, None)
+    return parsed.select("transaction_id", "merchant_name",
+                         F.col("merchant_name").contains("�").alias("repaired"))

@@ -33,6 +33,20 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than task slots.
+
+    The driver's tables are single-row-group files, so a scan is one task no
+    matter the size; the JSON work downstream would then run on one core. A
+    large input already has one split per row group and is left alone (no
+    extra shuffle at scale).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -53,9 +67,9 @@ def _ntz(c: Column) -> Column:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (load_table(spark, sf_dir, "events")
-            .select("event_id", "ts", "user_id", "event_type", "value",
-                    _k().alias("k")))
+    ev = (load_table(spark, sf_dir, "events")
+          .select("event_id", "ts", "user_id", "event_type", "value", _k().alias("k")))
+    return spread_small_input(ev)
 
 
 def raw_transaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
