@@ -134,8 +134,8 @@ def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_
     t0 = time.monotonic()
     listing = _listing(spark, source, glob)
     pending = listing.join(read_ledger(spark, ledger_path).select(*FILE_KEY), FILE_KEY, "left_anti")
-    # File names only (metadata the driver lists anyway), never file content.
-    rows = pending.select("source_file").collect()
+    # File metadata only (what the driver lists anyway), never file content.
+    rows = pending.collect()
     if not rows:
         status = "no_files" if listing.limit(1).count() == 0 else "success"
         return LoadResult(0, 0, 0, time.monotonic() - t0, status)
@@ -151,13 +151,19 @@ def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_
                  F.lit(load_id).alias("load_id"))
          .write.mode("append").partitionBy("load_id").parquet(target_path))
     loaded, errored = int(obs.get["loaded"]), int(obs.get["errored"])
-    # Ledger from the partition just written (a narrow columnar scan).
+    # Ledger: every processed file (empty ones too), with its counts taken
+    # from the partition just written (a narrow columnar scan).
     written = spark.read.schema(RAW_TABLE_SCHEMA).parquet(target_path).where(
         F.col("load_id") == load_id)
-    ledger = (written.groupBy(*FILE_KEY)
+    counts = (written.groupBy(*FILE_KEY)
               .agg(F.count_if(~F.col("is_error")).alias("rows_loaded"),
-                   F.count_if(F.col("is_error")).alias("rows_errored"))
-              .select(*FILE_KEY, "rows_loaded", "rows_errored",
+                   F.count_if(F.col("is_error")).alias("rows_errored")))
+    files = spark.createDataFrame([tuple(r) for r in rows],
+                                  "source_file string, file_size long, file_mtime timestamp")
+    ledger = (files.join(counts, FILE_KEY, "left")
+              .select(*FILE_KEY,
+                      F.coalesce("rows_loaded", F.lit(0)).cast("long").alias("rows_loaded"),
+                      F.coalesce("rows_errored", F.lit(0)).cast("long").alias("rows_errored"),
                       as_of_literal(as_of).alias("loaded_at"), F.lit(load_id).alias("load_id")))
     ledger.write.mode("append").partitionBy("load_id").parquet(ledger_path)
     return LoadResult(len(paths), loaded, errored, time.monotonic() - t0,
