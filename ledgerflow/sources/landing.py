@@ -9,12 +9,13 @@ Two file formats:
   (the processor's landing format, fed to the outer-array strip).
 * ``"lines"`` – Spark's JSON-lines writer with ``maxRecordsPerFile``.
 
-Array chunks are formed without a window: a chunk is a run of consecutive
-rows of one input partition (``monotonically_increasing_id() // batch_size``)
-within one hour, so a chunk can never exceed the cap and a hot hour is spread
-over every task that holds it. The input must have a deterministic row order
-per partition (a file scan, or a checkpointed frame), so a retried task
-rebuilds the same chunks.
+Array chunks are formed without a window. Rows are first range-partitioned
+on (hour, source partition, record hash) and sorted within each task, so a
+task holds a contiguous run of hours; a chunk is then a run of consecutive
+rows of one task (``monotonically_increasing_id() // batch_size``) within one
+hour. A chunk can never exceed the cap, a hot hour (or a record repeated many
+times) is spread over several tasks, and the sort makes the chunks the same
+when a task is retried.
 """
 
 from __future__ import annotations
@@ -77,8 +78,14 @@ def payment_subset(df: DataFrame, types=PAYMENT_TYPES) -> DataFrame:
 def _array_chunks(df: DataFrame, fields: list[str], time_col: str,
                   batch_size: int, payload: Column | None = None) -> DataFrame:
     rec = payload if payload is not None else to_json_payload(fields)
-    rows = df.select(*partition_columns(time_col),
-                     F.monotonically_increasing_id().alias("_seq"), rec.alias("_rec"))
+    rows = df.select(*partition_columns(time_col), F.spark_partition_id().alias("_src"),
+                     rec.alias("_rec"))
+    # Contiguous hour ranges per task (few files per hour). The range key goes
+    # down to the source partition and the record hash, so one hour - or one
+    # record repeated many times - still splits across tasks.
+    order = [*PARTITION_COLUMNS, "_src", F.xxhash64("_rec"), "_rec"]
+    rows = rows.repartitionByRange(*order[:-1]).sortWithinPartitions(*order)
+    rows = rows.withColumn("_seq", F.monotonically_increasing_id())
     rows = rows.withColumn("_chunk", F.floor(F.col("_seq") / F.lit(batch_size)))
     grouped = rows.groupBy(*PARTITION_COLUMNS, "_chunk").agg(
         F.array_sort(F.collect_list(F.struct("_seq", "_rec"))).alias("_items"))

@@ -60,11 +60,13 @@ def payment_stream(spark: SparkSession, path: str, **kw) -> DataFrame:
     return json_array_stream(spark, path, PAYMENT_SCHEMA, **kw)
 
 
-def to_raw_rows(stream: DataFrame, fields: list[str], loaded_at: dt.datetime) -> DataFrame:
+def to_raw_rows(stream: DataFrame, fields: list[str], loaded_at: dt.datetime,
+                extra: list[str] | None = None) -> DataFrame:
     """Typed records -> raw-table rows (raw_payload JSON + load metadata)."""
     return stream.select(to_json_payload(fields).alias("raw_payload"),
                          F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
-                         "source_file", F.lit(None).cast("long").alias("source_row"))
+                         "source_file", F.lit(None).cast("long").alias("source_row"),
+                         *(extra or []))
 
 
 def with_event_time(df: DataFrame, ntz_col: str, name: str = "event_ts") -> DataFrame:
@@ -121,12 +123,16 @@ def merge_sink(spark: SparkSession, raw_path: str, events_path: str,
     from ledgerflow.plans.incremental import run_daily
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        raw = to_raw_rows(batch, TRANSACTION_COLUMNS, as_of)
+        # The record key is stored beside the payload so that later epochs
+        # parse only the versions of the transactions that arrived.
+        raw = to_raw_rows(batch.withColumn("record_key", F.col("transaction_id")),
+                          TRANSACTION_COLUMNS, as_of, extra=["record_key"])
         (raw.write.mode("overwrite").parquet(f"{raw_path}/epoch={epoch_id}"))
-        all_raw = spark.read.parquet(raw_path)
-        arrived = (batch.where(F.col("transaction_id").isNotNull())
-                        .select("transaction_id").distinct())
-        stg = stg_transactions(all_raw, as_of, None).join(arrived, "transaction_id", "left_semi")
+        arrived = (spark.read.parquet(f"{raw_path}/epoch={epoch_id}")
+                   .where(F.col("record_key").isNotNull())
+                   .select(F.col("record_key")).distinct())
+        versions = spark.read.parquet(raw_path).join(arrived, "record_key", "left_semi")
+        stg = stg_transactions(versions, as_of, None)
         events = credit_card_events(stg, stg_payments_fn(), as_of)
         touched = merge_by_key(spark, events_path, events, ["event_key"], "event_date")
         if fact_path is not None:
