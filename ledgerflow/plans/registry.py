@@ -328,18 +328,28 @@ def _staged_until(spark, sf_dir, tx_cutoff, pay_cutoff, as_of):
     return stg_transactions(rt, as_of, None), stg_payments(rp, as_of, None)
 
 
-def _two_runs(spark, sf_dir, name, tx_cutoff, pay_cutoff, with_fact=False, relink=True):
+def _raw_until(spark, sf_dir, tx_cutoff, pay_cutoff):
+    rt = fx.raw_transactions(spark, sf_dir)
+    rp = fx.raw_payments(spark, sf_dir)
+    if tx_cutoff is not None:
+        rt = rt.where(F.col("loaded_at") <= F.lit(tx_cutoff).cast("timestamp_ntz"))
+    if pay_cutoff is not None:
+        rp = rp.where(F.col("loaded_at") <= F.lit(pay_cutoff).cast("timestamp_ntz"))
+    return rt, rp
+
+
+def _two_runs(spark, sf_dir, name, tx_cutoff, pay_cutoff, with_fact=False):
+    """Full run on what arrived up to the cutoff, then an incremental run on everything."""
     root = scratch_path(spark, name)
     ev_path, fact_path = f"{root}/events", f"{root}/daily"
-    st1, sp1 = _staged_until(spark, sf_dir, tx_cutoff, pay_cutoff, CUTOFF)
-    st2, sp2 = _staged_until(spark, sf_dir, None, None, AS_OF)
+    rt1, rp1 = _raw_until(spark, sf_dir, tx_cutoff, pay_cutoff)
+    rt2, rp2 = _raw_until(spark, sf_dir, None, None)
     if with_fact:
-        INC.run_chain(spark, st1, sp1, ev_path, fact_path, CUTOFF, mode="full")
-        INC.run_chain(spark, st2, sp2, ev_path, fact_path, AS_OF, mode="incremental",
-                      relink=relink)
+        INC.run_chain_from_raw(spark, rt1, rp1, ev_path, fact_path, CUTOFF, mode="full")
+        INC.run_chain_from_raw(spark, rt2, rp2, ev_path, fact_path, AS_OF, mode="incremental")
     else:
-        INC.run_events(spark, st1, sp1, ev_path, CUTOFF, mode="full")
-        INC.run_events(spark, st2, sp2, ev_path, AS_OF, mode="incremental", relink=relink)
+        INC.run_events_from_raw(spark, rt1, rp1, ev_path, CUTOFF, mode="full")
+        INC.run_events_from_raw(spark, rt2, rp2, ev_path, AS_OF, mode="incremental")
     return ev_path, fact_path
 
 

@@ -172,27 +172,47 @@ def _source_file(feed: str) -> Column:
 
 
 def _raw_table(rows: DataFrame, feed: str, fields: list[str],
-               corrupt_every: int | None) -> DataFrame:
+               corrupt_every: int | None, key: str, route_date: Column) -> DataFrame:
     payload = to_json_payload(fields)
+    key_col = F.col(key)
     if corrupt_every:
-        payload = F.when(F.col("event_id") % corrupt_every == 0, F.lit(BAD_PAYLOAD)).otherwise(payload)
+        bad = F.col("event_id") % corrupt_every == 0
+        payload = F.when(bad, F.lit(BAD_PAYLOAD)).otherwise(payload)
+        key_col = F.when(~bad, key_col)
+        route_date = F.when(~bad, route_date)
     return rows.select(
         payload.alias("raw_payload"),
         F.col("loaded_at"),
         _source_file(feed).alias("source_file"),
         F.col("event_id").alias("source_row"),
+        key_col.alias("record_key"),
+        route_date.alias("route_date"),
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str,
                      corrupt_every: int | None = None) -> DataFrame:
-    """raw.transactions: (raw_payload, loaded_at, source_file, source_row)."""
+    """raw.transactions: (raw_payload, loaded_at, source_file, source_row,
+    record_key, route_date) — the last two are routing keys kept beside the
+    payload (transaction_id, posting date), as a loader extracts them."""
     return _raw_table(raw_transaction_rows(spark, sf_dir), "transactions",
-                      TRANSACTION_COLUMNS, corrupt_every)
+                      TRANSACTION_COLUMNS, corrupt_every, "transaction_id",
+                      F.to_date("posted_at"))
 
 
 def raw_payments(spark: SparkSession, sf_dir: str,
                  corrupt_every: int | None = None) -> DataFrame:
-    """raw.payments: (raw_payload, loaded_at, source_file, source_row)."""
+    """raw.payments: (raw_payload, loaded_at, source_file, source_row,
+    record_key = payment_id, route_date = scheduled_date)."""
     return _raw_table(raw_payment_rows(spark, sf_dir), "payments",
-                      PAYMENT_COLUMNS, corrupt_every)
+                      PAYMENT_COLUMNS, corrupt_every, "payment_id", F.col("scheduled_date"))
+
+
+def materialize_raw(df: DataFrame, path: str) -> DataFrame:
+    """Store a raw feed as a table partitioned by load day, as a loader would.
+
+    Arrival filters (``loaded_at >= bound``) then prune whole load days.
+    """
+    (df.withColumn("load_date", F.to_date("loaded_at"))
+       .write.mode("overwrite").partitionBy("load_date").parquet(path))
+    return df.sparkSession.read.parquet(path)
