@@ -425,7 +425,7 @@ SELECT 'int_credit_card_events' AS table_name, rule, column_name, failing_rows F
   UNION ALL SELECT 'accepted_values', 'amount_tier', COUNT(*) FILTER (WHERE amount_tier NOT IN ('HIGH', 'MEDIUM', 'LOW')) FROM int_ev
   UNION ALL SELECT 'accepted_values', 'transaction_status', COUNT(*) FILTER (WHERE transaction_status NOT IN ('APPROVED', 'DECLINED', 'PENDING')) FROM int_ev
   UNION ALL SELECT 'accepted_values', 'payment_status', COUNT(*) FILTER (WHERE payment_status NOT IN ('SETTLED')) FROM int_ev
-  UNION ALL SELECT 'unique', 'event_key,payment_id', coalesce(sum(n), 0) FROM (
+  UNION ALL SELECT 'unique', 'event_key,payment_id', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
       SELECT COUNT(*) AS n FROM int_ev GROUP BY event_key, payment_id HAVING COUNT(*) > 1))
 UNION ALL
 SELECT 'fct_credit_card_daily', rule, column_name, failing_rows FROM (
@@ -433,9 +433,9 @@ SELECT 'fct_credit_card_daily', rule, column_name, failing_rows FROM (
   UNION ALL SELECT 'not_null', 'event_date', COUNT(*) FILTER (WHERE event_date IS NULL) FROM fct
   UNION ALL SELECT 'approved_plus_declined', 'total_transactions',
       COUNT(*) FILTER (WHERE approved_transactions + declined_transactions <> total_transactions) FROM fct
-  UNION ALL SELECT 'unique', 'daily_key', coalesce(sum(n), 0) FROM (
+  UNION ALL SELECT 'unique', 'daily_key', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
       SELECT COUNT(*) AS n FROM fct GROUP BY daily_key HAVING COUNT(*) > 1)
-  UNION ALL SELECT 'unique', 'event_date,card_id,member_id,geo_type', coalesce(sum(n), 0) FROM (
+  UNION ALL SELECT 'unique', 'event_date,card_id,member_id,geo_type', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
       SELECT COUNT(*) AS n FROM fct GROUP BY event_date, card_id, member_id, geo_type HAVING COUNT(*) > 1))
 """
 

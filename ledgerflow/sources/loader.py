@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.expressions import as_of_literal
+from ledgerflow.session import path_exists
 from ledgerflow.sources.json_files import explode_json_text, list_files
 
 RAW_TABLE_SCHEMA = T.StructType([
@@ -41,9 +42,16 @@ RAW_TABLE_SCHEMA = T.StructType([
     T.StructField("file_size", T.LongType()),
     T.StructField("file_mtime", T.TimestampType()),
     T.StructField("is_error", T.BooleanType()),
+    T.StructField("record_key", T.StringType()),
+    T.StructField("route_date", T.DateType()),
     T.StructField("load_id", T.StringType()),
 ])
 
+# Routing keys per feed (JSON path of the record key and of the
+# date the record is routed by).
+TRANSACTION_ROUTING = ("$.transaction_id", "$.posted_at")
+PAYMENT_ROUTING = ("$.payment_id", "$.scheduled_date")
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
     T.StructField("file_size", T.LongType()),
@@ -67,10 +75,9 @@ class LoadResult:
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
@@ -89,9 +96,13 @@ def read_raw_table(spark: SparkSession, target_path: str, ledger_path: str,
 
 
 def _listing(spark: SparkSession, source: str | list[str], glob: str | None) -> DataFrame:
+    sources = [source] if isinstance(source, str) else list(source)
+    sources = [p for p in sources if path_exists(spark, p)]
     try:
-        files = list_files(spark, source, glob)
-    except AnalysisException:
+        files = list_files(spark, sources, glob) if sources else None
+    except AnalysisException:      # e.g. a folder without any matching file
+        files = None
+    if files is None:
         return spark.createDataFrame([], "source_file string, file_size long, file_mtime timestamp")
     return files.select(F.col("path").alias("source_file"), F.col("length").alias("file_size"),
                         F.col("modificationTime").alias("file_mtime"))
@@ -125,11 +136,15 @@ def _columnar_rows(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
 
 
 def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_path: str,
-         as_of: dt.datetime, file_format: str = "json", glob: str | None = None) -> LoadResult:
+         as_of: dt.datetime, file_format: str = "json", glob: str | None = None,
+         routing: tuple[str, str] | None = None) -> LoadResult:
     """Load every not-yet-loaded file under ``source``.
 
     ``loaded_at`` is the batch timestamp ``as_of``. Status: ``no_files`` when
     nothing is listed, ``success`` when no row errored, else ``partial``.
+    ``routing`` = (key path, date path) stores ``record_key`` / ``route_date``
+    beside each payload, so incremental runs can select versions by key and
+    day without parsing every payload.
     """
     t0 = time.monotonic()
     listing = _listing(spark, source, glob)
@@ -146,8 +161,15 @@ def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_
     obs = Observation(f"load_{load_id}")
     data = data.observe(obs, F.count_if(~F.col("is_error")).alias("loaded"),
                         F.count_if(F.col("is_error")).alias("errored"))
+    if routing:
+        v = F.try_parse_json("raw_payload")
+        key = F.try_variant_get(v, routing[0], "string")
+        day = F.try_variant_get(v, routing[1], "date")
+    else:
+        key, day = F.lit(None).cast("string"), F.lit(None).cast("date")
     (data.select("raw_payload", as_of_literal(as_of).alias("loaded_at"), "source_file",
                  "source_row", "file_size", "file_mtime", "is_error",
+                 key.alias("record_key"), day.alias("route_date"),
                  F.lit(load_id).alias("load_id"))
          .write.mode("append").partitionBy("load_id").parquet(target_path))
     loaded, errored = int(obs.get["loaded"]), int(obs.get["errored"])

@@ -52,6 +52,26 @@ def rows_spark(df):
     return cols, [tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect()]
 
 
+# Spark simpleString -> DuckDB type names considered equal.
+TYPE_EQ = {
+    "string": {"VARCHAR"}, "bigint": {"BIGINT"}, "int": {"INTEGER"}, "double": {"DOUBLE"},
+    "boolean": {"BOOLEAN"}, "date": {"DATE"}, "timestamp_ntz": {"TIMESTAMP"},
+    "timestamp": {"TIMESTAMP WITH TIME ZONE"}, "float": {"FLOAT"}, "smallint": {"SMALLINT"},
+}
+
+
+def type_mismatches(df, con, sql):
+    desc = con.execute(f"DESCRIBE {sql}").fetchall()
+    duck_types = {r[0]: r[1] for r in desc}
+    out = []
+    for name, dtype in df.dtypes:
+        want = TYPE_EQ.get(dtype, {dtype.upper()})
+        got = duck_types.get(name)
+        if got not in want:
+            out.append((name, dtype, got))
+    return out
+
+
 def rows_duck(con, sql):
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
@@ -74,6 +94,9 @@ def compare(spark, sf_dir, names=None, verbose=True):
                 print(f"{name:28s} rows-only  spark={len(srows)}")
             continue
         dcols, drows = rows_duck(con, ors[name])
+        bad_types = type_mismatches(df, con, ors[name])
+        if bad_types and verbose:
+            print(f"   type mismatches {name}: {bad_types}")
         ok_cols = scols == dcols
         ok_rows = Counter(srows) == Counter(drows)
         results[name] = (ok_cols and ok_rows, len(srows), len(drows))

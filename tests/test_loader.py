@@ -65,7 +65,7 @@ def test_uncommitted_load_is_invisible_and_reloaded(spark, tmp_root):
     res = L.land(_rows(spark, 10), tmp_root, "transactions", TRANSACTION_COLUMNS, "posted_at")
     # a crashed load: data written, ledger never written
     orphan = spark.createDataFrame([("{}", AS_OF, "x", 0, 1, dt.datetime(2024, 1, 1), False,
-                                     "crashed")], LD.RAW_TABLE_SCHEMA)
+                                     None, None, "crashed")], LD.RAW_TABLE_SCHEMA)
     orphan.write.partitionBy("load_id").parquet(f"{tmp_root}/raw")
     assert LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger").count() == 0
     r = LD.load(spark, res.prefix, f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF)
@@ -113,3 +113,20 @@ def test_columnar_formats_load(spark, tmp_root):
     assert r.rows_loaded == 5
     got = LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger")
     assert got.where(F.col("source_row").isNotNull()).count() == 5
+
+
+def test_routing_keys_and_csv_and_stage(spark, tmp_root):
+    res = L.land(_rows(spark, 5), tmp_root, "transactions", TRANSACTION_COLUMNS, "posted_at")
+    LD.load(spark, res.prefix, f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF,
+            routing=LD.TRANSACTION_ROUTING)
+    got = LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger")
+    keys = {(r.record_key, str(r.route_date)) for r in got.collect()}
+    assert keys == {(f"T{i}", "2024-01-05") for i in range(5)}
+    _rows(spark, 4).select("transaction_id", "amount").write.option("header", True) \
+        .csv(f"{tmp_root}/csv")
+    r = LD.load(spark, f"{tmp_root}/csv", f"{tmp_root}/raw2", f"{tmp_root}/ledger2", AS_OF,
+                file_format="csv", glob="*.csv")
+    assert (r.rows_loaded, r.status) == (4, "success")
+    from ledgerflow.sources.json_files import register_stage
+    register_stage(spark, "landed_stage", res.prefix)
+    assert spark.sql("SELECT count(*) AS n FROM landed_stage WHERE NOT is_error").first().n == 5
