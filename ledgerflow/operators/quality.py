@@ -56,9 +56,21 @@ def _row_fail(rule: Rule) -> Column:
     raise ValueError(rule.kind)
 
 
-def evaluate(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
-    """Violations: (table_name, rule, column_name, failing_rows)."""
+def evaluate(df: DataFrame, table: str, rules: list[Rule],
+             partition_col: str | None = None, partitions: list | None = None) -> DataFrame:
+    """Violations: (table_name, rule, column_name, failing_rows).
+
+    With ``partitions`` only those values of ``partition_col`` are checked:
+    after an incremental run that is exactly what changed, and uniqueness of
+    a key that determines its partition is a per-partition property.
+    """
     spark = df.sparkSession
+    if partition_col is not None and partitions is not None:
+        vals = [v for v in partitions if v is not None]
+        cond = F.col(partition_col).isin(vals) if vals else F.lit(False)
+        if len(vals) < len(partitions):
+            cond = cond | F.col(partition_col).isNull()
+        df = df.where(cond)
     row_rules = [r for r in rules if r.kind != "unique"]
     parts: list[DataFrame] = []
     if row_rules:

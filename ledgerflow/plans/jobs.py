@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None) -> dict:
         h.add_argument(name, required=True)
     h.add_argument("--mode", default="incremental", choices=["incremental", "full"])
     h.add_argument("--window-days", type=int, default=None)
+    h.add_argument("--quality", action="store_true", help="fail the run on rule violations")
     for p in (b, ld, h):
         p.add_argument("--as-of", default=None)
     args = ap.parse_args(argv)
@@ -56,11 +57,11 @@ def main(argv: list[str] | None = None) -> dict:
         out = load(spark, args.source, args.target, args.ledger, as_of, args.format).__dict__
     else:
         from ledgerflow.plans.incremental import run_chain_from_raw
-        from ledgerflow.sources.loader import read_raw_table  # noqa: F401  (raw tables are Parquet)
         raw_tx = spark.read.parquet(args.raw_tx)
         raw_pay = spark.read.parquet(args.raw_pay)
         run_chain_from_raw(spark, raw_tx, raw_pay, args.events, args.fact, as_of,
-                           mode=args.mode, window_days=args.window_days)
+                           mode=args.mode, window_days=args.window_days,
+                           quality=args.quality)
         out = {"status": "success", "mode": args.mode}
     print(json.dumps(out, default=str))
     return out

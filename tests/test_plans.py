@@ -57,3 +57,25 @@ def test_quality_gate_raises(spark):
         gate(violations)       # ' approved ' is not an accepted status in the model lane
     clean = ev.where(F.col("transaction_status") != " approved ")
     gate(evaluate(clean, "events", events_rules()))
+
+
+def test_quality_scoped_to_partitions(spark):
+    ev = R.int_events(spark, SF)
+    day = ev.agg(F.min("event_date")).first()[0]
+    scoped = evaluate(ev, "events", events_rules(), "event_date", [day]).collect()
+    full = {(r.rule, r.column_name): r.failing_rows
+            for r in evaluate(ev, "events", events_rules()).collect()}
+    assert all(r.failing_rows <= full[(r.rule, r.column_name)] for r in scoped)
+
+
+def test_job_cli_hourly(spark, tmp_root):
+    from ledgerflow.plans.jobs import main
+    from ledgerflow.sources import fixtures as fx
+    rt = fx.materialize_raw(fx.raw_transactions(spark, SF), f"{tmp_root}/rt")
+    rp = fx.materialize_raw(fx.raw_payments(spark, SF), f"{tmp_root}/rp")
+    args = ["hourly", "--raw-tx", f"{tmp_root}/rt", "--raw-pay", f"{tmp_root}/rp",
+            "--events", f"{tmp_root}/ev", "--fact", f"{tmp_root}/fact",
+            "--as-of", "2024-01-31T00:00:00", "--mode", "full"]
+    assert main(args)["status"] == "success"
+    assert main(args[:-1] + ["incremental"])["status"] == "success"
+    assert spark.read.parquet(f"{tmp_root}/ev").count() == R.int_events(spark, SF).count()
