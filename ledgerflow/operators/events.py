@@ -39,13 +39,32 @@ def settled_payments(stg_pay: DataFrame) -> DataFrame:
                            *PAYMENT_LINK_COLUMNS))
 
 
+# Prefix of the salted member key given to rows that cannot
+# match (no payment member_id starts with a NUL character).
+UNMATCHABLE_PREFIX = "\u0000"
+
+
 def link_payments(transactions: DataFrame, stg_pay: DataFrame) -> DataFrame:
-    """Left join of transactions (with ``event_date``) to settled payments."""
+    """Left join of transactions (with ``event_date``) to settled payments.
+
+    A transaction with a NULL member, amount or date can never match, but a
+    left join still shuffles it, and all such rows would hash to a single
+    reducer. They get a per-row salted member key instead (a NUL-prefixed hash
+    of the transaction id that no payment carries), which spreads them evenly
+    and leaves the result unchanged.
+    """
     p = settled_payments(stg_pay)
-    cond = ((transactions["member_id"] == p["_p_member_id"])
-            & (transactions["amount"] == p["_p_amount"])
-            & (transactions["event_date"] == p["_p_date"]))
-    return transactions.join(p, cond, "left").drop("_p_member_id", "_p_amount", "_p_date")
+    can_match = (F.col("member_id").isNotNull() & F.col("amount").isNotNull()
+                 & F.col("event_date").isNotNull())
+    salt = F.concat(F.lit(UNMATCHABLE_PREFIX),
+                    F.xxhash64("transaction_id", "posted_at").cast("string"))
+    t = transactions.withColumn("_join_member", F.when(can_match, F.col("member_id"))
+                                .otherwise(salt))
+    cond = ((t["_join_member"] == p["_p_member_id"])
+            & (t["amount"] == p["_p_amount"])
+            & (t["event_date"] == p["_p_date"]))
+    return (t.join(p, cond, "left")
+             .drop("_p_member_id", "_p_amount", "_p_date", "_join_member"))
 
 
 def credit_card_events(stg_tx: DataFrame, stg_pay: DataFrame, as_of: dt.datetime,

@@ -505,9 +505,8 @@ def q_stream_dedupe(spark, sf_dir):
 def _stream_merge(spark, sf_dir, name, with_fact):
     root = scratch_path(spark, name)
     prefix, _ = _land_sets(spark, sf_dir, root)
-    raw_pay = fx.raw_payments(spark, sf_dir)
     sink = ST.merge_sink(spark, f"{root}/raw", f"{root}/events",
-                         lambda: stg_payments(raw_pay, AS_OF, None), AS_OF,
+                         fx.raw_payments(spark, sf_dir), AS_OF,
                          fact_path=f"{root}/daily" if with_fact else None)
     s = ST.transaction_stream(spark, prefix, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     ST.run_available(s.writeStream.foreachBatch(sink)

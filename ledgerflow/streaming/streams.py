@@ -112,29 +112,31 @@ def run_available(stream_writer) -> StreamingQuery:
 
 
 def merge_sink(spark: SparkSession, raw_path: str, events_path: str,
-               stg_payments_fn, as_of: dt.datetime, fact_path: str | None = None):
+               raw_payments: DataFrame, as_of: dt.datetime, fact_path: str | None = None):
     """``foreachBatch`` function: append raw epoch, merge arrived transactions (K4/K5).
 
-    ``stg_payments_fn()`` returns the current staged payments (batch side).
+    ``raw_payments`` is the raw payment feed with routing columns
+    (``record_key``, ``route_date``), read as a batch side.
     """
-    from ledgerflow.operators.events import credit_card_events
     from ledgerflow.operators.merge import merge_by_key
-    from ledgerflow.operators.staging import stg_transactions
-    from ledgerflow.plans.incremental import run_daily
+    from ledgerflow.plans.incremental import events_for_keys, run_daily
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # The record key is stored beside the payload so that later epochs
+        # Routing keys are stored beside the payload so that later epochs
         # parse only the versions of the transactions that arrived.
-        raw = to_raw_rows(batch.withColumn("record_key", F.col("transaction_id")),
-                          TRANSACTION_COLUMNS, as_of, extra=["record_key"])
+        keyed = (batch.withColumn("record_key", F.col("transaction_id"))
+                      .withColumn("route_date", F.to_date("posted_at")))
+        raw = to_raw_rows(keyed, TRANSACTION_COLUMNS, as_of, extra=["record_key", "route_date"])
         (raw.write.mode("overwrite").parquet(f"{raw_path}/epoch={epoch_id}"))
         arrived = (spark.read.parquet(f"{raw_path}/epoch={epoch_id}")
                    .where(F.col("record_key").isNotNull())
                    .select(F.col("record_key")).distinct())
-        versions = spark.read.parquet(raw_path).join(arrived, "record_key", "left_semi")
-        stg = stg_transactions(versions, as_of, None)
-        events = credit_card_events(stg, stg_payments_fn(), as_of)
-        touched = merge_by_key(spark, events_path, events, ["event_key"], "event_date")
+        events, days = events_for_keys(spark.read.parquet(raw_path), raw_payments, arrived,
+                                       as_of)
+        if not days:
+            return
+        touched = merge_by_key(spark, events_path, events, ["event_key"], "event_date",
+                               partitions=days)
         if fact_path is not None:
             schema = spark.read.parquet(events_path).schema
             run_daily(spark, events_path, schema, fact_path, as_of, "incremental",
