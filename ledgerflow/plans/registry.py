@@ -494,7 +494,7 @@ def q_stream_dedupe(spark, sf_dir):
         s = ST.dedupe_first_arrival(ST.transaction_stream(spark, prefix))
         ST.run_available(s.select(*TRANSACTION_COLUMNS).writeStream.format("parquet")
                          .option("checkpointLocation", f"{root}/_chk_dedupe")
-                         .option("path", f"{root}/dedup"))
+                         .option("path", f"{root}/dedup"), spark)
     run()
     L.land(rows.where(F.col("resend_set") == "B"), root, "transactions",
            TRANSACTION_COLUMNS, "loaded_at")
@@ -561,7 +561,7 @@ def q_stream_settlement_join(spark, sf_dir):
     j = ST.settlement_join(tx, pay)
     ST.run_available(j.writeStream.format("parquet").outputMode("append")
                      .option("checkpointLocation", f"{root}/_chk_join")
-                     .option("path", f"{root}/joined"))
+                     .option("path", f"{root}/joined"), spark)
     return spark.read.parquet(f"{root}/joined")
 
 

@@ -102,9 +102,26 @@ def settlement_join(tx: DataFrame, pay: DataFrame,
                      "settled_at"))
 
 
-def run_available(stream_writer) -> StreamingQuery:
-    """Process everything available now, then stop (batch-like catch-up run)."""
-    q = stream_writer.trigger(availableNow=True).start()
+def run_available(stream_writer, spark: SparkSession | None = None,
+                  state_partitions: int | None = None) -> StreamingQuery:
+    """Process everything available now, then stop (batch-like catch-up run).
+
+    The number of state-store partitions of a stateful stream is fixed by
+    ``spark.sql.shuffle.partitions`` when its checkpoint is created and
+    cannot change later. ``state_partitions`` (default: the cluster's task
+    slots) sets it for this stream only: the stream clones the session
+    configuration at start, so the session's own value is restored at once.
+    """
+    if spark is None:
+        q = stream_writer.trigger(availableNow=True).start()
+    else:
+        n = state_partitions or spark.sparkContext.defaultParallelism
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            q = stream_writer.trigger(availableNow=True).start()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
