@@ -107,6 +107,21 @@ def main() -> None:
                   .write.format("noop").mode("overwrite").save())
         return go
 
+    # Skew: one member and one card carry a third of all transactions and
+    # payments (derived from the same tables), through the link and the fact.
+    from ledgerflow.operators.daily import daily_fact
+    from ledgerflow.operators.events import credit_card_events
+
+    def skewed_link_fact():
+        st, sp = R.staged(spark, SF_DIR, None)
+        hot = F.abs(F.xxhash64("transaction_id")) % 3 == 0
+        st = (st.withColumn("member_id", F.when(hot, F.lit("M_HOT")).otherwise(F.col("member_id")))
+                .withColumn("card_id", F.when(hot, F.lit("C_HOT")).otherwise(F.col("card_id"))))
+        sp = sp.withColumn("member_id", F.when(F.abs(F.xxhash64("payment_id")) % 3 == 0,
+                                               F.lit("M_HOT")).otherwise(F.col("member_id")))
+        (daily_fact(credit_card_events(st, sp, R.AS_OF), R.AS_OF)
+         .write.format("noop").mode("overwrite").save())
+
     stages = {
         "parse": run_query("raw_transactions_parse"),
         "staging_dedupe": run_query("stg_transactions"),
@@ -117,6 +132,7 @@ def main() -> None:
         "idempotent_reload": run_query("load_idempotent"),
         "batch_lane": run_query("batch_transform"),
         "stream_merge": run_query("stream_merge"),
+        "skewed_link_fact": skewed_link_fact,
         "one_day_read_clustered": day_read("clustered"),
         "one_day_read_unclustered": day_read("unclustered"),
     }

@@ -7,19 +7,31 @@ clock everywhere a run timestamp is needed.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerflow import oracle as O
 from ledgerflow.functions.expressions import surrogate_key
+from ledgerflow.operators import quality as QL
+from ledgerflow.operators import transform as TR
 from ledgerflow.operators.daily import daily_fact, round_money
 from ledgerflow.operators.events import credit_card_events
-from ledgerflow.operators.staging import stg_payments, stg_transactions
-from ledgerflow.schemas import PAYMENT_COLUMNS, TRANSACTION_COLUMNS
+from ledgerflow.operators.merge import merge_by_key, read_table, write_full
+from ledgerflow.operators.staging import parse_raw, stg_payments, stg_transactions
+from ledgerflow.plans import incremental as INC
+from ledgerflow.schemas import (
+    PAYMENT_COLUMNS, PAYMENT_FIELDS, TRANSACTION_COLUMNS, TRANSACTION_FIELDS,
+)
+from ledgerflow.session import scratch_path
 from ledgerflow.sources import fixtures as fx
-from ledgerflow.operators.staging import parse_raw
-from ledgerflow.schemas import PAYMENT_FIELDS, TRANSACTION_FIELDS
+from ledgerflow.sources import landing as L
+from ledgerflow.sources import loader as LD
+from ledgerflow.sources.catalog import register_partitioned_table
+from ledgerflow.sources.json_files import read_array_payloads, read_raw_transactions
+from ledgerflow.streaming import streams as ST
 
 AS_OF = fx.FIXTURE_AS_OF
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -106,7 +118,6 @@ SELECT transaction_id, posted_at, card_id,
 FROM raw_tx""")
 def q_surrogate_key(spark, sf_dir):
     """md5 keys over strings, timestamps, dates, booleans, doubles, NULLs."""
-    from pyspark.sql import functions as F
     rows = fx.raw_transaction_rows(spark, sf_dir).withColumn("_d", F.to_date("posted_at"))
     return rows.select(
         "transaction_id", "posted_at", "card_id",
@@ -116,14 +127,6 @@ def q_surrogate_key(spark, sf_dir):
 
 # ---------------------------------------------------------------- ingest / landing / load
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ledgerflow.session import scratch_path  # noqa: E402
-from ledgerflow.sources import landing as L  # noqa: E402
-from ledgerflow.sources import loader as LD  # noqa: E402
-from ledgerflow.sources.json_files import (  # noqa: E402
-    read_array_payloads, read_raw_transactions,
-)
 
 # JSON text that replaces every 97th landed element (a string,
 # not a record).
@@ -253,9 +256,6 @@ def q_load_idempotent(spark, sf_dir):
 
 # ---------------------------------------------------------------- batch lane
 
-from ledgerflow.operators import transform as TR  # noqa: E402
-from ledgerflow.sources.catalog import register_partitioned_table  # noqa: E402
-
 
 def _batch_output(spark, sf_dir, name):
     root = scratch_path(spark, name)
@@ -307,11 +307,6 @@ def q_clustered_write(spark, sf_dir):
 
 # ---------------------------------------------------------------- incremental
 
-import datetime as _dt  # noqa: E402
-
-from ledgerflow.operators.events import EVENT_COLUMNS  # noqa: E402
-from ledgerflow.operators.merge import merge_by_key, read_table, write_full  # noqa: E402
-from ledgerflow.plans import incremental as INC  # noqa: E402
 
 # Data loaded up to this instant forms the first run.
 CUTOFF = _dt.datetime(2024, 1, 20, 0, 0, 0)
@@ -413,7 +408,6 @@ def q_schema_sync(spark, sf_dir):
 
 # ---------------------------------------------------------------- quality
 
-from ledgerflow.operators import quality as QL  # noqa: E402
 
 _QUALITY_SQL = O.with_(*O.chain(None), O.daily_agg("int_ev"),
                        f"fct AS (SELECT {O.key_sql(O.date_text('event_date'), 'CAST(card_id AS VARCHAR)', 'geo_type')} AS daily_key, * FROM daily)") + """
@@ -451,7 +445,6 @@ def q_quality_report(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
-from ledgerflow.streaming import streams as ST  # noqa: E402
 
 # Files per micro-batch in the registered streaming queries, so
 # the merge runs over several epochs.
