@@ -62,20 +62,60 @@ def _extract(variant: Column, fields: list[tuple[str, T.DataType]],
             for name, dtype in fields]
 
 
+_CORRUPT = "_corrupt_record"
+# Text forms the fast path accepts for NTZ timestamps.
+JSON_READ_TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
+def fast_parsed(col: Column | str, fields: list[tuple[str, T.DataType]]) -> Column:
+    """``from_json`` of the payload into a fixed struct plus a corrupt-record text.
+
+    Rows whose JSON or any field does not fit the schema come back with
+    ``_corrupt_record`` set; ``lenient_fields`` re-reads only those rows.
+    """
+    schema = T.StructType([T.StructField(n, t) for n, t in fields]
+                          + [T.StructField(_CORRUPT, T.StringType())])
+    return F.from_json(_c(col), schema, {"mode": "PERMISSIVE",
+                                         "columnNameOfCorruptRecord": _CORRUPT,
+                                         "timestampNTZFormat": JSON_READ_TIMESTAMP_PATTERN})
+
+
+def lenient_fields(struct_col: Column | str, text_col: Column | str,
+                   fields: list[tuple[str, T.DataType]]) -> list[Column]:
+    """Fields from the fast struct; rows it rejected fall back to VARIANT reads.
+
+    Same result as reading every field with ``try_variant_get``: a clean row
+    parses identically both ways, and a row with a mistyped field or bad
+    JSON takes the VARIANT path (per-field NULLs, strings cast to the target
+    type), which is evaluated only for those rows.
+    """
+    st = _c(struct_col)
+    ok = st.isNull() | st[_CORRUPT].isNull()
+    out = []
+    for name, dtype in fields:
+        slow = F.try_variant_get(F.try_parse_json(_c(text_col)), f"$.{name}",
+                                 dtype.simpleString())
+        out.append(F.when(ok, st[name]).otherwise(slow).alias(name))
+    return out
+
+
 def parse_transaction(col: Column | str, strict: bool = False) -> list[Column]:
     """14 typed transaction fields from a JSON payload (B1/L1).
 
-    The text is parsed once into a VARIANT and every field is read from it.
     With ``strict=False`` a mistyped field becomes NULL; ``strict=True`` raises
     on a value that cannot be cast (the warehouse's ``::TYPE`` behaviour).
     Unparseable text yields all-NULL fields.
     """
-    return _extract(safe_parse_json(col), TRANSACTION_FIELDS, strict)
+    if strict:
+        return _extract(safe_parse_json(col), TRANSACTION_FIELDS, strict)
+    return lenient_fields(fast_parsed(col, TRANSACTION_FIELDS), col, TRANSACTION_FIELDS)
 
 
 def parse_payment(col: Column | str, strict: bool = False) -> list[Column]:
     """10 typed payment fields from a JSON payload (B2/L2)."""
-    return _extract(safe_parse_json(col), PAYMENT_FIELDS, strict)
+    if strict:
+        return _extract(safe_parse_json(col), PAYMENT_FIELDS, strict)
+    return lenient_fields(fast_parsed(col, PAYMENT_FIELDS), col, PAYMENT_FIELDS)
 
 
 def parsed_struct(col: Column | str, fields: list[tuple[str, T.DataType]],

@@ -12,18 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.expressions import (
-    as_of_literal, load_window, safe_parse_json,
+    as_of_literal, fast_parsed, lenient_fields, load_window,
 )
 from ledgerflow.operators.dedupe import latest_per_key
 from ledgerflow.schemas import PAYMENT_FIELDS, TRANSACTION_FIELDS
 
 
 def _parse(raw: DataFrame, fields, extra: list[str]) -> DataFrame:
-    # Parse the payload once into a VARIANT column, then read every field from
-    # it; the separate projection keeps the parse from being repeated per field.
-    v = raw.select(safe_parse_json("raw_payload").alias("_v"), *extra)
-    return v.select(*[F.try_variant_get("_v", f"$.{n}", t.simpleString()).alias(n)
-                      for n, t in fields], *extra)
+    # One from_json pass into a fixed struct (kept as its own projection so
+    # it is not repeated per field); only rows it rejects are re-read field by
+    # field through VARIANT, which gives per-field leniency.
+    v = raw.select(fast_parsed("raw_payload", fields).alias("_s"), "raw_payload", *extra)
+    return v.select(*lenient_fields("_s", "raw_payload", fields), *extra)
 
 
 def parse_raw(raw: DataFrame, fields, as_of: dt.datetime | None,

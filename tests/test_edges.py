@@ -168,3 +168,18 @@ def test_payment_subset_and_load_window(spark):
     assert payment_subset(df).count() == 2
     old = raw(spark, [tx()], loaded_at=AS_OF - dt.timedelta(days=8))
     assert stg_transactions(old, AS_OF, 7).count() == 0
+
+
+def test_fast_parse_equals_variant_reading(spark):
+    payloads = [
+        json.dumps(tx()), json.dumps(tx(amount="12.5")), json.dumps(tx(amount="abc")),
+        json.dumps(tx(is_international="true")), json.dumps(tx(posted_at="2024-01-05 10:00:00.123")),
+        json.dumps(tx(posted_at="2024-01-05T10:00:00.5")), json.dumps(tx(card_id=123)),
+        json.dumps({"transaction_id": "T9"}), "{bad", "[1, 2]", '"text"', "", "null",
+        json.dumps(tx(amount=1e300)), json.dumps(tx(posted_at="not a time")),
+    ]
+    df = spark.createDataFrame([(p,) for p in payloads], "raw_payload string")
+    fast = df.select(*X.parse_transaction("raw_payload")).collect()
+    slow = df.select(*X._extract(X.safe_parse_json("raw_payload"), X.TRANSACTION_FIELDS,
+                                 False)).collect()
+    assert fast == slow
