@@ -118,12 +118,6 @@ def parse_payment(col: Column | str, strict: bool = False) -> list[Column]:
     return lenient_fields(fast_parsed(col, PAYMENT_FIELDS), col, PAYMENT_FIELDS)
 
 
-def parsed_struct(col: Column | str, fields: list[tuple[str, T.DataType]],
-                  strict: bool = False) -> Column:
-    """The parsed fields as one struct column (parse once, expand with ``.*``)."""
-    return F.struct(*_extract(safe_parse_json(col), fields, strict))
-
-
 def to_json_payload(cols: list[Column | str]) -> Column:
     """Serialise columns to a JSON object; NTZ timestamps keep microseconds."""
     return F.to_json(F.struct(*[_c(c) for c in cols]),

@@ -92,6 +92,10 @@ def test_malformed_files_are_counted_not_fatal(spark, tmp_root):
     assert names == {"T1": None, "T2": None, "T3": "caf�"}
     report = LD.load_report(spark, f"{tmp_root}/ledger").collect()
     assert report[0].status == "partial" and report[0].files_processed == 4
+    from ledgerflow.operators.quality import evaluate, load_rules
+    everything = LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger",
+                                   include_errors=True)
+    assert evaluate(everything, "raw", load_rules()).first().failing_rows == 2
 
 
 def test_plain_json_reader_loses_invalid_utf8_record(spark, tmp_root):
