@@ -170,9 +170,10 @@ def q_outer_array_rows(spark, sf_dir):
                       for n, t in TRANSACTION_FIELDS], "has_position")
 
 
-# The extraction window used by the registered query.
-EXTRACT_START = "2024-01-10 00:00:00"
-EXTRACT_END = "2024-01-20 00:00:00"
+# The extraction span of the registered query (the whole month
+# of the fixture data, cut into hourly half-open windows).
+EXTRACT_START = "2024-01-01 00:00:00"
+EXTRACT_END = "2024-02-01 00:00:00"
 
 
 @register("extract_hour_window", O.with_(O.EV, O.RAW_TX) + f"""
