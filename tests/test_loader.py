@@ -134,3 +134,29 @@ def test_routing_keys_and_csv_and_stage(spark, tmp_root):
     from ledgerflow.sources.json_files import register_stage
     register_stage(spark, "landed_stage", res.prefix)
     assert spark.sql("SELECT count(*) AS n FROM landed_stage WHERE NOT is_error").first().n == 5
+
+
+def test_corrupt_record_quarantine_and_lines_landing(spark, tmp_root):
+    from ledgerflow.sources.json_files import read_raw_transactions
+    d = f"{tmp_root}/q"
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/a.json", "w") as f:
+        f.write('{"transaction_id": "T1", "amount": 5.0}\n{"transaction_id": "T2", "amount": "x"}\n')
+    rows = read_raw_transactions(spark, d, multi_line=False, with_corrupt=True).collect()
+    good = [r for r in rows if r._corrupt_record is None]
+    bad = [r for r in rows if r._corrupt_record is not None]
+    assert [r.transaction_id for r in good] == ["T1"] and len(bad) == 1
+    res = L.land(_rows(spark, 30), tmp_root, "lines", TRANSACTION_COLUMNS, "posted_at",
+                 batch_size=4, fmt="lines")
+    assert res.records_extracted == 30 and res.files_written >= 30 // 4
+    back = read_raw_transactions(spark, res.prefix, multi_line=False)
+    assert back.count() == 30
+
+
+def test_run_batch_job(spark, tmp_root):
+    from ledgerflow.operators.transform import read_processed, run_batch
+    res = L.land(_rows(spark, 20), tmp_root, "transactions", TRANSACTION_COLUMNS, "posted_at")
+    n = run_batch(spark, res.prefix, f"{tmp_root}/processed", AS_OF)
+    out = read_processed(spark, f"{tmp_root}/processed")
+    assert n == 20 and out.count() == 20
+    assert {r.amount_tier for r in out.collect()} <= {"LOW", "MEDIUM"}
