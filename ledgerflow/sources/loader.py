@@ -3,9 +3,12 @@
 Raw table (Parquet, partitioned by ``load_id``):
     raw_payload, loaded_at, source_file, source_row, file_size, file_mtime,
     is_error
-Ledger (Parquet, partitioned by ``load_id``):
+Ledger (Parquet, partitioned by ``landing_date``, ``load_id``):
     source_file, file_size, file_mtime, rows_loaded, rows_errored, loaded_at
 
+A load reads only the ledger partitions of the landing days it lists, so
+the already-loaded check does not grow with the ledger's history.
+
 Commit protocol on plain Parquet: a load first appends its rows under a new
 ``load_id``, then appends its ledger partition. Readers only see loads that
 have a ledger partition, and the file listing skips files already in the
@@ -59,6 +62,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("rows_loaded", T.LongType()),
     T.StructField("rows_errored", T.LongType()),
     T.StructField("loaded_at", T.TimestampNTZType()),
+    T.StructField("landing_date", T.DateType()),
     T.StructField("load_id", T.StringType()),
 ])
 
@@ -148,11 +152,19 @@ def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_
     """
     t0 = time.monotonic()
     listing = _listing(spark, source, glob)
-    pending = listing.join(read_ledger(spark, ledger_path).select(*FILE_KEY), FILE_KEY, "left_anti")
+    # Landing days of the listed files (a calendar span): only those ledger
+    # partitions are read for the already-loaded check.
+    days = [r[0] for r in listing.select(landing_date_of("source_file")).distinct().collect()]
+    led = read_ledger(spark, ledger_path)
+    vals = [d for d in days if d is not None]
+    day_cond = F.col("landing_date").isin(vals) if vals else F.lit(False)
+    if len(vals) < len(days):
+        day_cond = day_cond | F.col("landing_date").isNull()
+    pending = listing.join(led.where(day_cond).select(*FILE_KEY), FILE_KEY, "left_anti")
     # File metadata only (what the driver lists anyway), never file content.
     rows = pending.collect()
     if not rows:
-        status = "no_files" if listing.limit(1).count() == 0 else "success"
+        status = "no_files" if not days else "success"
         return LoadResult(0, 0, 0, time.monotonic() - t0, status)
     paths = [r.source_file for r in rows]
     fmt = file_format.lower()
@@ -186,8 +198,10 @@ def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_
               .select(*FILE_KEY,
                       F.coalesce("rows_loaded", F.lit(0)).cast("long").alias("rows_loaded"),
                       F.coalesce("rows_errored", F.lit(0)).cast("long").alias("rows_errored"),
-                      as_of_literal(as_of).alias("loaded_at"), F.lit(load_id).alias("load_id")))
-    ledger.write.mode("append").partitionBy("load_id").parquet(ledger_path)
+                      as_of_literal(as_of).alias("loaded_at"),
+                      landing_date_of("source_file").alias("landing_date"),
+                      F.lit(load_id).alias("load_id")))
+    ledger.write.mode("append").partitionBy("landing_date", "load_id").parquet(ledger_path)
     return LoadResult(len(paths), loaded, errored, time.monotonic() - t0,
                       "success" if errored == 0 else "partial")
 
@@ -209,10 +223,11 @@ def landing_partition_of(source_file: Column | str) -> Column:
 
 
 def landing_date_of(source_file: Column | str) -> Column:
+    """Landing day of a file from its ``year=/month=/day=`` folders; NULL if none."""
     c = F.col(source_file) if isinstance(source_file, str) else source_file
-    return F.to_date(F.regexp_replace(
-        F.regexp_extract(c, r"year=(\d{4})/month=(\d{2})/day=(\d{2})", 0),
-        r"year=(\d{4})/month=(\d{2})/day=(\d{2})", "$1-$2-$3"))
+    found = F.regexp_extract(c, r"year=(\d{4})/month=(\d{2})/day=(\d{2})", 0)
+    text = F.regexp_replace(found, r"year=(\d{4})/month=(\d{2})/day=(\d{2})", "$1-$2-$3")
+    return F.when(found != "", F.to_date(text))
 
 
 def load_report(spark: SparkSession, ledger_path: str) -> DataFrame:
