@@ -48,7 +48,7 @@ def spread_small_input(df: DataFrame) -> DataFrame:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.get_json_object("props", "$.k").try_cast("int")
 
 
 def _pick(index: Column, values: list[str]) -> Column:
