@@ -82,3 +82,8 @@ def test_job_cli_hourly(spark, tmp_root):
     assert main(args)["status"] == "success"
     assert main(args[:-1] + ["incremental"])["status"] == "success"
     assert spark.read.parquet(f"{tmp_root}/ev").count() == R.int_events(spark, SF).count()
+
+
+def test_staging_dedupe_shuffles_once_on_its_key(spark):
+    plan = _plan(R.staged(spark, SF)[0])
+    assert plan.count("hashpartitioning(transaction_id") == 1
