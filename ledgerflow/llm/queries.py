@@ -7,11 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerflow.llm import language_id, lm_score
+from ledgerflow.llm import (
+    byte_bpe, decontamination, kd_shards, language_id, line_dedup, lm_score, near_duplicates, quality_rules, warc_zip,
+    wordpiece_counts,
+)
 from ledgerflow.llm.common import table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+SHARDS = 8
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,3 +40,111 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_folds(table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+
+
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op6_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = wordpiece_counts.pieces_of(byte_bpe.load_ranks(VOCABULARY))
+    return wordpiece_counts.token_counts(table(spark, sf_dir, "documents"), *pieces)
+
+
+@query
+def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op3_warc_zip"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(html) AS hex,
+                  max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       translate(to_base(('0x' || substr(hex, 1, 10))::BIGINT, 32, 8) || to_base(('0x' || substr(hex, 11, 10))::BIGINT, 32, 8)
+              || to_base(('0x' || substr(hex, 21, 10))::BIGINT, 32, 8) || to_base(('0x' || substr(hex, 31, 10))::BIGINT, 32, 8),
+              '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""
+
+ORACLES["op5_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                     ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s FROM w),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, both.b FROM reach JOIN both ON both.a = reach.r)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+ORACLES["op8_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+           FROM (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line
+                 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+k AS (SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT l.*, k.keeper IS NOT NULL AND k.keeper <> l.doc_id AS gone FROM l LEFT JOIN k USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+ORACLES["op10_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+v AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1),
+             i -> array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS win FROM b WHERE len(w) > 0),
+lens AS (SELECT DISTINCT n FROM v),
+o AS (SELECT doc_id, lens.n, unnest(range(1, len(w) - lens.n + 2)) AS p0,
+             unnest(list_transform(range(1, len(w) - lens.n + 2), i -> array_to_string(w[i:i + lens.n - 1], ' '))) AS win
+      FROM d, lens WHERE len(w) >= lens.n),
+m AS (SELECT o.doc_id, o.p0, o.n, v.item_id FROM o JOIN v USING (win, n)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(p0, p0 + n)) AS p FROM m) GROUP BY doc_id),
+i AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
