@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from ledgerflow.plans import registry
 from tests.oracle_compare import compare
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF, [name], verbose=False)[name]
     if name in E.oracle_sql():
@@ -19,7 +20,8 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(E.queries()) and set(registry.ORACLES) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
