@@ -13,6 +13,10 @@ Text is cut at single spaces between other characters, where the split pattern
 always cuts; recently seen runs are remembered in two generations of bounded
 size, so memory does not grow with the vocabulary of the corpus.
 
+That holds for vocabularies in which every token is made by merges of lower rank,
+as training leaves them; with any other one every pre-token is merged pair by
+pair, which gives the same ids more slowly.
+
 Defined cases: null and empty texts have no ids. Every byte string decodes to
 itself. Very long texts are encoded pre-token by pre-token; a very long pre-token
 takes memory in proportion to its length. Repeated rows and extra columns need
@@ -65,7 +69,7 @@ def merge(data: bytes, ranks: dict[bytes, int], until: int = 1) -> list[bytes]:
 
 def last_merges(tokens: list[bytes]) -> list[int]:
     """For each token the length of the left part of its last merge; 0 for a single
-    byte, -1 for a token that merging never makes."""
+    byte, -1 for a token that merges of lower rank do not make."""
     ranks, out = {t: i for i, t in enumerate(tokens)}, []
     for i, t in enumerate(tokens):
         parts = merge(t, ranks, 2)
@@ -105,9 +109,9 @@ class ByteBpe:
         self.shorter: dict[int, int] = {}
         self.spines: tuple[dict, dict] = ({}, {})
         self.automaton = ahocorasick.Automaton()
+        self.proper = min(self.left, default=0) >= 0
         for i, t in enumerate(tokens):
-            if self.left[i] >= 0:  # else it can only be a whole pre-token
-                self.automaton.add_word(t.decode("latin-1"), i)
+            self.automaton.add_word(t.decode("latin-1"), i)
         self.automaton.make_automaton()
 
     def _spine(self, token: int, right: int) -> tuple[list[bytes], list[int]]:
@@ -156,7 +160,7 @@ class ByteBpe:
             data, known = self.tokens[token], -1
             for n in range(len(data) - 1, 0, -1):
                 other = self.ranks.get(data[:n], -1)
-                if other >= 0 and self.left[other] >= 0:
+                if other >= 0:
                     known = other
                     break
             self.shorter[token] = known
@@ -167,6 +171,8 @@ class ByteBpe:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
+        if not self.proper:
+            return [self.ranks[x] for x in merge(data, self.ranks)]
         n, tokens = len(data), self.tokens
         longest = [-1] * (n + 1)
         for end, token in self.automaton.iter(data.decode("latin-1")):

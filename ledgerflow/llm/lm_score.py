@@ -259,14 +259,30 @@ class LanguageModel:
         return np.log(np.where(c > 0, (c - self.discount) / self.rare_tokens, free))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Rows above a count that at most ``most`` rows reach, found in a histogram of
+    log counts (a few hundred cells)."""
+    cell = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    cells = sorted(((r["cell"], r["count"]) for r in counts.groupBy(cell.alias("cell")).count().collect()), reverse=True)
+    held, least = 0, None
+    for c, rows in cells:
+        held += rows
+        if held > most:
+            break
+        least = c
+    return counts.where(F.lit(False) if least is None else cell >= least)
+
+
 def fit(train: DataFrame, params: LmParams = LmParams()) -> LanguageModel:
     p = params
     counts = materialize(token_counts(train), "lm-counts")
     end = int(signed(np.array([END]))[0])
     stats = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct"),
                        F.count(F.when(F.col("n") == 1, 1)).alias("n1"), F.count(F.when(F.col("n") == 2, 1)).alias("n2")).first()
-    hot = counts.orderBy(F.desc("n"), "key").limit(p.hot_words).toPandas()
+    hot = _most_frequent(counts, p.hot_words).toPandas()  # hot_words rows at most
     keys, n = unsigned(hot["key"].to_numpy(np.int64)), hot["n"].to_numpy(np.int64)
+    order = np.lexsort((keys, -n))
+    keys, n = keys[order], n[order]
     # Classes: the end, then the most frequent words; the last class is everything rarer.
     frequent = np.flatnonzero(keys != END)[:p.classes - 2]
     vocab = np.concatenate([[END], keys[frequent]]).astype(np.uint64)

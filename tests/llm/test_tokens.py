@@ -1,0 +1,116 @@
+"""Byte-level BPE and word-piece counts."""
+
+import hashlib
+import random
+import struct
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from ledgerflow.llm import byte_bpe, wordpiece_counts
+from ledgerflow.llm.common import table
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return byte_bpe.ByteBpe(byte_bpe.load_ranks(PATH), public_tokenizers.PATTERN, unknown=byte_bpe.unknown_letters())
+
+
+@pytest.fixture(scope="module")
+def library(coder):
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+
+
+def ids(coder, text):
+    return list(memoryview(coder.encode(text)).cast("I"))
+
+
+def test_every_character(coder, library):
+    for lo in range(0, 0x110000, 256):
+        text = "a ".join(chr(i) for i in range(lo, lo + 256) if not 0xD800 <= i < 0xE000) + " x"
+        assert ids(coder, text) == library.encode_ordinary(text), hex(lo)
+
+
+def test_random_strings(coder, library):
+    r = random.Random(3)
+    parts = ["a", "b", " ", "  ", "\n", "\r\n", "é", "ß", "1", "23", "the", "ing", "'s", "'S", "!!", "%%%", "中", "😀", "\x1c", "\x85", "\xa0", "aaaa", "     ", "͸", "<|endoftext|>"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 40)))
+        assert ids(coder, text) == library.encode_ordinary(text), repr(text)
+        assert coder.decode(coder.encode(text)) == text.encode()
+
+
+def test_small_vocabularies_by_definition():
+    """Random merge tables, all words over two letters: backtracking equals merging by rank."""
+    r = random.Random(5)
+    for trial in range(90):
+        tokens = [bytes([i]) for i in range(256)]
+        for _ in range(8):
+            made = r.choice(tokens[97:99] + tokens[256:]) + r.choice(tokens[97:99] + tokens[256:])
+            # two of three tables as training makes them, the third any
+            if made not in tokens and (trial % 3 == 0 or byte_bpe.last_merges([*tokens, made])[-1] >= 0):
+                tokens.append(made)
+        coder = byte_bpe.ByteBpe(tokens, r"\w+")
+        assert coder.proper or trial % 3 == 0
+        for n in range(1, 9):
+            for k in range(2**n):
+                word = bytes(97 + (k >> i & 1) for i in range(n))
+                assert [tokens[i] for i in coder.encode_piece(word)] == ([word] if word in coder.ranks else byte_bpe.merge(word, coder.ranks))
+
+
+def test_memory_stays_bounded(library):
+    coder = byte_bpe.ByteBpe(byte_bpe.load_ranks(PATH), public_tokenizers.PATTERN, remember=50, pairs=50)
+    text = " ".join(f"wörd{i} {i % 7}x" for i in range(3000))
+    assert ids(coder, text) == library.encode_ordinary(text)
+    assert len(coder.recent) <= 51 and len(coder.older) <= 51 and len(coder.pairs) <= 50
+
+
+def test_documents(spark, make_docs, edge_rows, library):
+    rows = edge_rows + [(r.doc_id, r.text) for r in table(spark, "/root/testdata/sf0.001", "documents").collect()] + [(99, "ab" * 200_000)]
+    got = sorted((tuple(r) for r in byte_bpe.round_trip(make_docs(rows), PATH, public_tokenizers.PATTERN).collect()), key=repr)
+    want = []
+    for i, text in rows:
+        own = library.encode_ordinary(text or "")
+        want.append((i, len(own), hashlib.sha256(struct.pack(f"<{len(own)}I", *own)).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    assert got == sorted(want, key=repr)
+    assert byte_bpe.round_trip(make_docs(rows).limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def greedy(word, starting, continuing):
+    at, n, pieces = 0, 0, starting
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        if end is None:
+            return 1, 1
+        at, n, pieces = end, n + 1, continuing
+    return n, 0
+
+
+def counts(text, starting, continuing):
+    words = (text or "").encode().split()
+    got = [greedy(w, starting, continuing) for w in words]
+    return len(words), sum(x for x, _ in got), sum(x for _, x in got)
+
+
+def test_word_pieces_by_greedy_search(spark, make_docs, edge_rows):
+    r = random.Random(1)
+    for trial in range(4):
+        word = lambda: bytes(r.choice(b"ab") for _ in range(r.randint(1, 5)))
+        starting, continuing = {word() for _ in range(8)}, {word() for _ in range(8)}
+        if trial == 3:
+            starting = continuing = set()
+        rows = [(i, " ".join(word().decode() * r.randint(1, 4) for _ in range(30))) for i in range(20)] + edge_rows
+        got = sorted((tuple(x) for x in wordpiece_counts.token_counts(make_docs(rows), sorted(starting), sorted(continuing)).collect()), key=repr)
+        assert got == sorted(((i, *counts(t, starting, continuing)) for i, t in rows), key=repr)
+
+
+def test_word_pieces_of_a_vocabulary(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    starting, continuing = wordpiece_counts.pieces_of(byte_bpe.load_ranks(PATH))
+    got = {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in wordpiece_counts.token_counts(docs, starting, continuing).collect()}
+    s, c = set(starting), set(continuing)
+    assert got == {r.doc_id: counts(r.text, s, c) for r in docs.collect()}
+    assert wordpiece_counts.token_counts(docs.limit(0), starting, continuing).count() == 0
