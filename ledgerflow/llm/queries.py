@@ -107,12 +107,12 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-                     ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s FROM w),
+                     ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w),
 x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
 links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id
           GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, both.b FROM reach JOIN both ON both.a = reach.r)
+pairs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, pairs.b FROM reach JOIN pairs ON pairs.a = reach.r)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM s JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
@@ -135,10 +135,10 @@ WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCD
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 v AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1),
-             i -> array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS win FROM b WHERE len(w) > 0),
+             lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS win FROM b WHERE len(w) > 0),
 lens AS (SELECT DISTINCT n FROM v),
 o AS (SELECT doc_id, lens.n, unnest(range(1, len(w) - lens.n + 2)) AS p0,
-             unnest(list_transform(range(1, len(w) - lens.n + 2), i -> array_to_string(w[i:i + lens.n - 1], ' '))) AS win
+             unnest(list_transform(range(1, len(w) - lens.n + 2), lambda i: array_to_string(w[i:i + lens.n - 1], ' '))) AS win
       FROM d, lens WHERE len(w) >= lens.n),
 m AS (SELECT o.doc_id, o.p0, o.n, v.item_id FROM o JOIN v USING (win, n)),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(p0, p0 + n)) AS p FROM m) GROUP BY doc_id),

@@ -87,7 +87,8 @@ def package(index=True, zip64=False, comment=b"", method=zipfile.ZIP_STORED, ext
 def test_reads_packages_of_another_writer(kw):
     data = package(**kw)
     f = Bytes(data)
-    assert {m.name: (m.header_at, m.size) for m in warc_zip.zip_members(f)} == {i.filename: (i.header_offset, i.file_size) for i in zipfile.ZipFile(io.BytesIO(data)).infolist()}
+    plain = package(**kw | {"comment": b""})  # zipfile itself does not read a comment with an end signature
+    assert {m.name: (m.header_at, m.size) for m in warc_zip.zip_members(f)} == {i.filename: (i.header_offset, i.file_size) for i in zipfile.ZipFile(io.BytesIO(plain)).infolist()}
     got = [warc_zip.decode_record(raw) for _, _, raw in warc_zip.read_records(f)]
     assert [r["payload"] for r in got] == [f"payload {i}".encode() for i in range(5)]
 
