@@ -71,32 +71,54 @@ def fast_parsed(col: Column | str, fields: list[tuple[str, T.DataType]]) -> Colu
     """``from_json`` of the payload into a fixed struct plus a corrupt-record text.
 
     Rows whose JSON or any field does not fit the schema come back with
-    ``_corrupt_record`` set; ``lenient_fields`` re-reads only those rows.
+    ``_corrupt_record`` set; ``slow_document`` re-reads only those rows. What the
+    reader would take but VARIANT rejects (single quotes, NaN) is switched off.
     """
     schema = T.StructType([T.StructField(n, t) for n, t in fields]
                           + [T.StructField(_CORRUPT, T.StringType())])
     return F.from_json(_c(col), schema, {"mode": "PERMISSIVE",
                                          "columnNameOfCorruptRecord": _CORRUPT,
+                                         "allowSingleQuotes": "false",
+                                         "allowNonNumericNumbers": "false",
                                          "timestampNTZFormat": JSON_READ_TIMESTAMP_PATTERN})
 
 
-def lenient_fields(struct_col: Column | str, text_col: Column | str,
-                   fields: list[tuple[str, T.DataType]]) -> list[Column]:
-    """Fields from the fast struct; rows it rejected fall back to VARIANT reads.
+def fits_fast_path(struct_col: Column | str, text_col: Column | str) -> Column:
+    """Whether the fast struct holds what reading with VARIANT would give.
 
-    Same result as reading every field with ``try_variant_get``: a clean row
-    parses identically both ways, and a row with a mistyped field or bad
-    JSON takes the VARIANT path (per-field NULLs, strings cast to the target
-    type), which is evaluated only for those rows.
+    Not so for rows it rejected, nor for duplicate keys (malformed for VARIANT):
+    the outer keys are compared, and a nested object takes the slow path.
     """
+    st, text = _c(struct_col), _c(text_col)
+    keys = F.json_object_keys(text)
+    repeated = F.size(F.array_distinct(keys)) != F.size(keys)
+    nested = F.locate("{", text, 2) > 0
+    return st.isNull() | (st[_CORRUPT].isNull() & ~F.coalesce(repeated | nested, F.lit(False)))
+
+
+def slow_document(struct_col: Column | str, text_col: Column | str) -> Column:
+    """VARIANT of the rows that the fast path does not cover, NULL for others: one parse a row."""
+    return F.when(~fits_fast_path(struct_col, text_col), F.try_parse_json(_c(text_col)))
+
+
+def lenient_fields(struct_col: Column | str, fits_col: Column | str, variant_col: Column | str,
+                   fields: list[tuple[str, T.DataType]]) -> list[Column]:
+    """Fields from the fast struct, or per field from the VARIANT where it does not
+    fit (a mistyped field is NULL, strings cast to the target type)."""
     st = _c(struct_col)
-    ok = st.isNull() | st[_CORRUPT].isNull()
-    out = []
-    for name, dtype in fields:
-        slow = F.try_variant_get(F.try_parse_json(_c(text_col)), f"$.{name}",
-                                 dtype.simpleString())
-        out.append(F.when(ok, st[name]).otherwise(slow).alias(name))
-    return out
+    return [F.when(_c(fits_col), st[name])
+            .otherwise(F.try_variant_get(_c(variant_col), f"$.{name}", dtype.simpleString())).alias(name)
+            for name, dtype in fields]
+
+
+def parsed_fields(df: DataFrame, text_col: str, fields: list[tuple[str, T.DataType]],
+                  extra: list[str]) -> DataFrame:
+    """``fields`` of the JSON in ``text_col`` beside the ``extra`` columns. Each step is a
+    projection of its own, so neither parse is repeated per field."""
+    v = df.select(fast_parsed(text_col, fields).alias("_s"), text_col, *extra)
+    v = v.select("_s", fits_fast_path("_s", text_col).alias("_fits"),
+                 slow_document("_s", text_col).alias("_v"), *extra)
+    return v.select(*lenient_fields("_s", "_fits", "_v", fields), *extra)
 
 
 def parse_transaction(col: Column | str, strict: bool = False) -> list[Column]:
@@ -106,16 +128,12 @@ def parse_transaction(col: Column | str, strict: bool = False) -> list[Column]:
     on a value that cannot be cast (the warehouse's ``::TYPE`` behaviour).
     Unparseable text yields all-NULL fields.
     """
-    if strict:
-        return _extract(safe_parse_json(col), TRANSACTION_FIELDS, strict)
-    return lenient_fields(fast_parsed(col, TRANSACTION_FIELDS), col, TRANSACTION_FIELDS)
+    return _extract(safe_parse_json(col), TRANSACTION_FIELDS, strict)
 
 
 def parse_payment(col: Column | str, strict: bool = False) -> list[Column]:
     """10 typed payment fields from a JSON payload (B2/L2)."""
-    if strict:
-        return _extract(safe_parse_json(col), PAYMENT_FIELDS, strict)
-    return lenient_fields(fast_parsed(col, PAYMENT_FIELDS), col, PAYMENT_FIELDS)
+    return _extract(safe_parse_json(col), PAYMENT_FIELDS, strict)
 
 
 def to_json_payload(cols: list[Column | str]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -55,14 +57,18 @@ def shared_dir(spark: SparkSession) -> str:
 
     On a cluster this is a shared filesystem path (HDFS/S3/...); every written
     intermediate (landing files, merged tables, checkpoints) goes below it so a
-    lost executor never takes data with it. Only when the session has none set
-    (local tests) a private temp folder is created and registered.
+    lost executor never takes data with it. Only when a local session has none
+    set (tests) a private temp folder is created and registered; on a cluster a
+    missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if d:
         return d.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
     key = id(spark.sparkContext)
     if key not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
@@ -83,6 +89,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the engine's own tables, if it is there."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def list_entries(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that match a glob pattern, in order."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hpath)
+    return sorted(s.getPath().toString() for s in (found or []))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (Hadoop-compatible) filesystem."""
     jvm = spark.sparkContext._jvm

@@ -16,8 +16,7 @@ def register_partitioned_table(spark: SparkSession, name: str, path: str,
     data_cols = [f for f in schema.fields if f.name not in partition_cols]
     part_cols = [schema[c] for c in partition_cols]
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data_cols + part_cols)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'")
     spark.catalog.recoverPartitions(name)
     return spark.table(name)

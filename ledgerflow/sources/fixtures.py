@@ -33,20 +33,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than task slots.
-
-    The driver's tables are single-row-group files, so a scan is one task no
-    matter the size; the JSON work downstream would then run on one core. A
-    large input already has one split per row group and is left alone (no
-    extra shuffle at scale).
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
 def _k() -> Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
@@ -67,9 +53,8 @@ def _ntz(c: Column) -> Column:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = (load_table(spark, sf_dir, "events")
-          .select("event_id", "ts", "user_id", "event_type", "value", _k().alias("k")))
-    return spread_small_input(ev)
+    return (load_table(spark, sf_dir, "events")
+            .select("event_id", "ts", "user_id", "event_type", "value", _k().alias("k")))
 
 
 def raw_transaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +107,28 @@ def raw_transaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_a.select(*cols).unionByName(set_b.select(*cols))
 
 
+def corrected_rows(rows: DataFrame, loaded_at: dt.datetime) -> DataFrame:
+    """Corrections that arrive at ``loaded_at`` (set C): every transaction of the first day and
+    each 29th one is posted a day later, each 31st one loses its posting time."""
+    first = rows.agg(F.min(F.to_date("posted_at"))).first()[0]
+    of_first_day = F.to_date("posted_at") == F.lit(first)
+    moved = of_first_day | (F.col("event_id") % 29 == 0)
+    out = rows.where((F.col("resend_set") == "A") & (moved | (F.col("event_id") % 31 == 0)))
+    return out.withColumns({
+        "posted_at": F.when(moved, _ntz(F.col("posted_at") + F.expr("INTERVAL 1 DAY"))),
+        "authorized_at": F.lit(None).cast(T.TimestampNTZType()),
+        "loaded_at": F.lit(loaded_at).cast(T.TimestampNTZType()),
+        "resend_set": F.lit("C")})
+
+
+def restated_rows(rows: DataFrame) -> DataFrame:
+    """Versions that differ from the first in status alone (set C): each 17th transaction,
+    equal authorization time, loaded four hours later."""
+    return rows.where((F.col("resend_set") == "A") & (F.col("event_id") % 17 == 0)).withColumns({
+        "transaction_status": F.lit("PENDING"),
+        "loaded_at": _ntz(F.col("loaded_at") + F.expr("INTERVAL 4 HOURS")), "resend_set": F.lit("C")})
+
+
 def raw_payment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed raw payment records (set A: clicks/purchases; set B: re-sends)."""
     ev = _events(spark, sf_dir)
@@ -195,8 +202,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
     """raw.transactions: (raw_payload, loaded_at, source_file, source_row,
     record_key, route_date) — the last two are routing keys kept beside the
     payload (transaction_id, posting date), as a loader extracts them."""
-    return _raw_table(raw_transaction_rows(spark, sf_dir), "transactions",
-                      TRANSACTION_COLUMNS, corrupt_every, "transaction_id",
+    return raw_transactions_of(raw_transaction_rows(spark, sf_dir), corrupt_every)
+
+
+def raw_transactions_of(rows: DataFrame, corrupt_every: int | None = None) -> DataFrame:
+    return _raw_table(rows, "transactions", TRANSACTION_COLUMNS, corrupt_every, "transaction_id",
                       F.to_date("posted_at"))
 
 

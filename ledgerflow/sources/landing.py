@@ -7,7 +7,8 @@ Two file formats:
 
 * ``"array"`` – each file is one JSON array of at most ``batch_size`` records
   (the processor's landing format, fed to the outer-array strip).
-* ``"lines"`` – Spark's JSON-lines writer with ``maxRecordsPerFile``.
+* ``"lines"`` – one JSON document a line, at most ``batch_size`` lines a file:
+  one shuffle by hour (AQE splits a hot one), no grouping.
 
 Array chunks are formed without a window. Rows are first range-partitioned
 on (hour, source partition, record hash) and sorted within each task, so a
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.expressions import (
     PAYMENT_TYPES, half_open_window, hour_floor, to_json_payload,
 )
+from ledgerflow.session import path_exists
 
 # Records per landed file, landing partition columns.
 BATCH_SIZE = 10_000
@@ -95,6 +97,14 @@ def _array_chunks(df: DataFrame, fields: list[str], time_col: str,
                           F.size("_items").alias("_n"))
 
 
+def _count_files(df: DataFrame, path: str) -> int:
+    spark = df.sparkSession
+    if not path_exists(spark, path):
+        return 0
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "part-*").load(path).select("path").count())
+
+
 def land(df: DataFrame, root: str, feed: str, fields: list[str], time_col: str,
          batch_size: int = BATCH_SIZE, fmt: str = "array",
          mode: str = "append", payload: Column | None = None) -> ExtractionResult:
@@ -102,8 +112,7 @@ def land(df: DataFrame, root: str, feed: str, fields: list[str], time_col: str,
 
     One write action; records and files are counted by an ``Observation`` on
     the written rows, not by re-running the plan. ``status`` is ``empty`` when
-    there was nothing to land. ``payload`` (array format only) overrides the
-    JSON text of each element.
+    there was nothing to land. ``payload`` overrides the JSON text of each record.
     """
     out = partition_path(root, feed)
     obs = Observation(f"land_{feed}_{uuid.uuid4().hex[:8]}")
@@ -117,16 +126,14 @@ def land(df: DataFrame, root: str, feed: str, fields: list[str], time_col: str,
                .text(out))
         records, files = int(obs.get["records"]), int(obs.get["files"])
     elif fmt == "lines":
-        rows = df.select(*partition_columns(time_col), *fields)
+        rec = payload if payload is not None else to_json_payload(fields)
+        rows = df.select(*partition_columns(time_col), rec.alias("value")).hint("rebalance", *PARTITION_COLUMNS)
         rows = rows.observe(obs, F.count(F.lit(1)).alias("records"))
+        before = _count_files(df, out)
         (rows.write.mode(mode).partitionBy(*PARTITION_COLUMNS)
-             .option("maxRecordsPerFile", batch_size)
-             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-             .option("compression", "none").json(out))
+             .option("maxRecordsPerFile", batch_size).option("compression", "none").text(out))
         records = int(obs.get["records"])
-        files = (df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .option("pathGlobFilter", "*.json").load(out).select("path").count()
-                 if records else 0)
+        files = _count_files(df, out) - (before if mode == "append" else 0)
     else:
         raise ValueError(f"unknown landing format {fmt!r}")
     return ExtractionResult(feed, records, files, out, "success" if records else "empty")

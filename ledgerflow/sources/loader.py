@@ -1,24 +1,25 @@
 """Idempotent bulk load of landed files into a raw table.
 
-Raw table (Parquet, partitioned by ``load_id``):
+Raw table (Parquet, partitioned by ``load_date``, ``load_id``):
     raw_payload, loaded_at, source_file, source_row, file_size, file_mtime,
-    is_error
+    is_error, record_key, route_date
 Ledger (Parquet, partitioned by ``landing_date``, ``load_id``):
     source_file, file_size, file_mtime, rows_loaded, rows_errored, loaded_at
 
-A load reads only the ledger partitions of the landing days it lists, so
-the already-loaded check does not grow with the ledger's history.
+Files are found and loaded in batches of landing days, so what the driver lists
+at once is bounded by those days, and the already-loaded check reads only their
+ledger partitions. File names are compared on the executors.
 
-Commit protocol on plain Parquet: a load first appends its rows under a new
+Commit protocol on plain Parquet: a batch first appends its rows under a new
 ``load_id``, then appends its ledger partition. Readers only see loads that
 have a ledger partition, and the file listing skips files already in the
 ledger (same path, size and mtime). A load that dies between the two writes
 leaves an invisible partition and its files are picked up again by the next
 run, so every file is visible exactly once. Source files are never deleted.
 
-Malformed input does not stop a load: an element that is not a JSON object,
-or a file that is not JSON at all (one row), is kept with ``is_error`` and
-counted as errored; the staging views read only good rows.
+Malformed input does not stop a load: a record that is not a JSON object, a CSV
+line that does not fit its header and a Parquet file that is none are kept with
+``is_error`` and counted as errored; the staging views read only good rows.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.expressions import as_of_literal
-from ledgerflow.session import path_exists
+from ledgerflow.schemas import PAYMENT_ROUTING, ROUTING, TRANSACTION_ROUTING  # noqa: F401
+from ledgerflow.session import list_entries, path_exists
 from ledgerflow.sources.json_files import explode_json_text, list_files
 
 RAW_TABLE_SCHEMA = T.StructType([
@@ -47,14 +49,10 @@ RAW_TABLE_SCHEMA = T.StructType([
     T.StructField("is_error", T.BooleanType()),
     T.StructField("record_key", T.StringType()),
     T.StructField("route_date", T.DateType()),
+    T.StructField("load_date", T.DateType()),
     T.StructField("load_id", T.StringType()),
 ])
 
-# Routing keys per feed (JSON path of the record key and of the
-# date the record is routed by).
-TRANSACTION_ROUTING = ("$.transaction_id", "$.posted_at")
-PAYMENT_ROUTING = ("$.payment_id", "$.scheduled_date")
-
 LEDGER_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
     T.StructField("file_size", T.LongType()),
@@ -67,6 +65,8 @@ LEDGER_SCHEMA = T.StructType([
 ])
 
 FILE_KEY = ["source_file", "file_size", "file_mtime"]
+#: Landing days that one batch covers at most.
+BATCH_DAYS = 31
 
 
 @dataclass
@@ -99,102 +99,139 @@ def read_raw_table(spark: SparkSession, target_path: str, ledger_path: str,
     return raw
 
 
-def _listing(spark: SparkSession, source: str | list[str], glob: str | None) -> DataFrame:
-    sources = [source] if isinstance(source, str) else list(source)
-    sources = [p for p in sources if path_exists(spark, p)]
+def _name(path: Column) -> Column:
+    """One spelling of a file's path, whichever reader names it."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def batches(spark: SparkSession, source: str | list[str], days: int = BATCH_DAYS) -> list[list[str]]:
+    """Paths below the sources, in groups of at most ``days`` landing days. Whatever
+    lies beside the ``year=/month=/day=`` folders makes a group of its own."""
+    out: list[list[str]] = []
+    for root in [source] if isinstance(source, str) else list(source):
+        if not path_exists(spark, root):
+            continue
+        root = root.rstrip("/")
+        found = list_entries(spark, f"{root}/year=*/month=*/day=*")
+        if not found:
+            out.append([root])
+            continue
+        out += [found[i:i + days] for i in range(0, len(found), days)]
+        beside = [p for pattern, part in (("*", "year="), ("year=*/*", "month="), ("year=*/month=*/*", "day="))
+                  for p in list_entries(spark, f"{root}/{pattern}") if not p.rsplit("/", 1)[1].startswith((part, "_", "."))]
+        if beside:
+            out.append(beside)
+    return out
+
+
+def _read_files(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame | None:
+    """Files below ``paths``: FILE_KEY and content (read only where it is used)."""
     try:
-        files = list_files(spark, sources, glob) if sources else None
+        files = list_files(spark, paths, glob)
     except AnalysisException:      # e.g. a folder without any matching file
-        files = None
-    if files is None:
-        return spark.createDataFrame([], "source_file string, file_size long, file_mtime timestamp")
-    return files.select(F.col("path").alias("source_file"), F.col("length").alias("file_size"),
-                        F.col("modificationTime").alias("file_mtime"))
-
-
-def _json_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Landed JSON files -> records; undecodable bytes are replaced (A4)."""
-    files = (spark.read.format("binaryFile").load(paths)
-             .select(F.col("path").alias("source_file"), F.col("length").alias("file_size"),
-                     F.col("modificationTime").alias("file_mtime"),
-                     F.make_valid_utf8(F.col("content").cast("string")).alias("text")))
-    return explode_json_text(files)
-
-
-def _columnar_rows(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
-    df = reader.load(paths)
-    data_cols = [c for c in df.columns]
-    row_index = (F.col("_metadata.row_index").cast("long") if fmt == "parquet"
-                 else F.lit(None).cast("long"))
-    return df.select(
-        F.to_json(F.struct(*data_cols)).alias("raw_payload"),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_modification_time").alias("file_mtime"),
-        row_index.alias("source_row"),
-        F.lit(False).alias("is_error"),
-    )
+        return None
+    return files.select(_name(F.col("path")).alias("source_file"), F.col("length").alias("file_size"),
+                        F.col("modificationTime").alias("file_mtime"), "content")
+
+
+def _csv_rows(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame:
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    names = reader.csv(paths).columns
+    bad = "_corrupt_record"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, bad]])
+    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).schema(schema).csv(paths)
+    return df.select(F.when(F.col(bad).isNull(), F.to_json(F.struct(*names))).otherwise(F.col(bad)).alias("raw_payload"),
+                     F.col("_metadata").alias("_m"), F.lit(None).cast("long").alias("source_row"), F.col(bad).isNotNull().alias("is_error"))
+
+
+def _parquet_rows(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.parquet(*paths)
+    return df.select(F.to_json(F.struct(*df.columns)).alias("raw_payload"), F.col("_metadata").alias("_m"),
+                     F.col("_metadata.row_index").cast("long").alias("source_row"), F.lit(False).alias("is_error"))
+
+
+def _record_rows(spark: SparkSession, files: DataFrame, pending: DataFrame, paths: list[str], fmt: str,
+                 glob: str | None) -> DataFrame:
+    """Records of the pending files: raw_payload, source_row, is_error, FILE_KEY."""
+    if fmt == "json":
+        # The pending keys are those of one batch's files.
+        text = F.make_valid_utf8(F.col("content").cast("string"))     # A4
+        return explode_json_text(files.select(*FILE_KEY, text.alias("text"))
+                                 .join(F.broadcast(pending), FILE_KEY, "left_semi"))
+    try:
+        rows = (_csv_rows if fmt == "csv" else _parquet_rows)(spark, paths, glob)
+    except AnalysisException:      # no file that this format can open
+        return spark.createDataFrame([], "source_file string, file_size long, file_mtime timestamp, "
+                                         "source_row long, raw_payload string, is_error boolean")
+    m = F.col("_m")
+    path = F.try_url_decode(F.replace(m["file_path"], F.lit("+"), F.lit("%2B")))
+    rows = rows.select(_name(path).alias("source_file"), m["file_size"].alias("file_size"),
+                       m["file_modification_time"].alias("file_mtime"), "source_row", "raw_payload", "is_error")
+    return rows.join(F.broadcast(pending), FILE_KEY, "left_semi")
+
+
+def _append(rows: DataFrame, target_path: str, as_of: dt.datetime, load_id: str,
+            routing: tuple[str, str] | None) -> None:
+    if routing:
+        v = F.try_parse_json("raw_payload")
+        key, day = F.try_variant_get(v, routing[0], "string"), F.try_variant_get(v, routing[1], "date")
+    else:
+        key, day = F.lit(None).cast("string"), F.lit(None).cast("date")
+    loaded_at = as_of_literal(as_of)
+    (rows.select("raw_payload", loaded_at.alias("loaded_at"), "source_file",
+                 "source_row", "file_size", "file_mtime", "is_error",
+                 F.when(~F.col("is_error"), key).alias("record_key"), F.when(~F.col("is_error"), day).alias("route_date"),
+                 F.to_date(loaded_at).alias("load_date"), F.lit(load_id).alias("load_id"))
+         .write.mode("append").partitionBy("load_date", "load_id").parquet(target_path))
 
 
-def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_path: str,
-         as_of: dt.datetime, file_format: str = "json", glob: str | None = None,
-         routing: tuple[str, str] | None = None) -> LoadResult:
-    """Load every not-yet-loaded file under ``source``.
-
-    ``loaded_at`` is the batch timestamp ``as_of``. Status: ``no_files`` when
-    nothing is listed, ``success`` when no row errored, else ``partial``.
-    ``routing`` = (key path, date path) stores ``record_key`` / ``route_date``
-    beside each payload, so incremental runs can select versions by key and
-    day without parsing every payload.
-    """
-    t0 = time.monotonic()
-    listing = _listing(spark, source, glob)
-    # Landing days of the listed files (a calendar span): only those ledger
-    # partitions are read for the already-loaded check.
-    days = [r[0] for r in listing.select(landing_date_of("source_file")).distinct().collect()]
-    led = read_ledger(spark, ledger_path)
-    vals = [d for d in days if d is not None]
+def _load_batch(spark: SparkSession, paths: list[str], target_path: str, ledger_path: str, as_of: dt.datetime,
+                fmt: str, glob: str | None, routing: tuple[str, str] | None) -> tuple[int, int, int, int]:
+    """Load one batch; returns files listed, files loaded, rows loaded, rows errored."""
+    files = _read_files(spark, paths, glob)
+    if files is None:
+        return 0, 0, 0, 0
+    listing = files.select(*FILE_KEY)
+    # Landing days of the batch (bounded): only those ledger partitions are read.
+    per_day = {r[0]: r[1] for r in listing.groupBy(landing_date_of("source_file")).count().collect()}
+    vals = [d for d in per_day if d is not None]
     day_cond = F.col("landing_date").isin(vals) if vals else F.lit(False)
-    if len(vals) < len(days):
+    if None in per_day:
         day_cond = day_cond | F.col("landing_date").isNull()
-    pending = listing.join(led.where(day_cond).select(*FILE_KEY), FILE_KEY, "left_anti")
-    # File metadata only (what the driver lists anyway), never file content.
-    rows = pending.collect()
-    if not rows:
-        status = "no_files" if not days else "success"
-        return LoadResult(0, 0, 0, time.monotonic() - t0, status)
-    paths = [r.source_file for r in rows]
-    fmt = file_format.lower()
-    data = _json_rows(spark, paths) if fmt == "json" else _columnar_rows(spark, paths, fmt)
+    done = read_ledger(spark, ledger_path).where(day_cond).select(*FILE_KEY)
+    pending = listing.join(done, FILE_KEY, "left_anti")
+    n_files = pending.count()
+    if not n_files:
+        return sum(per_day.values()), 0, 0, 0
     load_id = f"{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     obs = Observation(f"load_{load_id}")
-    data = data.observe(obs, F.count_if(~F.col("is_error")).alias("loaded"),
-                        F.count_if(F.col("is_error")).alias("errored"))
-    if routing:
-        v = F.try_parse_json("raw_payload")
-        key = F.try_variant_get(v, routing[0], "string")
-        day = F.try_variant_get(v, routing[1], "date")
-    else:
-        key, day = F.lit(None).cast("string"), F.lit(None).cast("date")
-    (data.select("raw_payload", as_of_literal(as_of).alias("loaded_at"), "source_file",
-                 "source_row", "file_size", "file_mtime", "is_error",
-                 key.alias("record_key"), day.alias("route_date"),
-                 F.lit(load_id).alias("load_id"))
-         .write.mode("append").partitionBy("load_id").parquet(target_path))
+    rows = _record_rows(spark, files, pending, paths, fmt, glob).observe(
+        obs, F.count_if(~F.col("is_error")).alias("loaded"), F.count_if(F.col("is_error")).alias("errored"))
+    _append(rows, target_path, as_of, load_id, routing)
     loaded, errored = int(obs.get["loaded"]), int(obs.get["errored"])
     # Ledger: every processed file (empty ones too), with its counts taken
     # from the partition just written (a narrow columnar scan).
-    written = spark.read.schema(RAW_TABLE_SCHEMA).parquet(target_path).where(
-        F.col("load_id") == load_id)
+    written = _read_or_empty(spark, target_path, RAW_TABLE_SCHEMA).where(F.col("load_id") == load_id)
+    if fmt == "parquet":
+        # A file without rows is empty or no Parquet file at all: then it is one error.
+        magic = [F.substring("content", at, 4) == F.lit(b"PAR1") for at in (1, -4)]
+        broken = (files.join(F.broadcast(pending.join(written.select(*FILE_KEY).distinct(), FILE_KEY, "left_anti")), FILE_KEY, "left_semi")
+                  .where(~(magic[0] & magic[1])).select(*FILE_KEY, F.lit(None).cast("long").alias("source_row"),
+                                                        F.lit(None).cast("string").alias("raw_payload"), F.lit(True).alias("is_error")))
+        n_broken = broken.count()
+        if n_broken:
+            _append(broken, target_path, as_of, load_id, routing)
+            errored += n_broken
+            written = spark.read.schema(RAW_TABLE_SCHEMA).parquet(target_path).where(F.col("load_id") == load_id)
     counts = (written.groupBy(*FILE_KEY)
               .agg(F.count_if(~F.col("is_error")).alias("rows_loaded"),
                    F.count_if(F.col("is_error")).alias("rows_errored")))
-    files = spark.createDataFrame([tuple(r) for r in rows],
-                                  "source_file string, file_size long, file_mtime timestamp")
-    ledger = (files.join(counts, FILE_KEY, "left")
+    ledger = (pending.join(counts, FILE_KEY, "left")
               .select(*FILE_KEY,
                       F.coalesce("rows_loaded", F.lit(0)).cast("long").alias("rows_loaded"),
                       F.coalesce("rows_errored", F.lit(0)).cast("long").alias("rows_errored"),
@@ -202,8 +239,30 @@ def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_
                       landing_date_of("source_file").alias("landing_date"),
                       F.lit(load_id).alias("load_id")))
     ledger.write.mode("append").partitionBy("landing_date", "load_id").parquet(ledger_path)
-    return LoadResult(len(paths), loaded, errored, time.monotonic() - t0,
-                      "success" if errored == 0 else "partial")
+    return sum(per_day.values()), n_files, loaded, errored
+
+
+def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_path: str,
+         as_of: dt.datetime, file_format: str = "json", glob: str | None = None,
+         routing: tuple[str, str] | None = None, feed: str | None = None,
+         batch_days: int = BATCH_DAYS) -> LoadResult:
+    """Load every not-yet-loaded file under ``source``.
+
+    ``loaded_at`` is the batch timestamp ``as_of``. Status: ``no_files`` when
+    nothing is listed, ``success`` when no row errored, else ``partial``.
+    ``feed`` (or ``routing`` = key path, date path) stores ``record_key`` and
+    ``route_date`` beside each payload, so incremental runs can select versions
+    by key and day without parsing every payload.
+    """
+    t0 = time.monotonic()
+    routing = routing or (ROUTING[feed] if feed else None)
+    sums = [0, 0, 0, 0]
+    for paths in batches(spark, source, batch_days):
+        got = _load_batch(spark, paths, target_path, ledger_path, as_of, file_format.lower(), glob, routing)
+        sums = [a + b for a, b in zip(sums, got)]
+    listed, n_files, loaded, errored = sums
+    status = "no_files" if not listed else "success" if not errored else "partial"
+    return LoadResult(n_files, loaded, errored, time.monotonic() - t0, status)
 
 
 def load_date(spark: SparkSession, root: str, feed: str, target_path: str, ledger_path: str,
@@ -213,7 +272,7 @@ def load_date(spark: SparkSession, root: str, feed: str, target_path: str, ledge
     from ledgerflow.sources.landing import partition_path
     day = date or dt.datetime.now(dt.timezone.utc).date()
     return load(spark, partition_path(root, feed, day), target_path, ledger_path, as_of,
-                file_format)
+                file_format, routing=ROUTING.get(feed))
 
 
 def landing_partition_of(source_file: Column | str) -> Column:
@@ -227,7 +286,7 @@ def landing_date_of(source_file: Column | str) -> Column:
     c = F.col(source_file) if isinstance(source_file, str) else source_file
     found = F.regexp_extract(c, r"year=(\d{4})/month=(\d{2})/day=(\d{2})", 0)
     text = F.regexp_replace(found, r"year=(\d{4})/month=(\d{2})/day=(\d{2})", "$1-$2-$3")
-    return F.when(found != "", F.to_date(text))
+    return F.when(found != "", text.try_cast("date"))
 
 
 def load_report(spark: SparkSession, ledger_path: str) -> DataFrame:

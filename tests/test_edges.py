@@ -176,10 +176,13 @@ def test_fast_parse_equals_variant_reading(spark):
         json.dumps(tx(is_international="true")), json.dumps(tx(posted_at="2024-01-05 10:00:00.123")),
         json.dumps(tx(posted_at="2024-01-05T10:00:00.5")), json.dumps(tx(card_id=123)),
         json.dumps({"transaction_id": "T9"}), "{bad", "[1, 2]", '"text"', "", "null",
-        json.dumps(tx(amount=1e300)), json.dumps(tx(posted_at="not a time")),
+        json.dumps(tx(amount=1e300)), json.dumps(tx(posted_at="not a time")), None,
+        '{"transaction_id": "T1", "transaction_id": "T2"}', '{"transaction_id": "T1", "amount": NaN}',
+        "{'transaction_id': 'T1'}", '{"transaction_id": "T1", "meta": {"a": 1, "a": 2}}',
+        '{"transaction_id": "T1", "meta": {"a": 1}, "amount": "7"}',
     ]
     df = spark.createDataFrame([(p,) for p in payloads], "raw_payload string")
-    fast = df.select(*X.parse_transaction("raw_payload")).collect()
+    fast = X.parsed_fields(df, "raw_payload", X.TRANSACTION_FIELDS, []).collect()
     slow = df.select(*X._extract(X.safe_parse_json("raw_payload"), X.TRANSACTION_FIELDS,
                                  False)).collect()
     assert fast == slow

@@ -65,8 +65,8 @@ def test_uncommitted_load_is_invisible_and_reloaded(spark, tmp_root):
     res = L.land(_rows(spark, 10), tmp_root, "transactions", TRANSACTION_COLUMNS, "posted_at")
     # a crashed load: data written, ledger never written
     orphan = spark.createDataFrame([("{}", AS_OF, "x", 0, 1, dt.datetime(2024, 1, 1), False,
-                                     None, None, "crashed")], LD.RAW_TABLE_SCHEMA)
-    orphan.write.partitionBy("load_id").parquet(f"{tmp_root}/raw")
+                                     None, None, AS_OF.date(), "crashed")], LD.RAW_TABLE_SCHEMA)
+    orphan.write.partitionBy("load_date", "load_id").parquet(f"{tmp_root}/raw")
     assert LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger").count() == 0
     r = LD.load(spark, res.prefix, f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF)
     assert r.rows_loaded == 10
@@ -160,3 +160,73 @@ def test_run_batch_job(spark, tmp_root):
     out = read_processed(spark, f"{tmp_root}/processed")
     assert n == 20 and out.count() == 20
     assert {r.amount_tier for r in out.collect()} <= {"LOW", "MEDIUM"}
+
+
+def _write(path, data):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(data)
+
+
+def test_every_good_record_loads_and_every_broken_one_is_one_error(spark, tmp_root):
+    good = [json.dumps({"transaction_id": f"T{i}", "items": [{"a": 1}, {"b": "},{"}]}) for i in range(100)]
+    broken = '{"transaction_id": "X", "amount": }'
+    texts = {
+        "lines": "\n".join(good), "array": "[" + ",\n ".join(good) + "]",
+        "broken_array": "[" + ",".join([*good[:50], broken, *good[50:]]) + "]",
+        "broken_lines": "\n".join([*good[:50], broken, *good[50:], "oops"]),
+        "concatenated": " ".join(good), "two_arrays": "[" + ",".join(good[:50]) + "]\n[" + ",".join(good[50:]) + "]",
+        "open_array": "[" + ",".join(good), "single": good[0], "blank": " \n", "empty": "[]", "tail": "[" + good[0] + "] rest",
+    }
+    want = {"lines": (100, 0), "array": (100, 0), "broken_array": (100, 1), "broken_lines": (100, 2), "concatenated": (100, 0),
+            "two_arrays": (100, 0), "open_array": (100, 0), "single": (1, 0), "blank": (0, 0), "empty": (0, 0), "tail": (1, 1)}
+    for name, text in texts.items():
+        _write(f"{tmp_root}/src/{name}.json", text.encode())
+    r = LD.load(spark, f"{tmp_root}/src", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, feed="transactions")
+    assert (r.files_processed, r.rows_loaded, r.rows_errored, r.status) == (
+        len(texts), sum(a for a, _ in want.values()), sum(b for _, b in want.values()), "partial")
+    per_file = {os.path.basename(x.source_file)[:-5]: (x.rows_loaded, x.rows_errored) for x in LD.read_ledger(spark, f"{tmp_root}/ledger").collect()}
+    assert per_file == want
+    assert LD.load(spark, f"{tmp_root}/src", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF).files_processed == 0
+
+
+def test_csv_and_parquet_rejects(spark, tmp_root):
+    _write(f"{tmp_root}/csv/a b.csv", b"transaction_id,amount\nT1,5\nT2,6,7\nT3,8\n")
+    r = LD.load(spark, f"{tmp_root}/csv", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, file_format="csv", feed="transactions")
+    assert (r.rows_loaded, r.rows_errored, r.status) == (2, 1, "partial")
+    _rows(spark, 5).coalesce(1).write.parquet(f"{tmp_root}/pq")
+    _write(f"{tmp_root}/pq/part-bad.parquet", b"this is no parquet file")
+    r = LD.load(spark, f"{tmp_root}/pq", f"{tmp_root}/raw2", f"{tmp_root}/ledger2", AS_OF, file_format="parquet", glob="*.parquet")
+    assert (r.files_processed, r.rows_loaded, r.rows_errored, r.status) == (2, 5, 1, "partial")
+
+
+def test_files_beside_the_day_folders_and_bad_folder_names(spark, tmp_root):
+    rec = b'[{"transaction_id": "T"}]'
+    for p in ("year=2024/month=01/day=05/hour=10/a.json", "year=2024/month=13/day=45/b.json", "loose.json", "year=2024/c.json",
+              "year=2024/month=01/d.json", "other/e.json", "year=2024/month=01/day=06/deep/er/f.json"):
+        _write(f"{tmp_root}/src/{p}", rec)
+    r = LD.load(spark, f"{tmp_root}/src", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, batch_days=1)
+    assert (r.files_processed, r.rows_loaded, r.status) == (7, 7, "success")
+    assert LD.load(spark, f"{tmp_root}/src", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF).files_processed == 0
+    days = {x.landing_date for x in LD.read_ledger(spark, f"{tmp_root}/ledger").collect()}
+    assert days == {dt.date(2024, 1, 5), dt.date(2024, 1, 6), None}
+
+
+def test_part_of_a_folder_already_loaded(spark, tmp_root):
+    _write(f"{tmp_root}/src/a.json", b'[{"transaction_id": "T1"}]')
+    LD.load(spark, f"{tmp_root}/src", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF)
+    _write(f"{tmp_root}/src/b.json", b'{"transaction_id": "T2"}')
+    r = LD.load(spark, f"{tmp_root}/src", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF)
+    assert (r.files_processed, r.rows_loaded) == (1, 1)
+    assert LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger").count() == 2
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    import types
+
+    import pytest
+    from ledgerflow.session import shared_dir
+    context = types.SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session)
