@@ -130,10 +130,13 @@ def events_rules() -> list[Rule]:
     ]
 
 
-def daily_rules() -> list[Rule]:
-    return [
-        not_null("daily_key"), not_null("event_date"),
-        unique("daily_key"),
+def daily_rules(published_key: bool = False) -> list[Rule]:
+    """Rules of the daily fact. The published ``daily_key`` repeats where one card id
+    spans several members, so its uniqueness is reported on request and gates nothing."""
+    rules = [not_null("daily_key"), not_null("event_date")]
+    if published_key:
+        rules.append(unique("daily_key"))
+    return rules + [
         unique("event_date", "card_id", "member_id", "geo_type"),
         failing_when("approved_plus_declined", F.col("approved_transactions")
                      + F.col("declined_transactions") != F.col("total_transactions"),

@@ -11,19 +11,14 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.expressions import (
-    as_of_literal, fast_parsed, lenient_fields, load_window,
-)
+from ledgerflow.functions.expressions import as_of_literal, load_window, parsed_fields
 from ledgerflow.operators.dedupe import latest_per_key
 from ledgerflow.schemas import PAYMENT_FIELDS, TRANSACTION_FIELDS
 
 
-def _parse(raw: DataFrame, fields, extra: list[str]) -> DataFrame:
-    # One from_json pass into a fixed struct (kept as its own projection so
-    # it is not repeated per field); only rows it rejects are re-read field by
-    # field through VARIANT, which gives per-field leniency.
-    v = raw.select(fast_parsed("raw_payload", fields).alias("_s"), "raw_payload", *extra)
-    return v.select(*lenient_fields("_s", "raw_payload", fields), *extra)
+# What decides between versions of equal event and load time: a later epoch of a
+# stream, a file that landed later, and then file name and position.
+ARRIVAL_COLUMNS = ["epoch", "file_mtime", "source_file", "source_row"]
 
 
 def parse_raw(raw: DataFrame, fields, as_of: dt.datetime | None,
@@ -32,8 +27,8 @@ def parse_raw(raw: DataFrame, fields, as_of: dt.datetime | None,
         if as_of is None:
             raise ValueError("a load window needs an explicit as_of")
         raw = raw.where(load_window("loaded_at", as_of, window_days))
-    extra = [c for c in ("source_file", "source_row") if c in raw.columns]
-    parsed = _parse(raw, fields, extra + ["loaded_at"])
+    extra = [c for c in ARRIVAL_COLUMNS if c in raw.columns]
+    parsed = parsed_fields(raw, "raw_payload", fields, extra + ["loaded_at"])
     return (parsed.withColumnRenamed("loaded_at", "_loaded_at")
                   .withColumn("_dbt_updated_at", as_of_literal(as_of or dt.datetime(1970, 1, 1))))
 
@@ -49,9 +44,8 @@ def stg_transactions(raw: DataFrame, as_of: dt.datetime | None = None,
     parsed = parse_raw(raw, TRANSACTION_FIELDS, as_of, window_days)
     order = [F.col("authorized_at").desc_nulls_first(),
              F.col("_loaded_at").desc_nulls_first()]
-    order += [F.col(c).desc_nulls_last() for c in ("source_file", "source_row")
-              if c in parsed.columns]
-    return latest_per_key(parsed, "transaction_id", order)
+    order += [F.col(c).desc_nulls_last() for c in ARRIVAL_COLUMNS if c in parsed.columns]
+    return latest_per_key(parsed, "transaction_id", order).drop("epoch", "file_mtime")
 
 
 def stg_payments(raw: DataFrame, as_of: dt.datetime | None = None,
@@ -60,7 +54,5 @@ def stg_payments(raw: DataFrame, as_of: dt.datetime | None = None,
     parsed = parse_raw(raw, PAYMENT_FIELDS, as_of, window_days)
     order = [F.col("settled_at").desc_nulls_last(),
              F.col("_loaded_at").desc_nulls_first()]
-    order += [F.col(c).desc_nulls_last() for c in ("source_file", "source_row")
-              if c in parsed.columns]
-    out = latest_per_key(parsed, "payment_id", order)
-    return out.drop("source_file", "source_row")
+    order += [F.col(c).desc_nulls_last() for c in ARRIVAL_COLUMNS if c in parsed.columns]
+    return latest_per_key(parsed, "payment_id", order).drop(*ARRIVAL_COLUMNS)

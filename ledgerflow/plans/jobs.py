@@ -1,12 +1,16 @@
 """spark-submit entry points (L5 ``main``, I6/I7 hourly unit).
 
     spark-submit -m ledgerflow.plans.jobs batch  --input IN --output OUT
-    spark-submit -m ledgerflow.plans.jobs load   --source DIR --target T --ledger L [--format json]
-    spark-submit -m ledgerflow.plans.jobs hourly --raw-tx T --raw-pay P --events E --fact F
+    spark-submit -m ledgerflow.plans.jobs load   --feed transactions|payments --source DIR
+                                                 --target T --ledger L [--format json|csv|parquet]
+    spark-submit -m ledgerflow.plans.jobs hourly --raw-tx T --tx-ledger L --raw-pay T --pay-ledger L
+                                                 --events E --fact F
                                                  [--mode incremental|full] [--window-days 7]
 
 ``--as-of`` (ISO timestamp) pins the run time; by default it is the current
-UTC hour, as one scheduled run handles one hour.
+UTC hour, as one scheduled run handles one hour. ``--checkpoint-dir`` names the
+shared folder for checkpoints where the cluster's ``spark.checkpoint.dir`` does
+not. ``hourly`` reads committed loads without error rows.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ import argparse
 import datetime as dt
 import json
 
+from pyspark.sql import SparkSession
+
 from ledgerflow.session import apply_job_conf, build_session
 
 
@@ -25,6 +31,16 @@ def _as_of(text: str | None) -> dt.datetime:
     return now.replace(minute=0, second=0, microsecond=0)
 
 
+def run_hourly(spark: SparkSession, tx: tuple[str, str], pay: tuple[str, str], events: str, fact: str,
+               as_of: dt.datetime, mode: str = "incremental", window_days: int | None = None,
+               quality: bool = False) -> list | str:
+    """Committed loads of both feeds (raw table, ledger) -> events -> daily fact -> gate."""
+    from ledgerflow.plans.incremental import run_chain_from_raw
+    from ledgerflow.sources.loader import read_raw_table
+    return run_chain_from_raw(spark, read_raw_table(spark, *tx), read_raw_table(spark, *pay), events, fact,
+                              as_of, mode=mode, window_days=window_days, quality=quality)
+
+
 def main(argv: list[str] | None = None) -> dict:
     ap = argparse.ArgumentParser(prog="ledgerflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -32,21 +48,24 @@ def main(argv: list[str] | None = None) -> dict:
     b.add_argument("--input", required=True)
     b.add_argument("--output", required=True)
     ld = sub.add_parser("load")
+    ld.add_argument("--feed", required=True, choices=["transactions", "payments"])
     ld.add_argument("--source", required=True)
     ld.add_argument("--target", required=True)
     ld.add_argument("--ledger", required=True)
     ld.add_argument("--format", default="json")
     h = sub.add_parser("hourly")
-    for name in ("--raw-tx", "--raw-pay", "--events", "--fact"):
+    for name in ("--raw-tx", "--tx-ledger", "--raw-pay", "--pay-ledger", "--events", "--fact"):
         h.add_argument(name, required=True)
     h.add_argument("--mode", default="incremental", choices=["incremental", "full"])
     h.add_argument("--window-days", type=int, default=None)
     h.add_argument("--quality", action="store_true", help="fail the run on rule violations")
     for p in (b, ld, h):
         p.add_argument("--as-of", default=None)
+        p.add_argument("--checkpoint-dir", default=None)
     args = ap.parse_args(argv)
 
-    spark = build_session("ledgerflow-" + args.cmd)
+    extra = {"spark.checkpoint.dir": args.checkpoint_dir} if args.checkpoint_dir else {}
+    spark = build_session("ledgerflow-" + args.cmd, extra=extra)
     apply_job_conf(spark)
     as_of = _as_of(args.as_of)
     if args.cmd == "batch":
@@ -54,14 +73,11 @@ def main(argv: list[str] | None = None) -> dict:
         out = {"rows_written": run_batch(spark, args.input, args.output, as_of)}
     elif args.cmd == "load":
         from ledgerflow.sources.loader import load
-        out = load(spark, args.source, args.target, args.ledger, as_of, args.format).__dict__
+        out = load(spark, args.source, args.target, args.ledger, as_of, args.format,
+                   feed=args.feed).__dict__
     else:
-        from ledgerflow.plans.incremental import run_chain_from_raw
-        raw_tx = spark.read.parquet(args.raw_tx)
-        raw_pay = spark.read.parquet(args.raw_pay)
-        run_chain_from_raw(spark, raw_tx, raw_pay, args.events, args.fact, as_of,
-                           mode=args.mode, window_days=args.window_days,
-                           quality=args.quality)
+        run_hourly(spark, (args.raw_tx, args.tx_ledger), (args.raw_pay, args.pay_ledger), args.events,
+                   args.fact, as_of, args.mode, args.window_days, args.quality)
         out = {"status": "success", "mode": args.mode}
     print(json.dumps(out, default=str))
     return out
