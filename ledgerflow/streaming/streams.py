@@ -8,12 +8,17 @@
   settled payments with a bounded event-time range, so both sides' state is
   evicted by the watermarks; unmatched transactions are emitted once the
   watermark passes their range (K3).
-* ``merge_sink`` – ``foreachBatch`` that appends each micro-batch to a raw
-  table (overwriting its own epoch folder, so a replayed epoch is
-  idempotent), then re-runs the batch events merge for exactly the
-  transactions that arrived, and recomputes the touched days of the fact
-  (K4/K5). Distinct counts stay exact because days are recomputed from the
-  events table instead of kept as streaming state.
+* ``ingest_sink`` / ``transactions_sink`` / ``payments_sink`` – ``foreachBatch``
+  functions over ``landed_files``: each epoch appends its records as landed
+  (rejects kept and counted, nothing re-made from typed fields) to a raw table,
+  overwriting its own epoch folder, so a replayed epoch is idempotent. The
+  transactions sink then merges exactly the transactions that arrived, the
+  payments sink those that share member and day with a payment that arrived
+  (late settlements relink); both recompute the touched days of the fact (K4/K5).
+  Distinct counts stay exact because days are recomputed from the events table
+  instead of kept as streaming state. Raw epochs are partitioned by route day and
+  payloads are read only from days that hold a version of a changed record, so an
+  epoch costs what it changes. One of the two streams at a time writes the tables.
 
 Watermarks need zoned timestamps: NTZ event times are cast to TIMESTAMP with
 the session zone pinned to UTC.
@@ -22,21 +27,47 @@ the session zone pinned to UTC.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerflow.functions.expressions import (
-    PAYMENT_SETTLED, event_date, to_json_payload,
+from ledgerflow.functions.expressions import PAYMENT_SETTLED, event_date
+from ledgerflow.operators.merge import EVENTS_LAYOUT, merge_by_key, stabilize, table_exists
+from ledgerflow.plans.incremental import (
+    events_for_keys, merge_candidates, relinked_transactions, run_daily, with_routing,
 )
-from ledgerflow.schemas import PAYMENT_SCHEMA, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
+from ledgerflow.schemas import (
+    PAYMENT_ROUTING, PAYMENT_SCHEMA, TRANSACTION_COLUMNS, TRANSACTION_ROUTING, TRANSACTION_SCHEMA,
+)
+from ledgerflow.session import path_exists
+from ledgerflow.sources.json_files import explode_json_text
 
 # Watermark delay for transactions (settlement lag), and the
 # event-time range in which a settlement can follow a posted transaction.
 TRANSACTION_WATERMARK = "3 days"
 SETTLEMENT_RANGE = "4 days"
+#: Delay that no event of a bounded history exceeds: nothing is late.
+HISTORY = "3650 days"
+
+RAW_EPOCH_SCHEMA = T.StructType([
+    T.StructField("raw_payload", T.StringType()), T.StructField("loaded_at", T.TimestampNTZType()),
+    T.StructField("source_file", T.StringType()), T.StructField("source_row", T.LongType()),
+    T.StructField("file_mtime", T.TimestampType()), T.StructField("is_error", T.BooleanType()),
+    T.StructField("record_key", T.StringType()), T.StructField("epoch", T.LongType()),
+    T.StructField("route_date", T.DateType()),
+])
+
+
+@dataclass(frozen=True)
+class StreamTables:
+    """Paths of the tables that the merging sinks keep."""
+    raw_tx: str
+    raw_pay: str
+    events: str
+    fact: str | None = None
 
 
 def json_array_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -60,13 +91,41 @@ def payment_stream(spark: SparkSession, path: str, **kw) -> DataFrame:
     return json_array_stream(spark, path, PAYMENT_SCHEMA, **kw)
 
 
-def to_raw_rows(stream: DataFrame, fields: list[str], loaded_at: dt.datetime,
-                extra: list[str] | None = None) -> DataFrame:
-    """Typed records -> raw-table rows (raw_payload JSON + load metadata)."""
-    return stream.select(to_json_payload(fields).alias("raw_payload"),
-                         F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
-                         "source_file", F.lit(None).cast("long").alias("source_row"),
-                         *(extra or []))
+def landed_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of whole landed files: ``text, source_file, file_mtime``."""
+    reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path).select(F.make_valid_utf8("value").alias("text"),
+                                    F.col("_metadata.file_path").alias("source_file"),
+                                    F.col("_metadata.file_modification_time").alias("file_mtime"))
+
+
+def _arrival(epoch_id: int) -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def append_epoch(files: DataFrame, epoch_id: int, raw_path: str, routing: tuple[str, str],
+                 arrival=_arrival) -> DataFrame:
+    """Write one micro-batch of landed files as an epoch of the raw table; returns its rows.
+
+    ``arrival(epoch)`` is the load time of the epoch; versions of equal times
+    rank by epoch and landing time of their file."""
+    rows = with_routing(explode_json_text(files), routing)
+    good = ~F.col("is_error")
+    path = f"{raw_path}/epoch={epoch_id}"
+    (rows.select("raw_payload", F.lit(arrival(epoch_id)).cast("timestamp_ntz").alias("loaded_at"), "source_file",
+                 "source_row", "file_mtime", "is_error", F.when(good, F.col("record_key")).alias("record_key"),
+                 F.when(good, F.col("route_date")).alias("route_date"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route_date").parquet(path))
+    return read_epochs(files.sparkSession, raw_path).where(F.col("epoch") == epoch_id)
+
+
+def read_epochs(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The raw table that the sinks append to (empty before the first epoch)."""
+    if not path_exists(spark, raw_path):
+        return spark.createDataFrame([], RAW_EPOCH_SCHEMA)
+    return spark.read.schema(RAW_EPOCH_SCHEMA).option("basePath", raw_path).parquet(raw_path)
 
 
 def with_event_time(df: DataFrame, ntz_col: str, name: str = "event_ts") -> DataFrame:
@@ -128,35 +187,53 @@ def run_available(stream_writer, spark: SparkSession | None = None,
     return q
 
 
-def merge_sink(spark: SparkSession, raw_path: str, events_path: str,
-               raw_payments: DataFrame, as_of: dt.datetime, fact_path: str | None = None):
-    """``foreachBatch`` function: append raw epoch, merge arrived transactions (K4/K5).
+def ingest_sink(raw_path: str, routing: tuple[str, str], arrival=_arrival):
+    """``foreachBatch`` function: landed files to raw rows (K1/A10)."""
+    def handle(files: DataFrame, epoch_id: int) -> None:
+        append_epoch(files, epoch_id, raw_path, routing, arrival)
+    return handle
+
+
+def _good(raw: DataFrame) -> DataFrame:
+    return raw.where(~F.col("is_error"))
+
+
+def _merge_and_refresh(spark, tables: StreamTables, keys: DataFrame, as_of: dt.datetime) -> None:
+    keys = stabilize(keys)
+    raw_tx, raw_pay = (_good(read_epochs(spark, p)) for p in (tables.raw_tx, tables.raw_pay))
+    if not table_exists(spark, tables.events):
+        batch, days = events_for_keys(raw_tx, raw_pay, keys, as_of)
+        touched = merge_by_key(spark, tables.events, batch, ["transaction_id"], EVENTS_LAYOUT, partitions=days) if days else []
+    else:
+        touched = merge_candidates(spark, tables.events, raw_tx, raw_pay, keys, as_of)
+    if touched and tables.fact is not None:
+        run_daily(spark, tables.events, tables.fact, as_of, "incremental", touched_days=touched)
 
-    ``raw_payments`` is the raw payment feed with routing columns
-    (``record_key``, ``route_date``), read as a batch side.
-    """
-    from ledgerflow.operators.merge import merge_by_key
-    from ledgerflow.plans.incremental import events_for_keys, run_daily
-
-    def handle(batch: DataFrame, epoch_id: int) -> None:
-        # Routing keys are stored beside the payload so that later epochs
-        # parse only the versions of the transactions that arrived.
-        keyed = (batch.withColumn("record_key", F.col("transaction_id"))
-                      .withColumn("route_date", F.to_date("posted_at")))
-        raw = to_raw_rows(keyed, TRANSACTION_COLUMNS, as_of, extra=["record_key", "route_date"])
-        (raw.write.mode("overwrite").parquet(f"{raw_path}/epoch={epoch_id}"))
-        arrived = (spark.read.parquet(f"{raw_path}/epoch={epoch_id}")
-                   .where(F.col("record_key").isNotNull())
-                   .select(F.col("record_key")).distinct())
-        events, days = events_for_keys(spark.read.parquet(raw_path), raw_payments, arrived,
-                                       as_of)
-        if not days:
-            return
-        touched = merge_by_key(spark, events_path, events, ["event_key"], "event_date",
-                               partitions=days)
-        if fact_path is not None:
-            schema = spark.read.parquet(events_path).schema
-            run_daily(spark, events_path, schema, fact_path, as_of, "incremental",
-                      touched_days=touched)
 
+def transactions_sink(spark: SparkSession, tables: StreamTables, as_of: dt.datetime, arrival=_arrival):
+    """``foreachBatch`` function: append arrived transactions and merge their events (K4/K5)."""
+    def handle(files: DataFrame, epoch_id: int) -> None:
+        epoch = append_epoch(files, epoch_id, tables.raw_tx, TRANSACTION_ROUTING, arrival)
+        keys = _good(epoch).where(F.col("record_key").isNotNull()).select("record_key").distinct()
+        _merge_and_refresh(spark, tables, keys, as_of)
     return handle
+
+
+def payments_sink(spark: SparkSession, tables: StreamTables, as_of: dt.datetime, arrival=_arrival):
+    """``foreachBatch`` function: append arrived payments and relink the transactions that share
+    member and day with any version of them."""
+    def handle(files: DataFrame, epoch_id: int) -> None:
+        epoch = append_epoch(files, epoch_id, tables.raw_pay, PAYMENT_ROUTING, arrival)
+        if not table_exists(spark, tables.events):
+            return
+        changed = stabilize(_good(epoch).where(F.col("record_key").isNotNull()).select("record_key").distinct())
+        raw_pay = _good(read_epochs(spark, tables.raw_pay))
+        _merge_and_refresh(spark, tables, relinked_transactions(spark, tables.events, raw_pay, changed, as_of).distinct(), as_of)
+    return handle
+
+
+def flush_unmatched(spark: SparkSession, transactions: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows of a finished settlement join: its own, and the transactions that it still
+    held in state, without a payment."""
+    held = transactions.select(*TRANSACTION_COLUMNS).join(joined.select("transaction_id"), "transaction_id", "left_anti")
+    return joined.unionByName(held, allowMissingColumns=True)
