@@ -36,7 +36,7 @@ def main() -> None:
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     spark = build_session("ledgerflow-bench", master=f"local[{CPUS}]",
                           shuffle_partitions=int(CPUS) * 2, extra=extra)
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    if not spark.conf.get("spark.checkpoint.dir", None):   # local bench
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerflow-bench-"))
 
     from ledgerflow.plans import registry as R
@@ -78,9 +78,7 @@ def main() -> None:
                                f"{root}/events", f"{root}/daily", hour_before, mode="full")
         t0 = time.perf_counter()
         touched = INC.run_events_from_raw(spark, raw_tx, raw_pay, f"{root}/events", R.AS_OF)
-        schema = spark.read.parquet(f"{root}/events").schema
-        INC.run_daily(spark, f"{root}/events", schema, f"{root}/daily", R.AS_OF,
-                      touched_days=touched)
+        INC.run_daily(spark, f"{root}/events", f"{root}/daily", R.AS_OF, touched_days=touched)
         elapsed = time.perf_counter() - t0
         ev = spark.read.parquet(f"{root}/events")
         work["events_partitions_rewritten"] = len(touched)
@@ -95,8 +93,7 @@ def main() -> None:
     ev_root = scratch_path(spark, "bench_read")
     events = R.int_events(spark, SF_DIR)
     TR.write_partitioned(events, f"{ev_root}/clustered", ["event_date"],
-                         cluster_cols=["event_date", "transaction_type"],
-                         spread_col="event_key")
+                         cluster_cols=["event_date", "transaction_type"])
     events.repartition(int(CPUS) * 2, "event_key").write.parquet(f"{ev_root}/unclustered")
     one_day = events.agg(F.max("event_date")).first()[0]
 

@@ -14,23 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import oracle as O
-from ledgerflow.functions.expressions import surrogate_key
+from ledgerflow.functions import expressions as X
+from ledgerflow.functions.expressions import PAYMENT_TYPES, hour_floor, surrogate_key
 from ledgerflow.operators import quality as QL
 from ledgerflow.operators import transform as TR
 from ledgerflow.operators.daily import daily_fact, round_money
 from ledgerflow.operators.events import credit_card_events
-from ledgerflow.operators.merge import merge_by_key, read_table, write_full
+from ledgerflow.operators.merge import merge_by_key, read_table, stabilize, write_full
 from ledgerflow.operators.staging import parse_raw, stg_payments, stg_transactions
 from ledgerflow.plans import incremental as INC
+from ledgerflow.plans import jobs
 from ledgerflow.schemas import (
-    PAYMENT_COLUMNS, PAYMENT_FIELDS, TRANSACTION_COLUMNS, TRANSACTION_FIELDS,
+    EVENT_SCHEMA, FACT_SCHEMA, PAYMENT_COLUMNS, PAYMENT_FIELDS, PAYMENT_SCHEMA, TRANSACTION_COLUMNS,
+    TRANSACTION_FIELDS, TRANSACTION_ROUTING, TRANSACTION_SCHEMA,
 )
 from ledgerflow.session import scratch_path
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources import landing as L
 from ledgerflow.sources import loader as LD
 from ledgerflow.sources.catalog import register_partitioned_table
-from ledgerflow.sources.json_files import read_array_payloads, read_raw_transactions
+from ledgerflow.sources.json_files import read_array_payloads, register_stage
 from ledgerflow.streaming import streams as ST
 
 AS_OF = fx.FIXTURE_AS_OF
@@ -170,25 +173,16 @@ def q_outer_array_rows(spark, sf_dir):
                       for n, t in TRANSACTION_FIELDS], "has_position")
 
 
-# The extraction span of the registered query (the whole month
-# of the fixture data, cut into hourly half-open windows).
-EXTRACT_START = "2024-01-01 00:00:00"
-EXTRACT_END = "2024-02-01 00:00:00"
-
-
-@register("extract_hour_window", O.with_(O.EV, O.RAW_TX) + f"""
+@register("extract_hour_window", O.with_(O.EV, O.RAW_TX) + """
 SELECT date_trunc('hour', posted_at) AS window_start,
        date_trunc('hour', posted_at) + INTERVAL 1 HOUR AS window_end,
        COUNT(*) AS records, min(posted_at) AS first_ts, max(posted_at) AS last_ts
-FROM raw_tx
-WHERE posted_at >= TIMESTAMP '{EXTRACT_START}' AND posted_at < TIMESTAMP '{EXTRACT_END}'
-GROUP BY 1, 2""")
+FROM raw_tx GROUP BY 1, 2""")
 def q_extract_hour_window(spark, sf_dir):
-    """Half-open [start, end) extraction window, bucketed into hourly runs."""
-    import datetime as dt
-    start = dt.datetime.fromisoformat(EXTRACT_START)
-    end = dt.datetime.fromisoformat(EXTRACT_END)
-    rows = L.extract_window(fx.raw_transaction_rows(spark, sf_dir), "posted_at", start, end)
+    """Half-open [start, end) extraction window over the data's span, bucketed into hourly runs."""
+    rows = fx.raw_transaction_rows(spark, sf_dir)
+    lo, hi = rows.agg(F.min("posted_at"), F.max("posted_at")).first()
+    rows = L.extract_window(rows, "posted_at", hour_floor(lo), hour_floor(hi) + _dt.timedelta(hours=1))
     ws = F.date_trunc("hour", "posted_at").cast("timestamp_ntz")
     return (rows.groupBy(ws.alias("window_start"))
                 .agg(F.count(F.lit(1)).alias("records"), F.min("posted_at").alias("first_ts"),
@@ -197,11 +191,14 @@ def q_extract_hour_window(spark, sf_dir):
                             .cast("timestamp_ntz")))
 
 
+# The fixture has the three extracted payment kinds only: each 11th becomes another one.
 @register("extract_payment_types", O.with_(O.EV, O.RAW_PAY) + f"""
-SELECT {O.PAY_FIELDS} FROM raw_pay WHERE payment_type IN ('ACH', 'WIRE', 'BILLPAY')""")
+SELECT {O.PAY_FIELDS} FROM raw_pay WHERE event_id % 11 <> 0 AND payment_type IN ('ACH', 'WIRE', 'BILLPAY')""")
 def q_extract_payment_types(spark, sf_dir):
-    """Payment events restricted to ACH, WIRE, BILLPAY."""
-    return L.payment_subset(fx.raw_payment_rows(spark, sf_dir)).select(*PAYMENT_COLUMNS)
+    """Payment events restricted to ACH, WIRE, BILLPAY, from a feed with a fourth kind."""
+    rows = fx.raw_payment_rows(spark, sf_dir)
+    other = F.when(F.col("event_id") % 11 == 0, F.lit("CHECK")).otherwise(F.col("payment_type"))
+    return L.payment_subset(rows.withColumn("payment_type", other), PAYMENT_TYPES).select(*PAYMENT_COLUMNS)
 
 
 # A small chunk size so that the registered query exercises chunking.
@@ -222,11 +219,40 @@ def q_landing_chunks(spark, sf_dir):
                          (F.max("n") <= CHUNK_QUERY_BATCH).alias("within_cap")))
 
 
+@register("extraction_metrics", O.with_(O.EV, O.RAW_TX, O.RAW_PAY) + """
+SELECT 'transactions' AS feed, COUNT(*) AS records_extracted, TRUE AS has_files, 'success' AS status FROM raw_tx
+UNION ALL SELECT 'payments', COUNT(*), TRUE, 'success' FROM raw_pay
+UNION ALL SELECT 'nothing', 0, FALSE, 'empty'""")
+def q_extraction_metrics(spark, sf_dir):
+    """What each landing reports (records, files, status), an empty one too."""
+    root = scratch_path(spark, "extraction")
+    pay = fx.raw_payment_rows(spark, sf_dir)
+    got = [_land_transactions(spark, sf_dir, root),
+           L.land(pay, root, "payments", PAYMENT_COLUMNS, "loaded_at", fmt="lines"),
+           L.land(pay.where(F.lit(False)), root, "nothing", PAYMENT_COLUMNS, "loaded_at")]
+    return spark.createDataFrame([(r.feed, r.records_extracted, r.files_written > 0, r.status) for r in got],
+                                 "feed string, records_extracted long, has_files boolean, status string")
+
+
+@register("external_stage", O.with_(O.EV, O.RAW_TX) + f"""
+SELECT {O.landing_part()} AS source_partition, COUNT(*) AS records, CAST(sum(amount) AS DECIMAL(18, 2)) AS amount
+FROM raw_tx GROUP BY 1""")
+def q_external_stage(spark, sf_dir):
+    """Landed files queried in place by name."""
+    res = _land_transactions(spark, sf_dir, scratch_path(spark, "stage"))
+    register_stage(spark, "landed_transactions", res.prefix)
+    return spark.sql("""
+        SELECT regexp_extract(source_file, '(year=.*/hour=[0-9]+)', 1) AS source_partition, count(*) AS records,
+               CAST(sum(CAST(get_json_object(raw_payload, '$.amount') AS DECIMAL(18, 2))) AS DECIMAL(18, 2)) AS amount
+        FROM landed_transactions WHERE NOT is_error GROUP BY 1""")
+
+
 @register("load_metrics", O.with_(O.EV, O.RAW_TX) + """
 SELECT CAST(loaded_at AS DATE) AS landing_date,
        COUNT(*) FILTER (WHERE event_id % 97 <> 0) AS rows_loaded,
        COUNT(*) FILTER (WHERE event_id % 97 = 0) AS rows_errored,
-       CASE WHEN COUNT(*) FILTER (WHERE event_id % 97 = 0) = 0 THEN 'success' ELSE 'partial' END AS status
+       CASE WHEN COUNT(*) FILTER (WHERE event_id % 97 = 0) = 0 THEN 'success' ELSE 'partial' END AS status,
+       TRUE AS every_file
 FROM raw_tx GROUP BY 1""")
 def q_load_metrics(spark, sf_dir):
     """Load landed arrays with bad elements; per-day load metrics."""
@@ -234,8 +260,68 @@ def q_load_metrics(spark, sf_dir):
     bad = F.when(F.col("event_id") % fx.BAD_PAYLOAD_EVERY == 0, F.lit(BAD_ELEMENT)) \
            .otherwise(fx.to_json_payload(TRANSACTION_COLUMNS))
     res = _land_transactions(spark, sf_dir, root, payload=bad)
-    LD.load(spark, res.prefix, f"{root}/raw", f"{root}/ledger", AS_OF)
-    return LD.load_report(spark, f"{root}/ledger").drop("files_processed")
+    got = LD.load(spark, res.prefix, f"{root}/raw", f"{root}/ledger", AS_OF)
+    every_file = got.files_processed == res.files_written == LD.read_ledger(spark, f"{root}/ledger").count()
+    return LD.load_report(spark, f"{root}/ledger").drop("files_processed").withColumn("every_file", F.lit(every_file))
+
+
+# File formats of the mixed load, by event_id % 5, and the text of a broken record.
+MIXED_FORMATS = ["array", "lines", "concatenated", "csv", "parquet"]
+BROKEN_RECORD = '{"transaction_id": "X", "amount": }'
+
+
+@register("load_mixed_files", O.with_(O.EV, O.RAW_TX) + """
+SELECT ['array', 'lines', 'concatenated', 'csv', 'parquet'][1 + event_id % 5] AS kind,
+       COUNT(*) FILTER (WHERE event_id % 5 > 2 OR event_id % 97 <> 0) AS rows_loaded,
+       COUNT(*) FILTER (WHERE event_id % 5 <= 2 AND event_id % 97 = 0) AS rows_errored,
+       COUNT(DISTINCT transaction_id) FILTER (WHERE event_id % 5 > 2 OR event_id % 97 <> 0) AS keys,
+       TRUE AS every_file
+FROM raw_tx GROUP BY 1""")
+def q_load_mixed_files(spark, sf_dir):
+    """Arrays with broken elements, JSON lines, concatenated documents, CSV and
+    Parquet; each good record is loaded, each broken one is one error."""
+    root = scratch_path(spark, "mixed")
+    rows = fx.raw_transaction_rows(spark, sf_dir)
+    text = F.when(F.col("event_id") % fx.BAD_PAYLOAD_EVERY == 0, F.lit(BROKEN_RECORD)) \
+            .otherwise(fx.to_json_payload(TRANSACTION_COLUMNS))
+    out = None
+    for i, kind in enumerate(MIXED_FORMATS):
+        own, path = rows.where(F.col("event_id") % 5 == i), f"{root}/{kind}"
+        if kind in ("array", "lines"):
+            files = L.land(own, root, kind, TRANSACTION_COLUMNS, "loaded_at", payload=text, fmt=kind).files_written
+        else:
+            if kind == "concatenated":    # documents on one line, 20 a line
+                n = F.floor(F.col("event_id") / 500)
+                own.groupBy(n.alias("n")).agg(F.array_join(F.collect_list(text), " ").alias("value")).select("value").write.text(path)
+            else:
+                own.select(*TRANSACTION_COLUMNS).write.option("header", True).format(kind).save(path)
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").count()
+        got = LD.load(spark, path, f"{root}/raw-{kind}", f"{root}/ledger-{kind}", AS_OF,
+                      kind if kind in ("csv", "parquet") else "json", glob="part-*", feed="transactions")
+        raw = LD.read_raw_table(spark, f"{root}/raw-{kind}", f"{root}/ledger-{kind}", include_errors=True)
+        one = raw.agg(F.count_if(~F.col("is_error")).alias("rows_loaded"), F.count_if(F.col("is_error")).alias("rows_errored"),
+                      F.count_distinct("record_key").alias("keys")).select(
+            F.lit(kind).alias("kind"), "*",
+            (F.lit(got.files_processed == files) & (F.col("rows_loaded") == got.rows_loaded)
+             & (F.col("rows_errored") == got.rows_errored)).alias("every_file"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("load_no_files", O.with_(O.EV, O.RAW_TX) + """
+SELECT CAST(min(loaded_at) AS DATE) AS landing_date, 'success' AS status,
+       (SELECT COUNT(*) FROM raw_tx r WHERE CAST(r.loaded_at AS DATE) = (SELECT min(CAST(loaded_at AS DATE)) FROM raw_tx)) AS rows_loaded
+FROM raw_tx
+UNION ALL SELECT CAST(max(loaded_at) AS DATE) + 10, 'no_files', 0 FROM raw_tx""")
+def q_load_no_files(spark, sf_dir):
+    """The files of one landing day by its path; a day without files says so."""
+    root = scratch_path(spark, "load_day")
+    _land_transactions(spark, sf_dir, root)
+    lo, hi = fx.raw_transaction_rows(spark, sf_dir).agg(F.min(F.to_date("loaded_at")), F.max(F.to_date("loaded_at"))).first()
+    days = [lo, hi + _dt.timedelta(days=10)]
+    got = [LD.load_date(spark, root, "transactions", f"{root}/raw", f"{root}/ledger", AS_OF, date=d) for d in days]
+    return spark.createDataFrame([(d, r.status, r.rows_loaded) for d, r in zip(days, got)],
+                                 "landing_date date, status string, rows_loaded long")
 
 
 @register("load_idempotent", O.with_(O.EV, O.RAW_TX) + """
@@ -261,18 +347,13 @@ def q_load_idempotent(spark, sf_dir):
 def _batch_output(spark, sf_dir, name):
     root = scratch_path(spark, name)
     res = _land_transactions(spark, sf_dir, root)
-    raw = read_raw_transactions(spark, res.prefix)
-    out = TR.transform_transactions(raw, AS_OF)
-    TR.write_partitioned(out.select(*[f.name for f in TR.PROCESSED_SCHEMA.fields]),
-                         f"{root}/processed", ["event_date"],
-                         cluster_cols=["event_date", "transaction_type"],
-                         spread_col="transaction_id")
+    TR.run_batch(spark, res.prefix, f"{root}/processed", AS_OF)
     return f"{root}/processed"
 
 
 @register("batch_transform", O.with_(O.EV, O.RAW_TX, O.BATCH_LANE) + "SELECT * FROM batch")
 def q_batch_transform(spark, sf_dir):
-    """JSON arrays -> dedupe -> classify -> Parquet."""
+    """JSON arrays -> dedupe -> classify -> Parquet."""
     return TR.read_processed(spark, _batch_output(spark, sf_dir, "batch"))
 
 
@@ -284,18 +365,20 @@ def q_catalog_partitions(spark, sf_dir):
     path = _batch_output(spark, sf_dir, "catalog")
     name = f"processed_transactions_{uuid.uuid4().hex[:8]}"
     t = register_partitioned_table(spark, name, path, TR.PROCESSED_SCHEMA, ["event_date"])
-    return t.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_in_partition"))
+    counts = stabilize(t.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_in_partition")))
+    spark.sql(f"DROP TABLE {name}")    # external: its files stay
+    return counts
 
 
 @register("clustered_write", O.with_(*O.chain(None)) + """
-SELECT event_date, COUNT(*) AS rows_written, TRUE AS files_sorted FROM int_ev GROUP BY 1""")
+SELECT event_date, COUNT(*) AS rows_written, TRUE AS files_sorted, TRUE AS few_files FROM int_ev GROUP BY 1""")
 def q_clustered_write(spark, sf_dir):
-    """Events written by event_date, each file sorted by transaction_type."""
+    """The events table as the chain writes it: by event_date, each file sorted by
+    transaction_type, at most two files a day."""
     from pyspark.sql import Window
     root = scratch_path(spark, "clustered")
-    ev = int_events(spark, sf_dir)
-    TR.write_partitioned(ev, f"{root}/events", ["event_date"],
-                         cluster_cols=["event_date", "transaction_type"], spread_col="event_key")
+    INC.run_events_from_raw(spark, fx.raw_transactions(spark, sf_dir), fx.raw_payments(spark, sf_dir),
+                            f"{root}/events", AS_OF, mode="full")
     back = spark.read.parquet(f"{root}/events").select(
         "event_date", "transaction_type", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"))
@@ -303,7 +386,8 @@ def q_clustered_write(spark, sf_dir):
     back = back.withColumn("_ok", F.coalesce(
         F.lag("transaction_type").over(w) <= F.col("transaction_type"), F.lit(True)))
     return back.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_written"),
-                                          F.bool_and("_ok").alias("files_sorted"))
+                                          F.bool_and("_ok").alias("files_sorted"),
+                                          (F.count_distinct("_file") <= 2).alias("few_files"))
 
 
 # ---------------------------------------------------------------- incremental
@@ -334,12 +418,16 @@ def _raw_until(spark, sf_dir, tx_cutoff, pay_cutoff):
     return rt, rp
 
 
-def _two_runs(spark, sf_dir, name, tx_cutoff, pay_cutoff, with_fact=False):
-    """Full run on what arrived up to the cutoff, then an incremental run on everything."""
+def _two_runs(spark, sf_dir, name, tx_cutoff, pay_cutoff, with_fact=False, corrections=False):
+    """Full run on what arrived up to the cutoff, then an incremental run on everything
+    (with corrections of earlier transactions in the second, if asked for)."""
     root = scratch_path(spark, name)
     ev_path, fact_path = f"{root}/events", f"{root}/daily"
     rt1, rp1 = _raw_until(spark, sf_dir, tx_cutoff, pay_cutoff)
     rt2, rp2 = _raw_until(spark, sf_dir, None, None)
+    if corrections:
+        late = fx.corrected_rows(fx.raw_transaction_rows(spark, sf_dir), CORRECTED_AT)
+        rt2 = rt2.unionByName(fx.raw_transactions_of(late))
     if with_fact:
         INC.run_chain_from_raw(spark, rt1, rp1, ev_path, fact_path, CUTOFF, mode="full")
         INC.run_chain_from_raw(spark, rt2, rp2, ev_path, fact_path, AS_OF, mode="incremental")
@@ -349,6 +437,11 @@ def _two_runs(spark, sf_dir, name, tx_cutoff, pay_cutoff, with_fact=False):
     return ev_path, fact_path
 
 
+# When the corrections of the incremental queries arrive.
+CORRECTED_AT = AS_OF - _dt.timedelta(hours=1)
+_CORRECTED = O.chain_of(O.corrected(f"{O.AS_OF} - INTERVAL 1 HOUR"))
+
+
 _EVENTS_NO_META = "SELECT * EXCLUDE (_dbt_updated_at) FROM int_ev"
 
 
@@ -369,18 +462,20 @@ def q_lookback_filter(spark, sf_dir):
                                                                           "posted_at")
 
 
-@register("incremental_events", O.with_(*O.chain(None)) + _EVENTS_NO_META)
+@register("incremental_events", O.with_(*_CORRECTED) + _EVENTS_NO_META)
 def q_incremental_events(spark, sf_dir):
-    """Full run on early data, incremental merge on the rest == full refresh."""
-    ev_path, _ = _two_runs(spark, sf_dir, "inc_events", CUTOFF, CUTOFF)
-    return spark.read.parquet(ev_path).drop("_dbt_updated_at")
+    """Full run on early data, incremental merge on the rest == full refresh; moved
+    and lost posting times and a day that loses all its transactions included."""
+    ev_path, _ = _two_runs(spark, sf_dir, "inc_events", CUTOFF, CUTOFF, corrections=True)
+    return spark.read.parquet(ev_path).select(*EVENT_SCHEMA.names).drop("_dbt_updated_at")
 
 
-@register("incremental_daily", O.with_(*O.chain(None), O.daily_agg("int_ev"))
+@register("incremental_daily", O.with_(*_CORRECTED, O.daily_agg("int_ev"))
           + O.DAILY_SELECT.replace(", _dbt_updated_at", "") + " FROM daily")
 def q_incremental_daily(spark, sf_dir):
-    """I2/I5/§2.13 #9: whole-day fact recompute after an incremental events merge."""
-    _, fact_path = _two_runs(spark, sf_dir, "inc_daily", CUTOFF, CUTOFF, with_fact=True)
+    """I2/I5/§2.13 #9: whole-day fact recompute after an incremental events merge, the day of
+    unknown posting times and the emptied day included."""
+    _, fact_path = _two_runs(spark, sf_dir, "inc_daily", CUTOFF, CUTOFF, with_fact=True, corrections=True)
     return round_money(spark.read.parquet(fact_path)).drop("_dbt_updated_at")
 
 
@@ -391,20 +486,43 @@ def q_late_settlement_relink(spark, sf_dir):
     return spark.read.parquet(ev_path).drop("_dbt_updated_at")
 
 
-@register("schema_sync", O.with_(*O.chain(None)) + _EVENTS_NO_META)
+@register("hourly_from_loads", O.with_(*O.chain(None), O.daily_agg("int_ev")) + """
+SELECT event_date, SUM(total_transactions) AS total_transactions, SUM(approved_transactions) AS approved_transactions,
+       SUM(payments_linked) AS payments_linked, round(SUM(total_spend), 2) AS total_spend,
+       (SELECT COUNT(*) FROM int_ev i WHERE i.event_date = daily.event_date) AS events
+FROM daily GROUP BY event_date""")
+def q_hourly_from_loads(spark, sf_dir):
+    """Land both feeds, load, full run, land more, load, incremental run == full refresh."""
+    root = scratch_path(spark, "hourly")
+    feeds = {"transactions": (fx.raw_transaction_rows(spark, sf_dir), TRANSACTION_COLUMNS),
+             "payments": (fx.raw_payment_rows(spark, sf_dir), PAYMENT_COLUMNS)}
+    early = F.col("loaded_at") <= F.lit(CUTOFF).cast("timestamp_ntz")
+    for part, as_of, mode in ((early, CUTOFF, "full"), (~early, AS_OF, "incremental")):
+        for feed, (rows, columns) in feeds.items():
+            res = L.land(rows.where(part), root, feed, columns, "loaded_at", fmt="lines")
+            LD.load(spark, res.prefix, f"{root}/raw/{feed}", f"{root}/ledger/{feed}", as_of, feed=feed)
+        jobs.run_hourly(spark, *((f"{root}/raw/{f}", f"{root}/ledger/{f}") for f in feeds), f"{root}/events", f"{root}/daily",
+                        as_of, mode)
+    fact = read_table(spark, f"{root}/daily", FACT_SCHEMA)
+    events = read_table(spark, f"{root}/events", EVENT_SCHEMA).groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
+    per_day = fact.groupBy("event_date").agg(
+        *(F.sum(c).alias(c) for c in ("total_transactions", "approved_transactions", "payments_linked")),
+        F.round(F.sum("total_spend"), 2).alias("total_spend"))
+    return per_day.join(events, "event_date", "left")
+
+
+@register("schema_sync", O.with_(*O.chain(None)) + """
+SELECT * EXCLUDE (_dbt_updated_at) REPLACE (CASE WHEN event_date = (SELECT max(event_date) FROM int_ev) THEN amount_tier END AS amount_tier)
+FROM int_ev""")
 def q_schema_sync(spark, sf_dir):
-    """I4: merge into a table written with an older schema (one column missing,
-    one extra); the result has the current schema only."""
-    root = scratch_path(spark, "schema_sync")
-    path = f"{root}/events"
-    st1, sp1 = _staged_until(spark, sf_dir, CUTOFF, CUTOFF, CUTOFF)
-    old = (credit_card_events(st1, sp1, CUTOFF).drop("amount_tier")
-           .withColumn("legacy_score", F.lit(0.0)))
-    write_full(old, path, "event_date")
-    st2, sp2 = staged(spark, sf_dir, None)
-    batch = credit_card_events(st2, sp2, AS_OF)
-    merge_by_key(spark, path, batch, ["event_key"], "event_date")
-    return read_table(spark, path, batch.schema).drop("_dbt_updated_at")
+    """I4: merge one day into a table written with an older schema (one column missing, one
+    extra); every day reads with the declared schema."""
+    path = f"{scratch_path(spark, 'schema_sync')}/events"
+    events = stabilize(int_events(spark, sf_dir))
+    write_full(events.drop("amount_tier").withColumn("legacy_score", F.lit(0.0)), path, "event_date")
+    day = events.agg(F.max("event_date")).first()[0]
+    merge_by_key(spark, path, events.where(F.col("event_date") == F.lit(day)), ["event_key"], "event_date")
+    return read_table(spark, path, EVENT_SCHEMA).drop("_dbt_updated_at")
 
 
 # ---------------------------------------------------------------- quality
@@ -441,7 +559,24 @@ def q_quality_report(spark, sf_dir):
     ev = int_events(spark, sf_dir)
     fact = daily_fact(ev, AS_OF)
     return (QL.evaluate(ev, "int_credit_card_events", QL.events_rules())
-              .unionByName(QL.evaluate(fact, "fct_credit_card_daily", QL.daily_rules())))
+              .unionByName(QL.evaluate(fact, "fct_credit_card_daily", QL.daily_rules(published_key=True))))
+
+
+@register("quality_gate", O.with_(*O.chain(None)) + """
+SELECT 'every_row' AS scope, COUNT(*) FILTER (WHERE transaction_status NOT IN ('APPROVED', 'DECLINED', 'PENDING')) = 0 AS passed
+FROM int_ev UNION ALL SELECT 'accepted_rows', TRUE""")
+def q_quality_gate(spark, sf_dir):
+    """The gate fails a run with a rule violation and passes one without."""
+    events = stabilize(int_events(spark, sf_dir))
+    ok = F.col("transaction_status").isin(QL.TRANSACTION_STATUSES)
+    out = []
+    for scope, rows in (("every_row", events), ("accepted_rows", events.where(ok))):
+        try:
+            QL.gate(QL.evaluate(rows, "int_credit_card_events", QL.events_rules()))
+            out.append((scope, True))
+        except QL.QualityGateError:
+            out.append((scope, False))
+    return spark.createDataFrame(out, "scope string, passed boolean")
 
 
 # ---------------------------------------------------------------- streaming
@@ -449,30 +584,31 @@ def q_quality_report(spark, sf_dir):
 
 # Files per micro-batch in the registered streaming queries, so
 # the merge runs over several epochs.
-STREAM_FILES_PER_TRIGGER = 200
+STREAM_FILES_PER_TRIGGER = 600
 
 
-def _land_sets(spark, sf_dir, root, feed="transactions"):
-    """Land set A, then set B (re-sends) as separate files of the same feed."""
-    rows = fx.raw_transaction_rows(spark, sf_dir)
-    a = L.land(rows.where(F.col("resend_set") == "A"), root, feed, TRANSACTION_COLUMNS,
-               "loaded_at")
-    b = L.land(rows.where(F.col("resend_set") == "B"), root, feed, TRANSACTION_COLUMNS,
-               "loaded_at")
-    return a.prefix, b
+def _run_sink(spark, root, feed, sink):
+    """Process what has landed of a feed since its last run."""
+    s = ST.landed_files(spark, f"{root}/{feed}", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    ST.run_available(s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_chk_{feed}"))
 
 
-@register("stream_ingest", O.with_(O.EV, O.RAW_TX) + f"SELECT {O.TX_FIELDS} FROM raw_tx")
+@register("stream_ingest", O.with_(O.EV, O.RAW_TX) + "SELECT "
+          + ", ".join(f"CASE WHEN event_id % 97 <> 0 THEN {c} END AS {c}" for c in TRANSACTION_COLUMNS)
+          + ", CASE WHEN event_id % 97 <> 0 THEN 'kept' END AS extra, event_id % 97 = 0 AS is_error FROM raw_tx")
 def q_stream_ingest(spark, sf_dir):
-    """K1/A10: file-source stream of landed arrays -> raw table (checkpointed)."""
+    """K1/A10: file-source stream of landed arrays -> raw table: payloads as landed (unknown fields
+    and text amounts too), rejects kept."""
     root = scratch_path(spark, "stream_ingest")
-    res = _land_transactions(spark, sf_dir, root)
-    s = ST.to_raw_rows(ST.transaction_stream(spark, res.prefix), TRANSACTION_COLUMNS, AS_OF)
-    ST.run_available(s.writeStream.format("parquet")
-                     .option("checkpointLocation", f"{root}/_chk_ingest")
-                     .option("path", f"{root}/raw"))
-    raw = spark.read.parquet(f"{root}/raw")
-    return parse_raw(raw, TRANSACTION_FIELDS, None, None).select(*TRANSACTION_COLUMNS)
+    fields = [F.col(c).cast("string").alias(c) if c == "amount" else F.col(c) for c in TRANSACTION_COLUMNS]
+    text = F.when(F.col("event_id") % fx.BAD_PAYLOAD_EVERY == 0, F.lit(BAD_ELEMENT)) \
+            .otherwise(fx.to_json_payload([*fields, F.lit("kept").alias("extra")]))
+    _land_transactions(spark, sf_dir, root, payload=text)
+    _run_sink(spark, root, "transactions", ST.ingest_sink(f"{root}/raw", TRANSACTION_ROUTING))
+    raw = ST.read_epochs(spark, f"{root}/raw")
+    raw = raw.withColumn("raw_payload", F.when(~F.col("is_error"), F.col("raw_payload")))
+    return X.parsed_fields(raw.withColumn("extra", F.get_json_object("raw_payload", "$.extra")), "raw_payload",
+                           TRANSACTION_FIELDS, ["extra", "is_error"])
 
 
 @register("stream_dedupe", O.with_(O.EV, O.RAW_TX)
@@ -497,66 +633,69 @@ def q_stream_dedupe(spark, sf_dir):
 
 
 def _stream_merge(spark, sf_dir, name, with_fact):
+    """Both feeds as streams, three waves: first versions, re-sends (with late settlements),
+    and versions tied with the first on their authorization time."""
     root = scratch_path(spark, name)
-    prefix, _ = _land_sets(spark, sf_dir, root)
-    sink = ST.merge_sink(spark, f"{root}/raw", f"{root}/events",
-                         fx.raw_payments(spark, sf_dir), AS_OF,
-                         fact_path=f"{root}/daily" if with_fact else None)
-    s = ST.transaction_stream(spark, prefix, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
-    ST.run_available(s.writeStream.foreachBatch(sink)
-                     .option("checkpointLocation", f"{root}/_chk_merge"))
-    return root
-
-
-@register("stream_merge", O.with_(*O.chain(None)) + _EVENTS_NO_META)
+    tables = ST.StreamTables(f"{root}/raw_tx", f"{root}/raw_pay", f"{root}/events", f"{root}/daily" if with_fact else None)
+    tx, pay = fx.raw_transaction_rows(spark, sf_dir), fx.raw_payment_rows(spark, sf_dir)
+    waves = [(tx.where(F.col("resend_set") == w), pay.where(F.col("resend_set") == w)) for w in ("A", "B")]
+    for t, p in [*waves, (fx.restated_rows(tx), None)]:
+        L.land(t, root, "transactions", TRANSACTION_COLUMNS, "loaded_at")
+        _run_sink(spark, root, "transactions", ST.transactions_sink(spark, tables, AS_OF, arrival=lambda epoch: AS_OF))
+        if p is not None:
+            L.land(p, root, "payments", PAYMENT_COLUMNS, "loaded_at")
+            _run_sink(spark, root, "payments", ST.payments_sink(spark, tables, AS_OF, arrival=lambda epoch: AS_OF))
+    return tables
+
+
+@register("stream_merge", O.with_(*O.chain_of(O.RESTATED)) + _EVENTS_NO_META)
 def q_stream_merge(spark, sf_dir):
-    """K4: foreachBatch merge of arriving transactions == full refresh."""
-    root = _stream_merge(spark, sf_dir, "stream_merge", with_fact=False)
-    return spark.read.parquet(f"{root}/events").drop("_dbt_updated_at")
+    """K4: foreachBatch merges of arriving transactions and payments == full refresh."""
+    return read_table(spark, _stream_merge(spark, sf_dir, "stream_merge", False).events, EVENT_SCHEMA).drop("_dbt_updated_at")
 
 
-@register("stream_daily", O.with_(*O.chain(None), O.daily_agg("int_ev"))
+@register("stream_daily", O.with_(*O.chain_of(O.RESTATED), O.daily_agg("int_ev"))
           + O.DAILY_SELECT.replace(", _dbt_updated_at", "") + " FROM daily")
 def q_stream_daily(spark, sf_dir):
     """K5: touched days of the fact recomputed per micro-batch (exact distincts)."""
-    root = _stream_merge(spark, sf_dir, "stream_daily", with_fact=True)
-    return round_money(spark.read.parquet(f"{root}/daily")).drop("_dbt_updated_at")
+    fact = read_table(spark, _stream_merge(spark, sf_dir, "stream_daily", True).fact, FACT_SCHEMA)
+    return round_money(fact).drop("_dbt_updated_at")
 
 
+# First arrivals of both feeds: set A lands first; of a payment the first settled version counts.
 _JOIN_SQL = O.with_(O.EV, O.RAW_TX, O.RAW_PAY) + f"""
 , t AS (SELECT * FROM raw_tx WHERE resend_set = 'A' AND transaction_id IS NOT NULL),
-p AS (SELECT * FROM raw_pay WHERE payment_status = 'SETTLED'),
-wm AS (SELECT least((SELECT max(posted_at) FROM t), (SELECT max(settled_at) FROM p))
-              - INTERVAL 3 DAY - INTERVAL 4 DAY AS evict_before),
-j AS (SELECT t.transaction_id, t.card_id, t.member_id, t.amount, t.currency_code, t.merchant_name,
-             t.merchant_category_code, t.transaction_type, t.transaction_status, t.posted_at,
-             t.authorized_at, t.network, t.is_international, t.decline_reason,
-             p.payment_id, p.payment_type, p.payment_status, p.settled_at
-      FROM t LEFT JOIN p
-        ON t.member_id = p.member_id AND t.amount = p.amount
-       AND CAST(t.posted_at AS DATE) = p.scheduled_date
-       AND p.settled_at >= t.posted_at AND p.settled_at <= t.posted_at + INTERVAL 4 DAY)
-SELECT * FROM j
-WHERE payment_id IS NOT NULL OR posted_at < (SELECT evict_before FROM wm)"""
+p AS (SELECT * FROM raw_pay WHERE payment_status = 'SETTLED' AND payment_id IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY resend_set) = 1)
+SELECT {', '.join('t.' + c for c in TRANSACTION_COLUMNS)}, p.payment_id, p.payment_type, p.payment_status, p.settled_at
+FROM t LEFT JOIN p ON t.member_id = p.member_id AND t.amount = p.amount AND t.posted_at::DATE = p.scheduled_date
+                  AND p.settled_at BETWEEN t.posted_at AND t.posted_at + INTERVAL 4 DAY"""
 
 
 @register("stream_settlement_join", _JOIN_SQL)
 def q_stream_settlement_join(spark, sf_dir):
-    """K3: stream-stream left outer join with watermarks. Matched pairs are emitted
-    at once; an unmatched transaction is emitted only after the watermark passes its
-    settlement range, so the newest unmatched ones are still held in state."""
+    """K3: both feeds deduplicated on the stream, joined stream to stream with watermarks; what
+    the join still holds when the streams end is flushed, so every transaction is there."""
     root = scratch_path(spark, "stream_join")
-    rows = fx.raw_transaction_rows(spark, sf_dir).where(F.col("resend_set") == "A")
-    tx_prefix = L.land(rows, root, "transactions", TRANSACTION_COLUMNS, "loaded_at").prefix
-    pay_prefix = L.land(fx.raw_payment_rows(spark, sf_dir), root, "payments",
-                        PAYMENT_COLUMNS, "loaded_at").prefix
-    tx = ST.transaction_stream(spark, tx_prefix).where(F.col("transaction_id").isNotNull())
-    pay = ST.payment_stream(spark, pay_prefix)
-    j = ST.settlement_join(tx, pay)
+    feeds = {"transactions": (fx.raw_transaction_rows(spark, sf_dir), TRANSACTION_COLUMNS),
+             "payments": (fx.raw_payment_rows(spark, sf_dir), PAYMENT_COLUMNS)}
+    for wave in ("A", "B"):
+        for feed, (rows, columns) in feeds.items():
+            prefix = L.land(rows.where(F.col("resend_set") == wave), root, feed, columns, "loaded_at").prefix
+            if feed == "transactions":
+                s = ST.dedupe_first_arrival(ST.transaction_stream(spark, prefix))
+            else:
+                settled = ST.payment_stream(spark, prefix).where(F.col("payment_status") == "SETTLED")
+                s = ST.dedupe_first_arrival(settled, "payment_id", "settled_at", delay=ST.HISTORY)
+            ST.run_available(s.select(*columns).writeStream.format("parquet")
+                             .option("checkpointLocation", f"{root}/_chk_{feed}").option("path", f"{root}/first/{feed}"), spark)
+    read = lambda feed, schema: spark.readStream.schema(schema).parquet(f"{root}/first/{feed}")
+    j = ST.settlement_join(read("transactions", TRANSACTION_SCHEMA), read("payments", PAYMENT_SCHEMA))
     ST.run_available(j.writeStream.format("parquet").outputMode("append")
                      .option("checkpointLocation", f"{root}/_chk_join")
                      .option("path", f"{root}/joined"), spark)
-    return spark.read.parquet(f"{root}/joined")
+    return ST.flush_unmatched(spark, spark.read.schema(TRANSACTION_SCHEMA).parquet(f"{root}/first/transactions"),
+                              spark.read.parquet(f"{root}/joined"))
 
 
 # ---------------------------------------------------------------- invalid UTF-8
