@@ -13,7 +13,8 @@
    the pairs that still lie between different components.
 5. Classes of a bucket that have not met (neither is the hub) and lie in
    different components after that are compared in blocks of bounded size within
-   tasks, by the same test; survivors are verified on the full sets.
+   tasks: the same test, in the first band that both share, and then their full
+   sets. A block reports only links that join components, a forest.
 6. Components are found by repeated minimum over neighbours (large and small
    stars) on distributed edges.
 
@@ -53,7 +54,7 @@ class MinHashParams:
     rows: int = 5
     batch: int = 20         # signature values compared at a time
     miss: float = 1e-7      # posterior chance below which a pair is dropped
-    block: int = 256        # classes compared with one another at once in step 5
+    block: int = 512        # classes compared with one another at once in step 5
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int):
@@ -203,19 +204,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: MinHashParams) -> DataFrame
     """Pairs whose full sets reach the threshold."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= p.percent * (len(x) + len(y) - both):
-                    keep.append(i)
+            keep = [i for i, (x, y) in enumerate(zip(batch.column("xa"), batch.column("xb"), strict=True))
+                    if similar(*(np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y)), p)]
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
-    # Equal length bounds first: sets of sizes n <= m reach s only if n >= s * m.
     joined = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("xa")), "a")
-              .where(F.length("xa") > 0)
-              .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("xb")), "b")
-              .where(100 * F.least(F.length("xa"), F.length("xb")) >= p.percent * F.greatest(F.length("xa"), F.length("xb"))))
+              .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("xb")), "b"))
     return joined.select("a", "b", "xa", "xb").mapInArrow(run, "a binary, b binary")
 
 
@@ -245,54 +239,73 @@ def components(edges: DataFrame, name: str = "near-components") -> DataFrame:
     return edges.select(F.col("u").alias("cls"), F.col("v").alias("root"))
 
 
-def _blocked_pairs(members: DataFrame, p: MinHashParams) -> DataFrame:
-    """``a, b``: survivors among classes that share a bucket and lie in different
-    components. ``members``: bucket, cls, root, signature, blocks. A bucket is cut
-    into blocks; each pair of blocks is one run of rows, compared within a task."""
-    least, width = least_matches(p), p.bands * p.rows
-    block = F.pmod(F.xxhash64("cls"), F.col("blocks"))
-    spread = members.withColumn("mine", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    spread = spread.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "root", "signature")
-
-    def compare(rows: list[tuple]):
-        if len(rows) < 2:
-            return [], []
-        sig = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(len(rows), width)
-        mine = np.array([r[0] for r in rows])
-        root = np.unique([r[2] for r in rows], return_inverse=True)[1]
-        cross = rows[0][4] != rows[0][5]
-        out_a, out_b = [], []
-        for i in range(len(rows) - 1):
-            j = np.arange(i + 1, len(rows))
-            j = j[(root[j] != root[i]) & ((mine[j] != mine[i]) | (not cross))]
-            if len(j):
-                hit = j[survives(np.broadcast_to(sig[i], (len(j), width)), sig[j], p, least)]
-                out_a += [rows[i][1]] * len(hit)
-                out_b += [rows[k][1] for k in hit]
-        return out_a, out_b
+def similar(x: np.ndarray, y: np.ndarray, p: MinHashParams) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    small, large = min(len(x), len(y)), max(len(x), len(y))
+    if 100 * small < p.percent * large:  # sizes alone rule it out
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= p.percent * (small + large - both)
+
+
+def _links_of_block(rows: list[dict], p: MinHashParams, least: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """Links that join components among the rows of a pair of blocks of one bucket."""
+    n, width = len(rows), p.bands * p.rows
+    sig = np.frombuffer(b"".join(r["signature"] for r in rows), "<u2").reshape(n, width)
+    mine = np.array([r["mine"] for r in rows])
+    root = np.unique([r["root"] for r in rows], return_inverse=True)[1]
+    bands = sig.reshape(n, p.bands, p.rows)
+    # the band of this bucket: one in which all its rows agree, the first of them if there are several
+    here = int((bands == bands[0]).all(2).all(0).argmax())
+    within = rows[0]["i"] == rows[0]["j"]
+    sets = [np.frombuffer(r["members"], np.uint64) for r in rows]
+    found = []
+    for a in range(n - 1):
+        b = np.arange(a + 1, n)
+        b = b[(root[b] != root[a]) & (within | (mine[b] != mine[a]))]
+        if not len(b):
+            continue
+        b = b[survives(np.broadcast_to(sig[a], (len(b), width)), sig[b], p, least)]
+        # a pair that shares several bands is compared in the first
+        b = b[(bands[b] == bands[a]).all(2).argmax(1) >= here] if len(b) else b
+        for k in b:
+            if root[k] != root[a] and similar(sets[a], sets[k], p):
+                found.append((rows[a]["cls"], rows[k]["cls"]))
+                root[root == root[k]] = root[a]
+    return found
+
+
+def _block_links(members: DataFrame, p: MinHashParams) -> DataFrame:
+    """``a, b``: links between components among classes that share a bucket.
+    ``members``: bucket, cls, root, signature, members, blocks. A bucket is cut into
+    blocks; each pair of blocks is one run of sorted rows, compared within a task."""
+    least = least_matches(p)
+    names = ["mine", "i", "j", "cls", "root", "signature", "members"]
+    spread = (members.withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).select("bucket", *names))
 
     def run(batches):
         key, held = None, []
 
-        def out(a, b):
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        def out(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            a, b = [], []
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "i", "j", "mine", "cls", "root", "signature")]
-            for bucket, i, j, mine, cls, root, sig in zip(*columns, strict=True):
-                if (bucket, i, j) != key:
-                    x, y = compare(held)
-                    a += x
-                    b += y
-                    key, held = (bucket, i, j), []
-                held.append((mine, cls, root, sig, i, j))
-            yield out(a, b)
-        yield out(*compare(held))
+            found = []
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True))
+            edges = [k for k in range(len(keys)) if k == 0 or keys[k] != keys[k - 1]]
+            for at, end in zip(edges, [*edges[1:], len(keys)], strict=True):
+                if keys[at] != key:
+                    found += _links_of_block(held, p, least) if len(held) > 1 else []
+                    key, held = keys[at], []
+                held += batch.slice(at, end - at).select(names).to_pylist()
+            yield out(found)
+        yield out(_links_of_block(held, p, least) if len(held) > 1 else [])
 
     n = shuffle_tasks(members)
     return (spread.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(run, "a binary, b binary").distinct())
+            .mapInArrow(run, "a binary, b binary"))
 
 
 def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) -> DataFrame:
@@ -331,12 +344,13 @@ def find_components(docs: DataFrame, p: MinHashParams) -> tuple[DataFrame, DataF
     pairs = starred.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     survivors = materialize(_pairs_that_survive(pairs, signatures, p), "near-survivors")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        texts = docs.join(signatures.select("rk", "cls").join(wanted, "cls", "left_semi").select("rk"), "rk", "left_semi")
-        return materialize(_scan(texts, p, "members").select("cls", "members"), "near-sets")
+    # Full sets of the classes that take part in a verification: one more pass over their texts.
+    alone = starred.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    wanted = (survivors.select(F.explode(F.array("a", "b")).alias("cls"))
+              .unionByName(starred.join(alone, "bucket", "left_semi").select("cls")).distinct())
+    texts = docs.join(signatures.select("rk", "cls").join(wanted, "cls", "left_semi").select("rk"), "rk", "left_semi")
+    sets = materialize(_scan(texts, p, "members").select("cls", "members"), "near-sets")
 
-    sets = sets_of(survivors)
     # One hub for each class first; most components close with it.
     leading = survivors.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     linked = materialize(_confirmed(leading, sets, p), "near-links")
@@ -349,12 +363,8 @@ def find_components(docs: DataFrame, p: MinHashParams) -> tuple[DataFrame, DataF
     rooted = starred.join(roots, "cls", "left").select("bucket", "cls", F.coalesce("root", "cls").alias("root"))
     mixed = (rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo != hi").select("bucket", F.expr(f"(n + {p.block - 1}) div {p.block}").alias("blocks")))
-    rest = rooted.join(mixed, "bucket").join(signatures.select("cls", "signature"), "cls")
-    late = materialize(_blocked_pairs(rest, p), "near-late")
-    late = late.join(survivors.select(F.col("a").alias("x"), F.col("b").alias("y")),
-                     ((F.col("a") == F.col("x")) & (F.col("b") == F.col("y"))), "left_anti")
-    more = materialize(_confirmed(late, sets_of(late), p), "near-links")
-    linked = linked.unionByName(more)
+    members = (rooted.join(mixed, "bucket").join(signatures.select("cls", "signature"), "cls").join(sets, "cls"))
+    linked = linked.unionByName(materialize(_block_links(members, p), "near-links"))
     roots = components(linked)
 
     named = reps.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
