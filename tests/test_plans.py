@@ -118,8 +118,8 @@ def test_skewed_link_is_a_split_sort_merge_join(spark):
         from ledgerflow.operators.events import credit_card_events
         st, sp = R.staged(spark, SF, None)
         hot = F.abs(F.xxhash64("transaction_id")) % 3 == 0
-        # one member and day holds a third of the rows
-        st = st.withColumns({"member_id": F.when(hot, F.lit("M_HOT")).otherwise(F.col("member_id")),
+        # one member and day holds a third of the rows, from several map tasks
+        st = st.repartition(6).withColumns({"member_id": F.when(hot, F.lit("M_HOT")).otherwise(F.col("member_id")),
                              "amount": F.when(hot, F.lit(1.0)).otherwise(F.col("amount")),
                              "posted_at": F.when(hot, F.lit("2024-01-05 10:00:00").cast("timestamp_ntz")).otherwise(F.col("posted_at"))})
         ev = credit_card_events(st, sp, R.AS_OF)
