@@ -157,22 +157,28 @@ def rejected(cutoffs: dict, stratum: Column) -> Column:
 
 
 def _features(docs: DataFrame, p: QualityParams) -> DataFrame:
-    return with_counts(docs.select("doc_id", F.col(p.stratum).alias("stratum"), "text", F.xxhash64("text").alias("text_hash")))
+    """Counts and features of every row, without its text, written once: a filter over
+    them would otherwise be moved below the steps that compute them."""
+    rows = docs.select(F.monotonically_increasing_id().alias("__rk"), "doc_id", F.col(p.stratum).alias("stratum"), "text",
+                       F.xxhash64("text").alias("text_hash"))
+    return materialize(with_counts(rows).drop("text"), "quality-features")
+
+
+def _cutoffs(scanned: DataFrame, labels: DataFrame, p: QualityParams) -> dict:
+    return certify(scanned.select("doc_id", "stratum", "text_hash", F.col("__features").alias("features")), labels, p)
 
 
 def judge(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """``doc_id``, the counts, ``base_failed`` and ``kept`` of every row; one pass over the texts."""
-    scanned = materialize(_features(docs, params).drop("text"), "quality-features")
-    cutoffs = certify(scanned.withColumnRenamed("__features", "features"), labels, params)
-    failed = base_failed(params)
+    scanned = _features(docs, params)
+    cutoffs, failed = _cutoffs(scanned, labels, params), base_failed(params)
     return scanned.select("doc_id", *(F.col(f"__{c}").alias(c) for c in COUNTS), failed.alias("base_failed"),
                           (~failed & ~rejected(cutoffs, F.col("stratum"))).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns."""
-    seen = _features(docs, params).select("doc_id", "stratum", "text_hash", F.col("__features").alias("features"))
-    marked = labels.select("doc_id").where(F.col("doc_id").isNotNull())
-    cutoffs = certify(materialize(seen, "quality-features").join(marked, "doc_id", "left_semi"), labels, params)
-    judged = with_counts(docs)
-    return judged.where(~base_failed(params) & ~rejected(cutoffs, F.col(params.stratum))).select(*docs.columns)
+    scanned = _features(docs, params)
+    cutoffs = _cutoffs(scanned, labels, params)
+    bad = scanned.where(base_failed(params) | rejected(cutoffs, F.col("stratum"))).select("__rk")
+    return docs.withColumn("__rk", F.monotonically_increasing_id()).join(bad, "__rk", "left_anti").select(*docs.columns)
