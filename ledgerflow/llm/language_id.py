@@ -4,8 +4,8 @@ A text is a vector of hashed character 1- to 3-gram counts (letters only, lower
 case, words joined by one space), weighted by 1 + log(count) and by inverse
 document frequency and scaled to length 1. Document frequencies cover every
 training row. Each language gets several centroids by spherical k-means on a
-bounded sample of training rows, clustered on the executors, one language per
-group. A text takes the language of the centroid with the largest cosine; where
+bounded sample of each language's distinct training texts, clustered on the
+executors, one language per group. A text takes the language of the centroid with the largest cosine; where
 that cosine lies below what nearly all sample members of that centroid reach,
 the prediction is marked as rejected.
 
@@ -35,7 +35,7 @@ _LETTER: list[np.ndarray] = []
 class LanguageParams:
     dims: int = 4096           # hashed n-gram dimensions
     centroids: int = 4         # per language
-    fit_rows: int = 1500       # rows per language that the clustering sees at most, about
+    fit_rows: int = 1500       # distinct texts per language that the clustering sees at most, about
     iterations: int = 8
     reject_quantile: float = 0.005
     piece_chars: int = 1 << 18  # a longer text is counted piece by piece
@@ -109,18 +109,28 @@ def fit(train: DataFrame, params: LanguageParams = LanguageParams()) -> dict:
     train = train.where(F.col("lang").isNotNull()).select("text", "lang")
     df, n = _document_frequencies(train, p)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    sizes = train.where(F.col("text").isNotNull()).groupBy("lang").count().collect()
-    # The sample: the rows whose text hash falls below a share that leaves about fit_rows of each language.
+    # The sample: the texts whose hash falls below a share that leaves about fit_rows of each language's
+    # distinct texts, or all of them. A text without a letter has no vector and does not count; a character
+    # unknown to Spark may be a letter.
     draw = F.xxhash64(F.lit("fit"), "text")
+    sizes = (train.where(F.col("text").rlike(r"[\p{L}\p{Cn}]")).groupBy("lang", draw.alias("draw")).agg(F.lit(1))
+             .groupBy("lang").count().collect())
     below = F.lit(0)
     for r in sizes:
         below = F.when(F.col("lang") == r["lang"], F.lit(min(1 << 30, (p.fit_rows << 30) // r["count"] + 1))).otherwise(below)
     sample = train.where(F.col("text").isNotNull() & (F.pmod(draw, F.lit(1 << 30)) < below)).withColumn("draw", draw)
 
     def vectors(batches):
+        seen = set()  # copies within a task; as many entries as sampled texts at most
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
+                fresh = []
+                for i, key in enumerate(zip(part.column("lang").to_pylist(), part.column("draw").to_pylist(), strict=True)):
+                    if key not in seen:
+                        seen.add(key)
+                        fresh.append(i)
+                part = part.take(pa.array(fresh, pa.int64()))
                 counts = [ngram_counts(t, p) for t in part.column("text").to_pylist()]
                 has = [i for i, c in enumerate(counts) if c is not None]
                 if has:

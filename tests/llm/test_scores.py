@@ -44,6 +44,17 @@ def test_language_centroids_by_brute_force(make_docs):
         assert r.score == pytest.approx(min(1, cos.max()), abs=1e-5)
 
 
+def test_language_of_many_copies_keeps_its_sample(make_docs):
+    """Copies, and texts without a letter, leave a language's sample of distinct texts as it is."""
+    other = [(f"kala mala tala sala {'la ' * (i % 5)}{chr(97 + i % 20)}{chr(97 + i // 20)}", "aa") for i in range(40)]
+    rows = other + [("kala kala", "aa")] * 3000 + [(str(i), "aa") for i in range(3000)] + [(f"xyxx yxyx zyzy {'yz ' * i}", "bb") for i in range(20)]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    model = language_id.fit(make_docs(rows), language_id.LanguageParams(fit_rows=24))
+    assert model["langs"] == ["aa"] * 4 + ["bb"] * 4
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(make_docs(rows), model).collect()}
+    assert all(got[i] == lang for i, text, lang in rows if not text.isdigit())
+
+
 def test_language_counts_do_not_depend_on_pieces():
     text = "Der schnelle, braune Fuchs -- springt ÜBER 12 Hunde! " * 40
     whole = language_id.ngram_counts(text, language_id.LanguageParams())
