@@ -66,7 +66,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int):
     count = np.bincount(row, minlength=n)
     h = np.zeros(max(0, len(words) - size + 1), np.uint64)
     for k in range(size):
-        h = mix64(h * np.uint64(0x9FB21C651E98DF25) + words[k:len(words) - size + 1 + k] + np.uint64(k))
+        h = mix64(h * np.uint64(0x9FB21C651E98DF25) + words[k:k + len(h)] + np.uint64(k))
     at = row[:len(h)]
     inside = at == row[size - 1:] if len(h) else np.zeros(0, bool)
     h, at = h[inside], at[inside]

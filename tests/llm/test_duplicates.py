@@ -50,6 +50,14 @@ def test_five_word_shingles_of_documents(spark):
     assert result(docs, shingle=5) == wanted(rows, 5)
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_five_word_shingles_of_one_short_document(n):
+    text = " ".join("abcdef"[:n])
+    data = np.frombuffer(text.encode(), np.uint8)
+    h, runs = near_duplicates.shingle_sets(data, np.array([0, len(data)]), 5)
+    assert len(h) == len(brute.shingles(text, 5)) and runs.tolist() == [0, len(h)]
+
+
 def test_keep_one(make_docs, edge_rows):
     rows = varied(2, 90) + edge_rows
     docs = make_docs(rows)
