@@ -2,19 +2,30 @@
 
 Fixed base rules reject a text of too few words or mostly repeated words. Beyond
 them each feature (share of symbols, exclamation marks, capitals, repeated lines
-and repeated words) may reject a text above a cutoff, per stratum. A cutoff is
-used only if the labelled good texts of the stratum prove, at the exact binomial
-bound, that it rejects at most its share of ``false_rejection`` of good texts.
-All features and strata together are wrong with probability ``error`` at most:
-the level is divided by their number (Bonferroni), and the cutoffs of a feature
-are tested from lenient to strict until one fails, which needs no correction
-(fixed sequence). Of the certified cutoffs the one with the best balance of
-rejected bad and good texts is used. A stratum with too few labels gets none.
+and repeated words) may reject a text above a cutoff, per stratum. The cutoffs of
+all features together are used only if the labelled good texts of the stratum
+prove, at the exact binomial bound, that they reject at most ``false_rejection``
+of its good texts. They are tested along one path of joint cutoffs, from lenient
+to strict until one fails, which needs no correction (fixed sequence); the level
+is ``error`` divided by the number of strata that are tested (Bonferroni). Of the
+certified joint cutoffs the one with the best balance of rejected bad and good
+texts is used.
+
+The path is laid without the good texts it is tested on: from the bad texts and
+the good texts of the other strata or, where these are under ``design_rows``,
+from a fifth of the own ones, which the test then leaves out.
+
+A stratum whose good labels cannot certify anything at that level is not tested
+and does not tighten the level of others; the label counts alone decide this.
+Such strata share the cutoffs certified on their pooled labels or, where these
+are too few, on the labels of all strata: the bound then holds for the good texts
+of the pool, not of each stratum in it. A stratum without a good label is in no
+pool and gets none, as does every stratum if all labels together are too few.
 
 Copies are no independent trials: each distinct text of a stratum counts once.
 
 DataFrame functions only; the driver sees counts per stratum, feature and grid
-cell, and decides the cutoffs.
+cell, and per stratum and step of the path, and decides the cutoffs.
 
 Defined cases: a null text has no words and fails the base rules. A null stratum
 value is a stratum of its own. A text whose labels disagree, or whose quality is
@@ -49,6 +60,7 @@ class QualityParams:
     error: float = 0.05             # chance that any stratum exceeds it
     grid: int = 200                 # candidate cutoffs k / grid of every feature
     good_weight: int = 20           # one good text lost weighs as much as so many bad ones caught
+    design_rows: int = 100          # good texts of other strata that suffice to lay a path
 
 
 def _removed(text: Column, pattern: str) -> Column:
@@ -106,11 +118,11 @@ def binomial_tail(k: int, n: int, rate: float) -> float:
 
 
 def _certified(good: list[int], bad: list[int], level: float, rate: float, p: QualityParams) -> int | None:
-    """Grid index of the cutoff to use. ``good[i]``, ``bad[i]``: texts whose feature
-    lies in grid cell i, above cutoff i - 1 and not above cutoff i."""
+    """Index of the cutoff to use. ``good[i]``, ``bad[i]``: texts that cutoff i - 1 and
+    those below it reject, and cutoff i does not."""
     n, best, best_gain = sum(good), None, 0
     above_good = above_bad = 0
-    for cutoff in range(p.grid - 1, -1, -1):  # from lenient to strict
+    for cutoff in range(len(good) - 2, -1, -1):  # from lenient to strict
         above_good += good[cutoff + 1]
         above_bad += bad[cutoff + 1]
         if n == 0 or above_good > n * rate or binomial_tail(above_good, n, rate) > level:
@@ -121,28 +133,96 @@ def _certified(good: list[int], bad: list[int], level: float, rate: float, p: Qu
     return best
 
 
+def _path(good: list[list[int]], bad: list[list[int]], p: QualityParams) -> list[tuple[int, int]]:
+    """Steps (feature, grid cutoff) of a path of joint cutoffs: each lowers one feature's
+    cutoff, to where it rejects further bad texts. Steps that reject few of the
+    ``good`` texts come first, then features that reject many ``bad`` ones."""
+    n = max(1, sum(good[0]))
+    bounds = [0, *(p.false_rejection * x for x in (.25, .5, 1))]
+    steps, caught = [], {}
+    for f in range(len(FEATURES)):
+        above_good = above_bad = 0
+        for cutoff in range(p.grid - 1, -1, -1):
+            above_good += good[f][cutoff + 1]
+            above_bad += bad[f][cutoff + 1]
+            if bad[f][cutoff + 1]:
+                turn = next((i for i, x in enumerate(bounds) if above_good <= n * x), len(bounds) + above_good)
+                steps.append((turn, f, cutoff))
+                caught[turn, f] = above_bad
+    return [(f, cutoff) for turn, f, cutoff in sorted(steps, key=lambda x: (x[0], -caught[x[:2]], x[1], -x[2]))]
+
+
+def _families(goods: dict, p: QualityParams) -> tuple[list[dict], float]:
+    """What is tested, from label counts alone: families of strata that share cutoffs,
+    and the level of each. ``goods``: stratum -> good texts (all, design fold)."""
+    total = sum(n for n, _ in goods.values())
+
+    def family(uses, tested):
+        n, fold = (sum(goods[s][i] for s in tested) for i in (0, 1))
+        split = total - n < p.design_rows
+        return {"uses": uses, "tested": set(tested), "split": split, "n": n - fold if split else n}
+
+    strata = sorted((s for s in goods if goods[s][0]), key=lambda s: (-goods[s][0], repr(s)))
+    for k in range(len(strata), -1, -1):  # the k best labelled strata alone, the others pooled
+        level = p.error / max(1, k + (k < len(strata)))
+        enough = lambda x: (1 - p.false_rejection) ** x["n"] <= level
+        alone = [family([s], [s]) for s in strata[:k]]
+        if all(map(enough, alone)):
+            pools = [family(strata[k:], x) for x in (strata[k:], strata) if k < len(strata)]
+            return alone + [x for x in pools if enough(x)][:1], level
+    return [], p.error
+
+
 def certify(features: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> dict:
     """Cutoffs: (stratum value, feature) -> value above which a text is rejected.
     ``features``: doc_id, stratum, text_hash, features."""
-    p = params
+    p, size = params, params.grid + 1
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("labelled"))
-             .agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).where("lo = hi"))
+             .agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).where("lo = hi AND lo IN (0, 1)"))
     texts = (features.join(marks, F.col("doc_id") == F.col("labelled"))
-             .groupBy("stratum", "text_hash").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("features").alias("features")))
-    cells = (texts.where("lo = hi").select("stratum", "hi", F.posexplode("features").alias("feature", "x"))
-             .groupBy("stratum", "feature", F.ceil(F.col("x") * p.grid).cast("int").alias("cell"))
-             .agg(F.sum((F.col("hi") == 1).cast("long")).alias("good"), F.sum((F.col("hi") == 0).cast("long")).alias("bad")).collect())
-    counts: dict = {}
-    for r in cells:
-        good, bad = counts.setdefault((r["stratum"], r["feature"]), ([0] * (p.grid + 1), [0] * (p.grid + 1)))
-        good[r["cell"]] += r["good"]
-        bad[r["cell"]] += r["bad"]
-    rate, level = p.false_rejection / len(FEATURES), p.error / max(1, len(counts))
+             .groupBy("stratum", "text_hash").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("features").alias("features")).where("lo = hi")
+             .select("stratum", F.col("hi").alias("quality"), (F.pmod(F.xxhash64(F.lit("design"), "text_hash"), F.lit(5)) == 0).alias("fold"),
+                     F.transform("features", lambda x: F.ceil(x * p.grid).cast("int")).alias("cells")))
+    texts = materialize(texts, "quality-labels")
+    counts: dict = {}  # (stratum, fold, quality) -> feature -> cell -> texts
+    for r in (texts.select("stratum", "fold", "quality", F.posexplode("cells").alias("feature", "cell"))
+              .groupBy("stratum", "fold", "quality", "feature", "cell").count().collect()):
+        counts.setdefault((r["stratum"], r["fold"], r["quality"]), [[0] * size for _ in FEATURES])[r["feature"]][r["cell"]] += r["count"]
+
+    def histogram(wanted):
+        found = [c for key, c in counts.items() if wanted(*key)]
+        return [[sum(c[f][i] for c in found) for i in range(size)] for f in range(len(FEATURES))]
+
+    of = lambda s, *folds: sum(sum(counts[s, x, 1][0]) for x in folds if (s, x, 1) in counts)
+    families, level = _families({s: (of(s, True, False), of(s, True)) for s in {key[0] for key in counts}}, p)
+    if not families:
+        return {}
+    bad = histogram(lambda s, fold, quality: quality == 0)
+    rows = []
+    for i, x in enumerate(families):
+        good = histogram(lambda s, fold, quality: quality == 1 and (s in x["tested"] and fold if x["split"] else s not in x["tested"]))  # noqa: B023
+        x["path"] = _path(good, bad, p)
+        # per feature and cell the first step that rejects a text there
+        first = [[len(x["path"])] * size for _ in FEATURES]
+        for step, (f, cutoff) in reversed(list(enumerate(x["path"]))):
+            first[f][cutoff + 1:] = [step] * (size - cutoff - 1)
+        rows += [(i, s, x["split"], first) for s in x["tested"]]
+    steps = features.sparkSession.createDataFrame(rows, f"family int, of {features.schema['stratum'].dataType.simpleString()}, split boolean, first array<array<int>>")
+    hit = F.array_min(F.transform("cells", lambda cell, f: F.get(F.get("first", f), cell)))
+    tested = (texts.join(F.broadcast(steps), F.col("stratum").eqNullSafe(F.col("of")))
+              .where((F.col("quality") == 0) | ~F.col("split") | ~F.col("fold"))
+              .groupBy("family", "quality", hit.alias("step")).count().collect())
     out = {}
-    for (stratum, feature), (good, bad) in sorted(counts.items(), key=repr):
-        cutoff = _certified(good, bad, level, rate, p)
+    for i, x in enumerate(families):
+        n = len(x["path"])
+        seen = {q: [0] * (n + 1) for q in (0, 1)}
+        for r in tested:
+            if r["family"] == i:
+                seen[r["quality"]][n - r["step"]] += r["count"]
+        cutoff = _certified(seen[1], seen[0], level, p.false_rejection, p)
         if cutoff is not None:
-            out[stratum, feature] = cutoff / p.grid
+            for f, k in x["path"][:n - cutoff]:
+                out.update({(s, f): k / p.grid for s in x["uses"]})
     return out
 
 

@@ -110,6 +110,54 @@ def test_certified_cutoffs_reject_junk_and_keep_good(spark, make_docs):
     assert "Python" not in plan_of(kept)
 
 
+def test_strata_of_few_labels_get_cutoffs(spark, make_docs):
+    """217 clean labels certify one of four strata; smaller strata share a pool; one without good labels gets none."""
+    junk = lambda lang, at: [(at + i, " ".join(f"J{lang}{i}x{k}$$" for k in range(60)), lang) for i in range(20)]
+    rows, quality = [], []
+    for at, (lang, n) in enumerate({"aa": 217, "bb": 217, "cc": 217, "dd": 120, "ee": 120, "ff": 0}.items()):
+        good = [(at * 1000 + i, clean_text(at * 1000 + i).upper() if lang == "bb" else clean_text(at * 1000 + i), lang) for i in range(n)]
+        bad = junk(lang, at * 1000 + 500)
+        rows += good + bad
+        quality += [(i, 1, 0) for i, _, _ in good] + [(i, 0, 0) for i, _, _ in bad]
+    got = {r.doc_id: r.kept for r in quality_rules.judge(make_docs(rows), labels_of(spark, quality)).collect()}
+    kept = collections.Counter((lang, i % 1000 < 500) for i, _, lang in rows if got[i])
+    assert kept == {("aa", True): 217, ("bb", True): 217, ("cc", True): 217, ("dd", True): 120, ("ee", True): 120, ("ff", False): 20}
+
+
+def test_families_depend_on_label_counts_alone():
+    p = quality_rules.QualityParams()
+    families, level = quality_rules._families({x: (217, 40) for x in "abcd"} | {"e": (0, 0)}, p)
+    assert [x["uses"] for x in families] == [["a"], ["b"], ["c"], ["d"]] and level == p.error / 4
+    families, level = quality_rules._families({"a": (2000, 400), None: (5, 1), "b": (9, 2)}, p)
+    assert [x["uses"] for x in families] == [["a"], ["b", None]] and families[1]["tested"] == {"a", "b", None} and level == p.error / 2
+    assert quality_rules._families({"a": (60, 10), "b": (60, 10)}, p)[0] == []
+
+
+def test_joint_false_rejection_is_bounded():
+    """All features of a stratum together reject no more good texts than their share, at the error of one test."""
+    p = quality_rules.QualityParams()
+    rng = random.Random(5)
+    failures = used = 0
+    scale = [.25, .4, .3, .5, .2]
+    draw = lambda x: [min(p.grid, int(rng.expovariate(r * x))) for r in scale]
+    good_rate = lambda cuts: 1 - math.prod(1 - math.exp(-scale[f] * (c + 1)) for f, c in cuts.items())
+    for _ in range(150):
+        own, other, bad = [draw(1) for _ in range(600)], [draw(1) for _ in range(300)], [draw(.2) for _ in range(300)]
+        grid = lambda x: [[sum(t[f] == i for t in x) for i in range(p.grid + 1)] for f in range(5)]
+        path = quality_rules._path(grid(other), grid(bad), p)
+        def step(t):
+            return next((i for i, (f, c) in enumerate(path) if t[f] > c), len(path))
+        seen = [[0] * (len(path) + 1) for _ in range(2)]
+        for n, x in enumerate((own, bad)):
+            for t in x:
+                seen[n][len(path) - step(t)] += 1
+        cutoff = quality_rules._certified(*seen, p.error, p.false_rejection, quality_rules.QualityParams(good_weight=0))
+        if cutoff is not None:
+            used += 1
+            failures += good_rate(dict(path[:len(path) - cutoff])) > p.false_rejection
+    assert used > 100 and failures <= 150 * p.error + 8
+
+
 def test_false_rejection_is_bounded():
     """The chosen cutoff rejects no more good texts than its share, also where bad and good overlap."""
     p = quality_rules.QualityParams()
