@@ -20,15 +20,22 @@ run, so every file is visible exactly once. Source files are never deleted.
 Malformed input does not stop a load: a record that is not a JSON object, a CSV
 line that does not fit its header and a Parquet file that is none are kept with
 ``is_error`` and counted as errored; the staging views read only good rows.
+
+CSV files are read in groups of one header and Parquet files in groups of one
+schema, so each keeps its own columns and types. A Parquet file must give as many
+rows as its footer says. A file that cannot be read to its end, or gives other
+rows, fails its batch: nothing of it is committed, and the next run tries again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 import time
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -134,10 +141,41 @@ def _read_files(spark: SparkSession, paths: list[str], glob: str | None) -> Data
                         F.col("modificationTime").alias("file_mtime"), "content")
 
 
-def _csv_rows(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame:
+def _csv_header(spark: SparkSession, path: str) -> str | None:
+    """First line of a CSV file that is not blank; None if there is none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(conf).open(at)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        while (line := lines.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        stream.close()
+
+
+def _parquet_footer(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    """Schema and row count of a Parquet file's footer; None if the file has none.
+    Any other failure, as of the store, is raised."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.parquet.hadoop
+    try:
+        reader = hadoop.ParquetFileReader.open(hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf))
+    except Py4JJavaError as e:
+        if re.search("is not a Parquet file|can not read class org.apache.parquet.format|corrupted file", str(e.java_exception)):
+            return None
+        raise
+    try:
+        return reader.getFileMetaData().getSchema().toString(), reader.getRecordCount()
+    finally:
+        reader.close()
+
+
+def _csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     reader = spark.read.option("header", True).option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     names = reader.csv(paths).columns
     bad = "_corrupt_record"
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, bad]])
@@ -146,33 +184,31 @@ def _csv_rows(spark: SparkSession, paths: list[str], glob: str | None) -> DataFr
                      F.col("_metadata").alias("_m"), F.lit(None).cast("long").alias("source_row"), F.col(bad).isNotNull().alias("is_error"))
 
 
-def _parquet_rows(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.parquet(*paths)
+def _parquet_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    df = (spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", False)
+          .option("ignoreMissingFiles", False).parquet(*paths))
     return df.select(F.to_json(F.struct(*df.columns)).alias("raw_payload"), F.col("_metadata").alias("_m"),
                      F.col("_metadata.row_index").cast("long").alias("source_row"), F.lit(False).alias("is_error"))
 
 
-def _record_rows(spark: SparkSession, files: DataFrame, pending: DataFrame, paths: list[str], fmt: str,
-                 glob: str | None) -> DataFrame:
-    """Records of the pending files: raw_payload, source_row, is_error, FILE_KEY."""
+def _record_rows(spark: SparkSession, files: DataFrame, pending: DataFrame, groups: dict, fmt: str) -> DataFrame:
+    """Records of the pending files: raw_payload, source_row, is_error, FILE_KEY.
+    ``groups``: paths by header or schema, of the formats that have one."""
     if fmt == "json":
         # The pending keys are those of one batch's files.
         text = F.make_valid_utf8(F.col("content").cast("string"))     # A4
         return explode_json_text(files.select(*FILE_KEY, text.alias("text"))
                                  .join(F.broadcast(pending), FILE_KEY, "left_semi"))
-    try:
-        rows = (_csv_rows if fmt == "csv" else _parquet_rows)(spark, paths, glob)
-    except AnalysisException:      # no file that this format can open
-        return spark.createDataFrame([], "source_file string, file_size long, file_mtime timestamp, "
-                                         "source_row long, raw_payload string, is_error boolean")
+    out = spark.createDataFrame([], "source_file string, file_size long, file_mtime timestamp, "
+                                    "source_row long, raw_payload string, is_error boolean")
     m = F.col("_m")
     path = F.try_url_decode(F.replace(m["file_path"], F.lit("+"), F.lit("%2B")))
-    rows = rows.select(_name(path).alias("source_file"), m["file_size"].alias("file_size"),
-                       m["file_modification_time"].alias("file_mtime"), "source_row", "raw_payload", "is_error")
-    return rows.join(F.broadcast(pending), FILE_KEY, "left_semi")
+    for paths in groups.values():
+        literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]     # the reader takes patterns
+        rows = (_csv_rows if fmt == "csv" else _parquet_rows)(spark, literal)
+        out = out.unionByName(rows.select(_name(path).alias("source_file"), m["file_size"].alias("file_size"),
+                                          m["file_modification_time"].alias("file_mtime"), "source_row", "raw_payload", "is_error"))
+    return out.join(F.broadcast(pending), FILE_KEY, "left_semi")
 
 
 def _append(rows: DataFrame, target_path: str, as_of: dt.datetime, load_id: str,
@@ -208,9 +244,17 @@ def _load_batch(spark: SparkSession, paths: list[str], target_path: str, ledger_
     n_files = pending.count()
     if not n_files:
         return sum(per_day.values()), 0, 0, 0
+    groups, footers = {}, {}
+    if fmt in ("csv", "parquet"):
+        for (path,) in pending.select("source_file").orderBy("source_file").collect():   # those of one batch
+            head = _csv_header(spark, path) if fmt == "csv" else _parquet_footer(spark, path)
+            if head is not None:
+                groups.setdefault(head if fmt == "csv" else head[0], []).append(path)
+            if fmt == "parquet":
+                footers[path] = None if head is None else head[1]
     load_id = f"{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     obs = Observation(f"load_{load_id}")
-    rows = _record_rows(spark, files, pending, paths, fmt, glob).observe(
+    rows = _record_rows(spark, files, pending, groups, fmt).observe(
         obs, F.count_if(~F.col("is_error")).alias("loaded"), F.count_if(F.col("is_error")).alias("errored"))
     _append(rows, target_path, as_of, load_id, routing)
     loaded, errored = int(obs.get["loaded"]), int(obs.get["errored"])
@@ -218,15 +262,18 @@ def _load_batch(spark: SparkSession, paths: list[str], target_path: str, ledger_
     # from the partition just written (a narrow columnar scan).
     written = _read_or_empty(spark, target_path, RAW_TABLE_SCHEMA).where(F.col("load_id") == load_id)
     if fmt == "parquet":
-        # A file without rows is empty or no Parquet file at all: then it is one error.
-        magic = [F.substring("content", at, 4) == F.lit(b"PAR1") for at in (1, -4)]
-        broken = (files.join(F.broadcast(pending.join(written.select(*FILE_KEY).distinct(), FILE_KEY, "left_anti")), FILE_KEY, "left_semi")
-                  .where(~(magic[0] & magic[1])).select(*FILE_KEY, F.lit(None).cast("long").alias("source_row"),
-                                                        F.lit(None).cast("string").alias("raw_payload"), F.lit(True).alias("is_error")))
-        n_broken = broken.count()
-        if n_broken:
-            _append(broken, target_path, as_of, load_id, routing)
-            errored += n_broken
+        found = {r["source_file"]: r["count"] for r in written.groupBy("source_file").count().collect()}
+        short = {p: (found.get(p, 0), n) for p, n in footers.items() if found.get(p, 0) != (n or 0)}
+        if short:
+            raise RuntimeError(f"rows read and rows of the footer differ, nothing of the batch is committed: {short}")
+        # A file without a footer is no Parquet file: it is one error.
+        broken = [p for p, n in footers.items() if n is None]
+        if broken:
+            keys = spark.createDataFrame([(p,) for p in broken], "source_file string")
+            _append(pending.join(F.broadcast(keys), "source_file", "left_semi")
+                    .select(*FILE_KEY, F.lit(None).cast("long").alias("source_row"),
+                            F.lit(None).cast("string").alias("raw_payload"), F.lit(True).alias("is_error")), target_path, as_of, load_id, routing)
+            errored += len(broken)
             written = spark.read.schema(RAW_TABLE_SCHEMA).parquet(target_path).where(F.col("load_id") == load_id)
     counts = (written.groupBy(*FILE_KEY)
               .agg(F.count_if(~F.col("is_error")).alias("rows_loaded"),

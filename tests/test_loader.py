@@ -200,6 +200,43 @@ def test_csv_and_parquet_rejects(spark, tmp_root):
     assert (r.files_processed, r.rows_loaded, r.rows_errored, r.status) == (2, 5, 1, "partial")
 
 
+def test_files_keep_their_own_columns_and_types(spark, tmp_root):
+    """CSV columns in another order or number, Parquet files of other columns and types, names that look like patterns."""
+    _write(f"{tmp_root}/csv/a [1].csv", b"transaction_id,amount\nT1,5\n")
+    _write(f"{tmp_root}/csv/b.csv", b"\namount,transaction_id\n6,T2\n")
+    _write(f"{tmp_root}/csv/c.csv", b"transaction_id,amount,network\nT3,7,VISA\n")
+    _write(f"{tmp_root}/csv/d.csv", b" \n")
+    r = LD.load(spark, f"{tmp_root}/csv", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, file_format="csv", feed="transactions")
+    assert (r.files_processed, r.rows_loaded, r.rows_errored) == (4, 3, 0)
+    got = [json.loads(x.raw_payload) for x in LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger").orderBy("record_key").collect()]
+    assert got == [{"transaction_id": "T1", "amount": "5"}, {"transaction_id": "T2", "amount": "6"},
+                   {"transaction_id": "T3", "amount": "7", "network": "VISA"}]
+    for i, expr in enumerate(["5L AS amount", "'6' AS amount", "7L AS amount, 'VISA' AS network"]):
+        spark.sql(f"SELECT 'T{i}' AS transaction_id, {expr}").coalesce(1).write.mode("append").parquet(f"{tmp_root}/pq")
+    r = LD.load(spark, f"{tmp_root}/pq", f"{tmp_root}/raw2", f"{tmp_root}/ledger2", AS_OF, file_format="parquet", glob="*.parquet", feed="transactions")
+    assert (r.files_processed, r.rows_loaded, r.rows_errored) == (3, 3, 0)
+    got = [json.loads(x.raw_payload) for x in LD.read_raw_table(spark, f"{tmp_root}/raw2", f"{tmp_root}/ledger2").orderBy("record_key").collect()]
+    assert got == [{"transaction_id": "T0", "amount": 5}, {"transaction_id": "T1", "amount": "6"}, {"transaction_id": "T2", "amount": 7, "network": "VISA"}]
+
+
+def test_damaged_parquet_rows_fail_the_load(spark, tmp_root):
+    """A file with a damaged later row group is not taken for loaded."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    import pytest
+    os.makedirs(f"{tmp_root}/pq")
+    path = f"{tmp_root}/pq/a.parquet"
+    pq.write_table(pa.table({"transaction_id": [f"T{i}" for i in range(4000)]}), path, row_group_size=1000, use_dictionary=False)
+    start = pq.ParquetFile(path).metadata.row_group(2).column(0).data_page_offset
+    with open(path, "r+b") as f:
+        f.seek(start)
+        f.write(b"\xff" * 400)
+    with pytest.raises(Exception):
+        LD.load(spark, f"{tmp_root}/pq", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, file_format="parquet")
+    assert LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger", include_errors=True).count() == 0
+    assert LD.read_ledger(spark, f"{tmp_root}/ledger").count() == 0
+
+
 def test_files_beside_the_day_folders_and_bad_folder_names(spark, tmp_root):
     rec = b'[{"transaction_id": "T"}]'
     for p in ("year=2024/month=01/day=05/hour=10/a.json", "year=2024/month=13/day=45/b.json", "loose.json", "year=2024/c.json",
