@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.session import scratch_path
+from ledgerflow.session import delete_path, scratch_path
 
 SLICE_BYTES = 2 << 20
 
@@ -40,7 +40,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*written: DataFrame) -> None:
+    """Remove the folders of materialized tables that nothing reads any more."""
+    for df in written:
+        delete_path(df.sparkSession, df.scratch)
 
 
 def id_remainder(doc_id: Column, n: int) -> Column:

@@ -1,0 +1,79 @@
+"""Fill-in-middle against a plain version, and its parts."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ledgerflow.llm import fill_in_middle as fim
+from ledgerflow.llm.common import table
+
+
+def brute(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    x = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(x[8 * k:8 * k + 8], 16) for k in range(4)]
+    n = len(units)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(t in text for t in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return doc_id, n, "plain", None, None, text, text
+    if h[3] % 100 < 80:
+        return doc_id, n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}", text
+    return doc_id, n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}", text
+
+
+def check(rows, docs):
+    want = collections.Counter(brute(i, t) for i, t in rows)
+    made = fim.transform(docs)
+    back = fim.restored(made.withColumn("restored", F.lit("x")))
+    assert collections.Counter(tuple(r) for r in back.collect()) == want
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert collections.Counter(tuple(r) for r in fim.round_trip(docs).collect()) == collections.Counter((*w[:5], sha(w[5]), sha(w[6])) for w in want.elements())
+
+
+def test_random_texts(make_docs):
+    r = random.Random(13)
+    parts = ["a", "bé", "日本", "😀", " ", "  ", "\n", "\t", "\x0b\x0c\r", "\x1f", "\xa0", "<", "P>", "<P", "<S", "<M>", "<", "x" * 30]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.randrange(25)))) for i in range(2500)]
+    forms = collections.Counter(brute(*x)[2] for x in rows)
+    assert min(forms[f] for f in fim.FORMS) > 100
+    check(rows, make_docs(rows))
+
+
+def test_edges(make_docs, edge_rows):
+    rows = edge_rows + [(i, f" {i} \n") for i in range(40)] + [(i, "x") for i in range(40)] + [(20 + i, "long é\n" * 400_000) for i in range(3)]
+    check(rows, make_docs(rows))
+    empty = make_docs(rows).limit(0)
+    assert fim.transform(empty).count() == 0 and fim.round_trip(empty).count() == 0 and fim.restored(fim.transform(empty)).count() == 0
+
+
+def test_real_texts(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    check([(r.doc_id, r.text) for r in docs.collect()], docs)
+
+
+def test_pieces_are_views():
+    """Cutting and arranging move descriptors only, and the inverse permutation undoes it."""
+    text, offsets = np.frombuffer(b"abcdefghij", np.uint8), np.array([0, 4, 4, 10])
+    thirds = fim.cut(fim.whole(text, offsets), np.array([1, 4, 4]), np.array([3, 4, 9]))
+    assert thirds.text is text and thirds.start.tolist() == [0, 1, 3, 4, 4, 4, 4, 4, 9]
+    for form in (0, 1, 2):
+        made = fim.arrange(thirds, np.array([form] * 3))
+        assert made.text is text
+        out = [b"".join(v) for v in made.rows(3)]
+        want = {0: [b"abcd", b"", b"efghij"], 1: [b"<P>a<S>d<M>bc", b"<P><S><M>", b"<P><S>j<M>efghi"], 2: [b"<S>d<P>a<M>bc", b"<S><P><M>", b"<S>j<P><M>efghi"]}[form]
+        assert out == want
+        name = fim.FORMS[form]
+        assert [b"".join(next(fim.restore(fim.find_pieces(o, name), name).rows(1))) for o in out] == [b"abcd", b"", b"efghij"]
+
+
+def test_shares_of_the_forms(spark):
+    """The share of each form follows the parameters."""
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c "), "id").alias("text"))
+    forms = collections.Counter(r.form for r in fim.transform(docs, fim.FimParams(seed=7, percent=30, spm_percent=10)).collect())
+    assert abs(forms["plain"] - 2800) < 150 and abs(forms["spm"] - 120) < 50
