@@ -67,16 +67,21 @@ def link_payments(transactions: DataFrame, stg_pay: DataFrame) -> DataFrame:
              .drop("_p_member_id", "_p_amount", "_p_date", "_join_member"))
 
 
-def credit_card_events(stg_tx: DataFrame, stg_pay: DataFrame, as_of: dt.datetime,
-                       high_tier: float = MODEL_HIGH_TIER) -> DataFrame:
-    """int_credit_card_events: one row per (transaction, linked settled payment)."""
-    t = stg_tx.select(*TRANSACTION_COLUMNS).withColumn("event_date", event_date("posted_at"))
-    j = link_payments(t, stg_pay)
-    out = (j.withColumn("event_month", event_month("posted_at"))
+def derived_columns(linked: DataFrame, high_tier: float = MODEL_HIGH_TIER) -> DataFrame:
+    """Linked transactions with the attributes derived from their own columns (a stream too)."""
+    return (linked.withColumn("event_date", event_date("posted_at"))
+            .withColumn("event_month", event_month("posted_at"))
             .withColumn("event_hour", event_hour("posted_at"))
             .withColumn("is_approved", is_approved("transaction_status"))
             .withColumn("geo_type", geo_type("is_international"))
             .withColumn("amount_tier", amount_tier("amount", high=high_tier)))
+
+
+def credit_card_events(stg_tx: DataFrame, stg_pay: DataFrame, as_of: dt.datetime,
+                       high_tier: float = MODEL_HIGH_TIER) -> DataFrame:
+    """int_credit_card_events: one row per (transaction, linked settled payment)."""
+    t = stg_tx.select(*TRANSACTION_COLUMNS).withColumn("event_date", event_date("posted_at"))
+    out = derived_columns(link_payments(t, stg_pay), high_tier)
     out = out.withColumn("event_key", surrogate_key(out, ["transaction_id", "posted_at"]))
     out = out.withColumn("_dbt_updated_at", as_of_literal(as_of))
     return out.select(*EVENT_COLUMNS)

@@ -672,11 +672,9 @@ FROM t LEFT JOIN p ON t.member_id = p.member_id AND t.amount = p.amount AND t.po
                   AND p.settled_at BETWEEN t.posted_at AND t.posted_at + INTERVAL 4 DAY"""
 
 
-@register("stream_settlement_join", _JOIN_SQL)
-def q_stream_settlement_join(spark, sf_dir):
-    """K3: both feeds deduplicated on the stream, joined stream to stream with watermarks; what
-    the join still holds when the streams end is flushed, so every transaction is there."""
-    root = scratch_path(spark, "stream_join")
+def settle_streams(spark, sf_dir, root):
+    """Both feeds deduplicated on the stream and joined stream to stream: the finished join and
+    the transactions that it still holds are below ``root``."""
     feeds = {"transactions": (fx.raw_transaction_rows(spark, sf_dir), TRANSACTION_COLUMNS),
              "payments": (fx.raw_payment_rows(spark, sf_dir), PAYMENT_COLUMNS)}
     for wave in ("A", "B"):
@@ -698,6 +696,13 @@ def q_stream_settlement_join(spark, sf_dir):
                               spark.read.parquet(f"{root}/joined"))
 
 
+@register("stream_settlement_join", _JOIN_SQL)
+def q_stream_settlement_join(spark, sf_dir):
+    """K3: both feeds deduplicated on the stream, joined stream to stream with watermarks; what
+    the join still holds when the streams end is flushed, so every transaction is there."""
+    return settle_streams(spark, sf_dir, scratch_path(spark, "stream_join"))
+
+
 # ---------------------------------------------------------------- invalid UTF-8
 
 def _with_invalid_byte(payload):

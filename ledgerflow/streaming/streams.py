@@ -15,10 +15,12 @@
   transactions sink then merges exactly the transactions that arrived, the
   payments sink those that share member and day with a payment that arrived
   (late settlements relink); both recompute the touched days of the fact (K4/K5).
-  Distinct counts stay exact because days are recomputed from the events table
-  instead of kept as streaming state. Raw epochs are partitioned by route day and
+  In the merging sinks distinct counts stay exact because days are recomputed from the
+  events table instead of kept as streaming state. Raw epochs are partitioned by route day and
   payloads are read only from days that hold a version of a changed record, so an
   epoch costs what it changes. One of the two streams at a time writes the tables.
+* ``daily_state_stream`` – the daily fact as a stateful windowed aggregation in update
+  mode, distinct counts as mergeable sketches (K5).
 
 Watermarks need zoned timestamps: NTZ event times are cast to TIMESTAMP with
 the session zone pinned to UTC.
@@ -35,14 +37,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow.functions.expressions import PAYMENT_SETTLED, event_date
+from ledgerflow.operators.daily import GRAIN
 from ledgerflow.operators.merge import EVENTS_LAYOUT, merge_by_key, stabilize, table_exists
+from ledgerflow.operators.rollup import state_measures
 from ledgerflow.plans.incremental import (
     events_for_keys, merge_candidates, relinked_transactions, run_daily, with_routing,
 )
 from ledgerflow.schemas import (
     PAYMENT_ROUTING, PAYMENT_SCHEMA, TRANSACTION_COLUMNS, TRANSACTION_ROUTING, TRANSACTION_SCHEMA,
 )
-from ledgerflow.session import path_exists
+from ledgerflow.session import delete_path, list_entries, path_exists
 from ledgerflow.sources.json_files import explode_json_text
 
 # Watermark delay for transactions (settlement lag), and the
@@ -232,6 +236,55 @@ def payments_sink(spark: SparkSession, tables: StreamTables, as_of: dt.datetime,
     return handle
 
 
+def daily_state_stream(events: DataFrame, delay: str = TRANSACTION_WATERMARK) -> DataFrame:
+    """Running daily states as a stateful aggregation (K5): a one-day window and the grain,
+    measures that merge and sketches for the distinct counts. State of a day is dropped
+    once the watermark has passed it; later events of it, and events without a time, are
+    not counted. Use update mode: each epoch gives the whole new state of changed groups."""
+    s = with_event_time(events, "posted_at").withWatermark("event_ts", delay)
+    keys = [c for c in GRAIN if c != "event_date"]
+    agg = s.groupBy(F.window("event_ts", "1 day"), *keys).agg(*state_measures())
+    return agg.select(F.to_date("window.start").alias("event_date"), *keys, *[c for c in agg.columns if c not in ("window", *keys)])
+
+
+def states_sink(path: str):
+    """``foreachBatch`` function: the changed states of an epoch, written to its own folder."""
+    def handle(states: DataFrame, epoch_id: int) -> None:
+        states.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/epoch={epoch_id}")
+    return handle
+
+
+#: Compacted epochs count from here, so they sort by age and before every epoch of the stream.
+_COMPACTED = -10**12
+
+
+def _state_epochs(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    states = spark.read.option("basePath", path).parquet(path).withColumn("epoch", F.col("epoch").cast("long"))
+    return states if upto is None else states.where(F.col("epoch") <= upto)
+
+
+def _newest(states: DataFrame) -> DataFrame:
+    measures = [c for c in states.columns if c not in (*GRAIN, "epoch")]
+    return states.groupBy(*GRAIN).agg(F.max_by(F.struct(*measures), "epoch").alias("s")).select(*GRAIN, "s.*")
+
+
+def current_states(spark: SparkSession, path: str) -> DataFrame:
+    """The newest state of every group over all epochs."""
+    return _newest(_state_epochs(spark, path))
+
+
+def compact_states(spark: SparkSession, path: str, upto: int) -> None:
+    """Fold the epochs up to ``upto`` into one folder, so that reads do not grow with the age
+    of the stream. The old folders go only after it is written: a run that dies in between
+    leaves states that repeat, never a missing one."""
+    target = f"{path}/epoch={_COMPACTED + upto}"
+    (_newest(_state_epochs(spark, path, upto)).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target))
+    for folder in list_entries(spark, f"{path}/epoch=*"):
+        epoch = int(folder.rstrip("/").rsplit("=", 1)[1])
+        if epoch <= upto and epoch != _COMPACTED + upto:
+            delete_path(spark, folder)
+
+
 def flush_unmatched(spark: SparkSession, transactions: DataFrame, joined: DataFrame) -> DataFrame:
     """Rows of a finished settlement join: its own, and the transactions that it still
     held in state, without a payment."""
