@@ -6,10 +6,14 @@ shard. A node is cut along the coordinate in which it is widest, measured agains
 the whole table, at the point of the order (coordinate, text hash) that divides
 its bytes as its leaves divide; leaves hold the target bytes. The point is found
 by weighted histograms that all nodes of a level share, refined around the
-wanted weight until a bin holds one text. Rows are never moved for this: the
-cuts, a few numbers a node, are expressions over a row's own columns.
+wanted weight until a bin holds one text; the cuts, a few numbers a node, are looked
+up by node in a small broadcast table. Nodes that have become small (10,000 rows, or
+a 4,096th of all, whichever is more) are cut by running sums instead, all of a level
+in one shuffle by node. Each level writes a row's node as a column, so plans do not
+grow with the number of shards.
 
-DataFrame functions only. The driver sees per node at most ``bins`` sums a pass.
+DataFrame functions only. The driver sees at most 4,096 nodes a level, with at most
+``bins`` sums of each a pass.
 
 Defined cases: a null text has size 1 and is grouped with the empty text. A
 single text heavier than a leaf keeps its shard to itself as far as cuts allow;
@@ -20,32 +24,23 @@ empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import materialize, shuffle_tasks
+from ledgerflow.llm.common import materialize, release, shuffle_tasks
 
 DIMENSIONS = ("log_size", "log_lines", "chars_per_byte")
 
 
-@dataclass(frozen=True)
-class Cut:
-    """Rows of ``node`` up to this point of the order (dimension, tie) go left."""
-    node: int
-    dimension: str
-    value: float
-    tie: float
-    with_tie: bool
-    left: int
-    right: int
-
-    def goes_left(self) -> Column:
-        x, tie = F.col(self.dimension), F.col("tie")
-        at = (tie <= self.tie) if self.with_tie else (tie < self.tie)
-        return (x < self.value) | ((x == self.value) & at)
+#: Nodes of more rows than this, and than a 4,096th of all, are cut by histograms; the
+#: others lie within one task each.
+LEAST_WINDOW_ROWS = 10_000
+MOST_WIDE_NODES = 4096
+#: Levels that are cut by windows in one job.
+LEVELS_A_JOB = 4
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -60,33 +55,35 @@ def describe(docs: DataFrame) -> DataFrame:
         (F.pmod(F.xxhash64(text), F.lit(1 << 52)) / F.lit(float(1 << 52))).alias("tie"))
 
 
-def _node_of(cuts: list[list[Cut]]) -> Column:
-    node: Column = F.lit(0)
-    for level in cuts:
-        nxt = node
-        for c in level:
-            nxt = F.when(node == c.node, F.when(c.goes_left(), c.left).otherwise(c.right)).otherwise(nxt)
-        node = nxt
-    return node
+def _lookup(rows: DataFrame, entries: list[dict], schema: str) -> DataFrame:
+    """A small table of numbers out of the driver, as part of the plan."""
+    text = F.lit(json.dumps(entries))
+    return rows.sparkSession.range(1).select(F.inline(F.from_json(text, f"array<struct<{schema}>>")))
+
+
+def _along(dimension: Column) -> Column:
+    """The coordinate that a node is cut along."""
+    x = F.lit(None).cast("double")
+    for i, name in enumerate(DIMENSIONS):
+        x = F.when(dimension == i, F.col(name)).otherwise(x)
+    return x
 
 
 def _refine(rows: DataFrame, spans: dict, bins: int) -> dict:
-    """One histogram pass. ``spans``: node -> (column, low, high, condition). Returns
-    node -> [(bin, weight, least, largest value)] in order."""
-    place = value = inside = F.lit(None)
-    for node, (column, low, high, condition) in spans.items():
-        x = F.col(column)
-        here = (F.col("node") == node) & condition & (x >= low) & (x <= high)
-        width = high - low
-        at = F.least(F.floor((x - low) / width * bins), F.lit(bins - 1)) if width > 0 else F.lit(0)
-        place = F.when(here, at).otherwise(place)
-        value = F.when(here, x).otherwise(value)
-        inside = F.when(here, F.lit(True)).otherwise(inside)
-    got = (rows.withColumns({"bin": place.cast("int"), "value": value.cast("double"), "inside": inside.cast("boolean")}).where("inside")
-           .groupBy("node", "bin").agg(F.sum("size").alias("w"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect())
+    """One histogram pass. ``spans``: node -> (dimension, low, high, value or None); with a value
+    the ties of the rows that have it are searched. Returns node -> [(weight, least, largest
+    value)] in order: at most ``bins`` a node."""
+    table = _lookup(rows, [{"first": n, "d": d, "low": low, "high": high, "at": at} for n, (d, low, high, at) in spans.items()],
+                    "first int, d int, low double, high double, at double")
+    x = _along(F.col("d"))
+    value = F.when(F.col("at").isNull(), x).when(x == F.col("at"), F.col("tie"))
+    width = F.col("high") - F.col("low")
+    bin_of = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("low")) / width * bins), F.lit(bins - 1))).otherwise(0)
+    here = rows.join(F.broadcast(table), "first").withColumn("value", value).where(F.col("value").between(F.col("low"), F.col("high")))
+    got = here.groupBy("first", bin_of.alias("bin")).agg(F.sum("size").alias("w"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
     out: dict = {node: [] for node in spans}
-    for r in sorted(got, key=lambda r: (r["node"], r["bin"])):
-        out[r["node"]].append((r["w"], r["lo"], r["hi"]))
+    for r in sorted(got, key=lambda r: (r["first"], r["bin"])):
+        out[r["first"]].append((r["w"], r["lo"], r["hi"]))
     return out
 
 
@@ -106,46 +103,88 @@ def _search(rows: DataFrame, spans: dict, wanted: dict, before: dict, bins: int)
                 found[node] = lo, total, w
                 del spans[node]
             else:
-                column, _, _, condition = spans[node]
-                spans[node] = column, lo, hi, condition
+                d, _, _, at = spans[node]
+                spans[node] = d, lo, hi, at
     return found
 
 
-def plan_cuts(meta: DataFrame, shards: int, bins: int = 256) -> list[list[Cut]]:
-    """The cuts, level by level, that divide ``meta`` into ``shards`` leaves."""
-    cuts: list[list[Cut]] = []
-    leaves = {0: (0, shards)}  # node -> first shard, number of shards
-    extent: dict = {}
-    next_node = 1
-    while any(n > 1 for _, n in leaves.values()):
-        rows = meta.withColumn("node", _node_of(cuts))
-        stats = {r["node"]: r for r in rows.groupBy("node").agg(
-            F.sum("size").alias("w"), *(f(d).alias(f"{k}_{d}") for d in DIMENSIONS for k, f in (("lo", F.min), ("hi", F.max)))).collect()}
-        if not extent:
-            if 0 not in stats:
-                return []
-            extent = {d: (stats[0][f"hi_{d}"] - stats[0][f"lo_{d}"]) or 1.0 for d in DIMENSIONS}
-        open_nodes = {n: s for n, s in leaves.items() if s[1] > 1 and n in stats}
-        widest = {n: max(DIMENSIONS, key=lambda d, r=stats[n]: (r[f"hi_{d}"] - r[f"lo_{d}"]) / extent[d]) for n in open_nodes}
-        wanted = {n: stats[n]["w"] * (s[1] // 2) / s[1] for n, s in open_nodes.items()}
-        every = F.lit(True)
-        values = _search(rows, {n: (d, stats[n][f"lo_{d}"], stats[n][f"hi_{d}"], every) for n, d in widest.items()},
-                         wanted, dict.fromkeys(widest, 0), bins)
-        ties = _search(rows, {n: ("tie", 0.0, 1.0, F.col(widest[n]) == v) for n, (v, _, _) in values.items()},
-                       wanted, {n: below for n, (_, below, _) in values.items()}, bins)
-        level = []
-        for n, (first, count) in list(leaves.items()):
-            if n in open_nodes:
-                tie, below, w = ties[n]
-                half = count // 2
-                level.append(Cut(n, widest[n], values[n][0], tie, abs(below + w - wanted[n]) < abs(below - wanted[n]), next_node, next_node + 1))
-                leaves[next_node], leaves[next_node + 1] = (first, half), (first + half, count - half)
-                del leaves[n]
-                next_node += 2
-            elif count > 1:
-                leaves[n] = (first, 1)  # no row is here
-        cuts.append(level)
-    return cuts
+def _widths() -> list[Column]:
+    return [f(d).alias(f"{k}_{d}") for d in DIMENSIONS for k, f in (("lo", F.min), ("hi", F.max))]
+
+
+def _step(left: Column) -> dict[str, Column]:
+    """A row's node after the cut: its first shard and how many it has."""
+    half = F.floor(F.col("count") / 2).cast("int")
+    return {"first": F.when(left, F.col("first")).otherwise(F.col("first") + half).cast("int"),
+            "count": F.when(left, half).otherwise(F.col("count") - half).cast("int")}
+
+
+def _cut_wide(rows: DataFrame, extent: dict, most_rows: int, bins: int) -> DataFrame | None:
+    """All nodes of more than ``most_rows`` rows cut once; None where there is none."""
+    stats = rows.where(F.col("count") > 1).groupBy("first", "count").agg(F.count("*").alias("n"), F.sum("size").alias("w"), *_widths())
+    stats = {r["first"]: r for r in stats.where(F.col("n") > most_rows).collect()}
+    if not stats:
+        return None
+    widest = {n: max(range(len(DIMENSIONS)), key=lambda i, r=r: (r[f"hi_{DIMENSIONS[i]}"] - r[f"lo_{DIMENSIONS[i]}"]) / extent[DIMENSIONS[i]])
+              for n, r in stats.items()}
+    wanted = {n: r["w"] * (r["count"] // 2) / r["count"] for n, r in stats.items()}
+    values = _search(rows, {n: (d, stats[n][f"lo_{DIMENSIONS[d]}"], stats[n][f"hi_{DIMENSIONS[d]}"], None) for n, d in widest.items()},
+                     wanted, dict.fromkeys(widest, 0), bins)
+    ties = _search(rows, {n: (widest[n], 0.0, 1.0, v) for n, (v, _, _) in values.items()},
+                   wanted, {n: below for n, (_, below, _) in values.items()}, bins)
+    cuts = [{"first": n, "d": widest[n], "v": values[n][0], "t": tie, "with_tie": abs(below + w - wanted[n]) < abs(below - wanted[n])}
+            for n, (tie, below, w) in ties.items()]
+    table = _lookup(rows, cuts, "first int, d int, v double, t double, with_tie boolean")
+    x, tie = _along(F.col("d")), F.col("tie")
+    left = (x < F.col("v")) | ((x == F.col("v")) & ((tie < F.col("t")) | ((tie == F.col("t")) & F.col("with_tie"))))
+    cut = rows.join(F.broadcast(table), "first", "left")
+    moved = _step(F.col("d").isNull() | left)
+    return cut.select(*[c for c in rows.columns if c not in ("first", "count")],
+                      moved["first"].alias("first"), F.when(F.col("d").isNull(), F.col("count")).otherwise(moved["count"]).cast("int").alias("count"))
+
+
+def _cut_narrow(rows: DataFrame, extent: dict) -> DataFrame:
+    """All nodes with several shards cut once, each within one task: the same cut, from
+    running sums in the order of the node."""
+    node, kept = Window.partitionBy("first"), rows.columns
+    width = {d: (F.max(d).over(node) - F.min(d).over(node)) / extent[d] for d in DIMENSIONS}
+    rows = rows.withColumns({f"w_{d}": x for d, x in width.items()} | {"wanted": F.sum("size").over(node) * F.floor(F.col("count") / 2) / F.col("count")})
+    top = F.greatest(*[F.col(f"w_{d}") for d in DIMENSIONS])
+    widest = F.lit(None).cast("int")
+    for i in reversed(range(len(DIMENSIONS))):
+        widest = F.when(F.col(f"w_{DIMENSIONS[i]}") == top, i).otherwise(widest)
+    rows = rows.withColumn("x", _along(widest))
+    rows = rows.withColumns({"upto": F.sum("size").over(node.orderBy("x", "tie").rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+                             "own": F.sum("size").over(Window.partitionBy("first", "x", "tie"))})
+    below, upto, wanted = F.col("upto") - F.col("own"), F.col("upto"), F.col("wanted")
+    left = (upto < wanted) | ((below < wanted) & (F.abs(upto - wanted) < F.abs(below - wanted)))
+    moved = _step(F.when(F.col("count") > 1, left).otherwise(F.lit(True)))
+    return rows.select(*[c for c in kept if c not in ("first", "count")], moved["first"].alias("first"),
+                       F.when(F.col("count") > 1, moved["count"]).otherwise(F.col("count")).cast("int").alias("count"))
+
+
+def place(meta: DataFrame, shards: int, bins: int = 256, least_window_rows: int = LEAST_WINDOW_ROWS) -> DataFrame:
+    """``meta`` with ``first``: the shard of each row, 0 to ``shards`` - 1."""
+    rows = meta.withColumns({"first": F.lit(0), "count": F.lit(shards)})
+    whole = meta.agg(F.count("*").alias("n"), *_widths()).first()
+    if shards == 1 or whole["n"] == 0:
+        return rows
+    extent = {d: (whole[f"hi_{d}"] - whole[f"lo_{d}"]) or 1.0 for d in DIMENSIONS}
+    most_rows, old = max(least_window_rows, whole["n"] // MOST_WIDE_NODES), None
+    while (cut := _cut_wide(rows, extent, most_rows, bins)) is not None:
+        rows = materialize(cut, "shard-nodes")
+        if old is not None:
+            release(old)
+        old = rows
+    levels = math.ceil(math.log2(rows.agg(F.max("count")).first()[0]))
+    for level in range(levels):
+        rows = _cut_narrow(rows, extent)
+        if level % LEVELS_A_JOB == LEVELS_A_JOB - 1 and level < levels - 1:
+            rows = materialize(rows, "shard-nodes")
+            if old is not None:
+                release(old)
+            old = rows
+    return rows
 
 
 def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
@@ -155,16 +194,7 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     if shards is None:
         total = meta.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         shards = max(1, math.ceil(total / target_bytes))
-    cuts = plan_cuts(meta, shards)
-    leaf = _node_of(cuts)
-    number, nodes = {0: (0, shards)}, F.lit(0)
-    for level in cuts:
-        for c in level:
-            first, count = number.pop(c.node)
-            number[c.left], number[c.right] = (first, count // 2), (first + count // 2, count - count // 2)
-    for node, (first, _) in number.items():
-        nodes = F.when(F.col("node") == node, first).otherwise(nodes)
-    placed = meta.withColumn("node", leaf).select("rk", "doc_id", "size", "text_crc32", nodes.cast("int").alias("shard"))
+    placed = place(meta, shards).select("rk", "doc_id", "size", "text_crc32", F.col("first").alias("shard"))
     n = shuffle_tasks(docs)
     # Slots: rank within the sorted run of a written partition, plus the rows of the shard in earlier ones.
     laid = materialize(placed.repartitionByRange(n, "shard", "doc_id", "rk").sortWithinPartitions("shard", "doc_id", "rk")

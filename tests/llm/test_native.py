@@ -70,6 +70,61 @@ def test_target_bytes_gives_the_number_of_shards(make_docs):
     assert max(r.shard for r in out) <= math.ceil(total / 500) - 1
 
 
+def plain_places(rows, shards):
+    """Weighted k-d cuts one node after another, over (size, tie, coordinates...) rows."""
+    dims = range(2, 5)
+    extent = [max(r[d] for r in rows) - min(r[d] for r in rows) or 1.0 for d in dims]
+    out = [None] * len(rows)
+
+    def cut(members, first, count):
+        if count == 1 or not members:
+            for k in members:
+                out[k] = first
+            return
+        widths = [(max(rows[k][d] for k in members) - min(rows[k][d] for k in members)) / e for d, e in zip(dims, extent)]
+        d = 2 + widths.index(max(widths))
+        groups = collections.defaultdict(list)
+        for k in members:
+            groups[rows[k][d], rows[k][1]].append(k)
+        half = count // 2
+        wanted, below, left, right = sum(rows[k][0] for k in members) * half / count, 0, [], []
+        for key in sorted(groups):
+            upto = below + sum(rows[k][0] for k in groups[key])
+            (left if upto < wanted or below < wanted and abs(upto - wanted) < abs(below - wanted) else right).extend(groups[key])
+            below = upto
+        cut(left, first, half)
+        cut(right, first + half, count - half)
+
+    cut(list(range(len(rows))), 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards, least", [(8, 10**6), (8, 1), (64, 10**6), (64, 40), (7, 100), (1024, 300)])
+def test_places_by_brute_force(spark, make_docs, shards, least):
+    """Histogram cuts and running-sum cuts give the plain weighted medians, ties and copies included."""
+    r = random.Random(shards)
+    rows = [(x.doc_id, x.text) for x in table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    rows += [(1000 + i, "copied text\n" * 3) for i in range(150)] + [(2000 + i, None) for i in range(20)]
+    rows += [(3000 + i, r.choice("abc") * r.randrange(1, 40)) for i in range(200)]
+    meta = kd_shards.materialize(kd_shards.describe(make_docs(rows)), "test-meta")
+    order = [(x.rk, x.size, x.tie, x.log_size, x.log_lines, x.chars_per_byte) for x in meta.collect()]
+    want = dict(zip((o[0] for o in order), plain_places([o[1:] for o in order], shards)))
+    assert {x.rk: x["first"] for x in kd_shards.place(meta, shards, bins=16, least_window_rows=least).collect()} == want
+
+
+def test_many_shards_of_many_rows(spark):
+    """1,024 shards of 100,000 texts: near equal, and a short plan."""
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.concat(F.sha2(F.col("id").cast("string"), 256), F.repeat(F.lit("x"), (F.col("id") % 61).cast("int"))).alias("text"))
+    weight = collections.Counter()
+    for r in kd_shards.shard(docs, 1024).groupBy("shard").agg(F.sum("size").alias("w"), F.count("*").alias("n"), F.max("slot").alias("last")).collect():
+        weight[r["shard"]] = r.w
+        assert r["last"] == r.n - 1
+    mean = sum(weight.values()) / 1024
+    assert len(weight) == 1024 and max(abs(w - mean) for w in weight.values()) < 10 * 130
+    plan = kd_shards.place(kd_shards.describe(docs), 1024)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 30_000  # it grew with the shards before, by a factor a level
+
+
 # ---------------------------------------------------------------- quality rules
 
 def labels_of(spark, rows):
