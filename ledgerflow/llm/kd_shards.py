@@ -44,11 +44,11 @@ LEVELS_A_JOB = 4
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """Per row: id, size, checksum, coordinates and tie, and its position ``rk``."""
+    """Per row: its position ``rk``, first node, id, size, checksum, coordinates and tie."""
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(text) + 1
     return docs.select(
-        F.monotonically_increasing_id().alias("rk"), "doc_id", size.cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("rk"), F.lit(0).alias("first"), "doc_id", size.cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.log(size.cast("double")).alias("log_size"),
         F.log((F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("double")).alias("log_lines"),
         ((F.length(text) + 1) / size).alias("chars_per_byte"),
@@ -146,7 +146,10 @@ def _cut_wide(rows: DataFrame, extent: dict, most_rows: int, bins: int) -> DataF
 def _cut_narrow(rows: DataFrame, extent: dict) -> DataFrame:
     """All nodes with several shards cut once, each within one task: the same cut, from
     running sums in the order of the node."""
-    node, kept = Window.partitionBy("first"), rows.columns
+    kept = rows.columns
+    # rows of a finished shard are dealt evenly: nothing is asked of them, and there may be many
+    rows = rows.withColumn("dealt", F.when(F.col("count") == 1, F.col("rk")).otherwise(-1))
+    node = Window.partitionBy("first", "dealt")
     width = {d: (F.max(d).over(node) - F.min(d).over(node)) / extent[d] for d in DIMENSIONS}
     rows = rows.withColumns({f"w_{d}": x for d, x in width.items()} | {"wanted": F.sum("size").over(node) * F.floor(F.col("count") / 2) / F.col("count")})
     top = F.greatest(*[F.col(f"w_{d}") for d in DIMENSIONS])
@@ -155,7 +158,7 @@ def _cut_narrow(rows: DataFrame, extent: dict) -> DataFrame:
         widest = F.when(F.col(f"w_{DIMENSIONS[i]}") == top, i).otherwise(widest)
     rows = rows.withColumn("x", _along(widest))
     rows = rows.withColumns({"upto": F.sum("size").over(node.orderBy("x", "tie").rangeBetween(Window.unboundedPreceding, Window.currentRow)),
-                             "own": F.sum("size").over(Window.partitionBy("first", "x", "tie"))})
+                             "own": F.sum("size").over(Window.partitionBy("first", "dealt", "x", "tie"))})
     below, upto, wanted = F.col("upto") - F.col("own"), F.col("upto"), F.col("wanted")
     left = (upto < wanted) | ((below < wanted) & (F.abs(upto - wanted) < F.abs(below - wanted)))
     moved = _step(F.when(F.col("count") > 1, left).otherwise(F.lit(True)))
@@ -165,7 +168,7 @@ def _cut_narrow(rows: DataFrame, extent: dict) -> DataFrame:
 
 def place(meta: DataFrame, shards: int, bins: int = 256, least_window_rows: int = LEAST_WINDOW_ROWS) -> DataFrame:
     """``meta`` with ``first``: the shard of each row, 0 to ``shards`` - 1."""
-    rows = meta.withColumns({"first": F.lit(0), "count": F.lit(shards)})
+    rows = meta.withColumn("count", F.lit(shards))
     whole = meta.agg(F.count("*").alias("n"), *_widths()).first()
     if shards == 1 or whole["n"] == 0:
         return rows
