@@ -21,10 +21,14 @@ Malformed input does not stop a load: a record that is not a JSON object, a CSV
 line that does not fit its header and a Parquet file that is none are kept with
 ``is_error`` and counted as errored; the staging views read only good rows.
 
-CSV files are read in groups of one header and Parquet files in groups of one
-schema, so each keeps its own columns and types. A Parquet file must give as many
-rows as its footer says. A file that cannot be read to its end, or gives other
-rows, fails its batch: nothing of it is committed, and the next run tries again.
+CSV files are read in groups of one header. Parquet files are read together where
+their schemas merge (Spark reads the footers in tasks), else in groups of one schema,
+so each keeps its own columns and types. A Parquet file must give as many rows as its
+footer says. A file that cannot be read to its end, or gives other rows, costs only
+itself (``on_error="continue"``): once a write fails the files of the batch are read
+again to find those, each becomes one error, and the others are written anew. Where no
+file proves damaged (the store failed, say), and with ``on_error="abort"``, nothing of
+the batch is committed, its rows are removed, and the next run tries again.
 """
 
 from __future__ import annotations
@@ -36,14 +40,14 @@ import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.expressions import as_of_literal
 from ledgerflow.schemas import PAYMENT_ROUTING, ROUTING, TRANSACTION_ROUTING  # noqa: F401
-from ledgerflow.session import list_entries, path_exists
+from ledgerflow.session import delete_path, list_entries, path_exists
 from ledgerflow.sources.json_files import explode_json_text, list_files
 
 RAW_TABLE_SCHEMA = T.StructType([
@@ -174,6 +178,71 @@ def _parquet_footer(spark: SparkSession, path: str) -> tuple[str, int] | None:
         reader.close()
 
 
+def _literal(paths: list[str]) -> list[str]:
+    """Paths as the readers take them, which read patterns."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
+
+
+def _file_path() -> Column:
+    return _name(F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
+def _parquet_groups(spark: SparkSession, paths: list[str]) -> tuple[dict, dict]:
+    """Files by schema, and the rows that each file's footer counts (None without a footer)."""
+    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
+    try:
+        schema = reader.parquet(*_literal(paths)).schema
+        one = len({f.name.lower() for f in schema}) == len(schema)
+    except (AnalysisException, PySparkException, Py4JJavaError):
+        one = False
+    if one:
+        # no column is read, so the counts are those of the footers
+        found = dict(tuple(r) for r in spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*_literal(paths))
+                     .groupBy(_file_path().alias("p")).count().collect())
+        rest = {p: _parquet_footer(spark, p) for p in paths if p not in found}  # without rows, or without a footer
+        footers = {p: found.get(p, rest[p] and rest[p][1] if p in rest else None) for p in paths}
+        return {schema.json(): [p for p in paths if footers[p] is not None]}, footers
+    groups, footers = {}, {}
+    for p in paths:
+        head = _parquet_footer(spark, p)
+        footers[p] = None if head is None else head[1]
+        if head is not None:
+            groups.setdefault(head[0], []).append(p)
+    return groups, footers
+
+
+def _unreadable(read, paths: list[str]) -> list[str]:
+    """The files that cannot be read to their end, found by halves."""
+    if not paths:
+        return []
+    try:
+        read(paths).write.format("noop").mode("overwrite").save()
+        return []
+    except (PySparkException, Py4JJavaError):
+        if len(paths) == 1:
+            return paths
+        half = len(paths) // 2
+        return _unreadable(read, paths[:half]) + _unreadable(read, paths[half:])
+
+
+def _damaged(spark: SparkSession, groups: dict, footers: dict, fmt: str) -> set[str]:
+    """Files of a failed write that are damaged: they fail, or give other rows than their footer, twice."""
+    if fmt == "csv":
+        return {p for paths in groups.values() for p in _unreadable(lambda x: _csv_rows(spark, _literal(x)), paths)}
+    out: set[str] = set()
+    for schema, paths in groups.items():
+        short = paths
+        for _ in range(2):
+            if not short:
+                break
+            df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(*_literal(short))
+            got = df.select(_file_path().alias("p"), F.xxhash64(*df.columns).alias("h")).groupBy("p").agg(F.count("*"), F.max("h")).collect()
+            got = {r[0]: r[1] for r in got}
+            short = [p for p in short if got.get(p, 0) != footers[p]]
+        out |= set(short)
+    return out
+
+
 def _csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     reader = spark.read.option("header", True).option("recursiveFileLookup", True)
     names = reader.csv(paths).columns
@@ -185,7 +254,7 @@ def _csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _parquet_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    df = (spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", False)
+    df = (spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).option("ignoreCorruptFiles", False)
           .option("ignoreMissingFiles", False).parquet(*paths))
     return df.select(F.to_json(F.struct(*df.columns)).alias("raw_payload"), F.col("_metadata").alias("_m"),
                      F.col("_metadata.row_index").cast("long").alias("source_row"), F.lit(False).alias("is_error"))
@@ -204,8 +273,9 @@ def _record_rows(spark: SparkSession, files: DataFrame, pending: DataFrame, grou
     m = F.col("_m")
     path = F.try_url_decode(F.replace(m["file_path"], F.lit("+"), F.lit("%2B")))
     for paths in groups.values():
-        literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]     # the reader takes patterns
-        rows = (_csv_rows if fmt == "csv" else _parquet_rows)(spark, literal)
+        if not paths:
+            continue
+        rows = (_csv_rows if fmt == "csv" else _parquet_rows)(spark, _literal(paths))
         out = out.unionByName(rows.select(_name(path).alias("source_file"), m["file_size"].alias("file_size"),
                                           m["file_modification_time"].alias("file_mtime"), "source_row", "raw_payload", "is_error"))
     return out.join(F.broadcast(pending), FILE_KEY, "left_semi")
@@ -226,8 +296,16 @@ def _append(rows: DataFrame, target_path: str, as_of: dt.datetime, load_id: str,
          .write.mode("append").partitionBy("load_date", "load_id").parquet(target_path))
 
 
+def _short_files(spark: SparkSession, written: DataFrame, footers: dict) -> RuntimeError | None:
+    """The files of which other rows were written than their footers count, as an error."""
+    want = spark.createDataFrame(list(footers.items()), "source_file string, want long")
+    got = written.groupBy("source_file").agg(F.count("*").alias("got"))
+    short = want.join(got, "source_file", "left").where(F.coalesce("got", F.lit(0)) != F.col("want")).collect()
+    return RuntimeError(f"rows read and rows of the footer differ, nothing of the batch is committed: {short}") if short else None
+
+
 def _load_batch(spark: SparkSession, paths: list[str], target_path: str, ledger_path: str, as_of: dt.datetime,
-                fmt: str, glob: str | None, routing: tuple[str, str] | None) -> tuple[int, int, int, int]:
+                fmt: str, glob: str | None, routing: tuple[str, str] | None, on_error: str) -> tuple[int, int, int, int]:
     """Load one batch; returns files listed, files loaded, rows loaded, rows errored."""
     files = _read_files(spark, paths, glob)
     if files is None:
@@ -244,37 +322,52 @@ def _load_batch(spark: SparkSession, paths: list[str], target_path: str, ledger_
     n_files = pending.count()
     if not n_files:
         return sum(per_day.values()), 0, 0, 0
-    groups, footers = {}, {}
+    groups, footers, broken = {}, {}, set()
     if fmt in ("csv", "parquet"):
-        for (path,) in pending.select("source_file").orderBy("source_file").collect():   # those of one batch
-            head = _csv_header(spark, path) if fmt == "csv" else _parquet_footer(spark, path)
+        names = [r[0] for r in pending.select("source_file").orderBy("source_file").collect()]   # those of one batch
+        if fmt == "parquet":
+            groups, footers = _parquet_groups(spark, names)
+        for path in names if fmt == "csv" else ():
+            try:
+                head = _csv_header(spark, path)
+            except Py4JJavaError as e:   # a compressed file that ends or breaks in its first block
+                if on_error == "abort" or not re.search("EOFException|ZipException|ZlibException|header check", str(e.java_exception)):
+                    raise
+                broken.add(path)
+                continue
             if head is not None:
-                groups.setdefault(head if fmt == "csv" else head[0], []).append(path)
-            if fmt == "parquet":
-                footers[path] = None if head is None else head[1]
+                groups.setdefault(head, []).append(path)
     load_id = f"{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    obs = Observation(f"load_{load_id}")
-    rows = _record_rows(spark, files, pending, groups, fmt).observe(
-        obs, F.count_if(~F.col("is_error")).alias("loaded"), F.count_if(F.col("is_error")).alias("errored"))
-    _append(rows, target_path, as_of, load_id, routing)
+    # A file without a footer is no Parquet file: it is one error, as a damaged one is.
+    broken |= {p for p, n in footers.items() if n is None}
+    for attempt in range(3):
+        obs = Observation(f"load_{load_id}_{attempt}")
+        rows = _record_rows(spark, files, pending, groups, fmt).observe(
+            obs, F.count_if(~F.col("is_error")).alias("loaded"), F.count_if(F.col("is_error")).alias("errored"))
+        try:
+            _append(rows, target_path, as_of, load_id, routing)
+            # Ledger: every processed file (empty ones too), with its counts taken
+            # from the partition just written (a narrow columnar scan).
+            written = _read_or_empty(spark, target_path, RAW_TABLE_SCHEMA).where(F.col("load_id") == load_id)
+            failure = _short_files(spark, written, {p: n for p, n in footers.items() if p not in broken}) if fmt == "parquet" else None
+        except (PySparkException, Py4JJavaError) as e:
+            failure = e
+        if failure is None:
+            break
+        delete_path(spark, f"{target_path}/load_date={as_of:%Y-%m-%d}/load_id={load_id}")   # no orphans
+        found = _damaged(spark, groups, footers, fmt) if on_error == "continue" and fmt != "json" and attempt < 2 else set()
+        if not found:
+            raise failure
+        broken |= found
+        groups = {k: [p for p in paths if p not in found] for k, paths in groups.items()}
     loaded, errored = int(obs.get["loaded"]), int(obs.get["errored"])
-    # Ledger: every processed file (empty ones too), with its counts taken
-    # from the partition just written (a narrow columnar scan).
-    written = _read_or_empty(spark, target_path, RAW_TABLE_SCHEMA).where(F.col("load_id") == load_id)
-    if fmt == "parquet":
-        found = {r["source_file"]: r["count"] for r in written.groupBy("source_file").count().collect()}
-        short = {p: (found.get(p, 0), n) for p, n in footers.items() if found.get(p, 0) != (n or 0)}
-        if short:
-            raise RuntimeError(f"rows read and rows of the footer differ, nothing of the batch is committed: {short}")
-        # A file without a footer is no Parquet file: it is one error.
-        broken = [p for p, n in footers.items() if n is None]
-        if broken:
-            keys = spark.createDataFrame([(p,) for p in broken], "source_file string")
-            _append(pending.join(F.broadcast(keys), "source_file", "left_semi")
-                    .select(*FILE_KEY, F.lit(None).cast("long").alias("source_row"),
-                            F.lit(None).cast("string").alias("raw_payload"), F.lit(True).alias("is_error")), target_path, as_of, load_id, routing)
-            errored += len(broken)
-            written = spark.read.schema(RAW_TABLE_SCHEMA).parquet(target_path).where(F.col("load_id") == load_id)
+    if broken:
+        keys = spark.createDataFrame([(p,) for p in sorted(broken)], "source_file string")
+        _append(pending.join(F.broadcast(keys), "source_file", "left_semi")
+                .select(*FILE_KEY, F.lit(None).cast("long").alias("source_row"),
+                        F.lit(None).cast("string").alias("raw_payload"), F.lit(True).alias("is_error")), target_path, as_of, load_id, routing)
+        errored += len(broken)
+        written = spark.read.schema(RAW_TABLE_SCHEMA).parquet(target_path).where(F.col("load_id") == load_id)
     counts = (written.groupBy(*FILE_KEY)
               .agg(F.count_if(~F.col("is_error")).alias("rows_loaded"),
                    F.count_if(F.col("is_error")).alias("rows_errored")))
@@ -292,11 +385,12 @@ def _load_batch(spark: SparkSession, paths: list[str], target_path: str, ledger_
 def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_path: str,
          as_of: dt.datetime, file_format: str = "json", glob: str | None = None,
          routing: tuple[str, str] | None = None, feed: str | None = None,
-         batch_days: int = BATCH_DAYS) -> LoadResult:
+         batch_days: int = BATCH_DAYS, on_error: str = "continue") -> LoadResult:
     """Load every not-yet-loaded file under ``source``.
 
     ``loaded_at`` is the batch timestamp ``as_of``. Status: ``no_files`` when
-    nothing is listed, ``success`` when no row errored, else ``partial``.
+    nothing is listed, ``success`` when no row errored, else ``partial``. A damaged CSV or
+    Parquet file is one error; with ``on_error="abort"`` it fails its batch.
     ``feed`` (or ``routing`` = key path, date path) stores ``record_key`` and
     ``route_date`` beside each payload, so incremental runs can select versions
     by key and day without parsing every payload.
@@ -305,7 +399,7 @@ def load(spark: SparkSession, source: str | list[str], target_path: str, ledger_
     routing = routing or (ROUTING[feed] if feed else None)
     sums = [0, 0, 0, 0]
     for paths in batches(spark, source, batch_days):
-        got = _load_batch(spark, paths, target_path, ledger_path, as_of, file_format.lower(), glob, routing)
+        got = _load_batch(spark, paths, target_path, ledger_path, as_of, file_format.lower(), glob, routing, on_error)
         sums = [a + b for a, b in zip(sums, got)]
     listed, n_files, loaded, errored = sums
     status = "no_files" if not listed else "success" if not errored else "partial"

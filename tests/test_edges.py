@@ -186,3 +186,15 @@ def test_fast_parse_equals_variant_reading(spark):
     slow = df.select(*X._extract(X.safe_parse_json("raw_payload"), X.TRANSACTION_FIELDS,
                                  False)).collect()
     assert fast == slow
+
+
+def test_repeated_keys_in_any_spelling(spark):
+    """Fast and VARIANT reading agree on repeated keys: escapes, spaces before colons, nulls, colons in text."""
+    texts = ['{"amount":1,"amount":2}', '{"amount" :1,"amount":2}', '{"amount":1,"amount":null}', '{"amount":null,"member_id":"a","member_id":"b"}',
+             '{"posted_at":"2024-01-01T10\\u003a00\\u003a00","amount":1,"amount":2,"amount":3}', '{"posted_at":"2024-01-01T10:00:00","amount":1,"amount":2}',
+             '{"posted_at":"2024-01-01T10:00:00","amount":1}', '{"merchant_name":"a:b:c","amount":1}', '{"merchant_name":"::","x":1,"amount":1}',
+             '{"x":1,"x":2,"amount":3}', '{"amount":1,"x":5}', '{}', '{"a":{"b":1,"b":2}}']
+    df = spark.createDataFrame([(t,) for t in texts], "raw_payload string")
+    fast = X.parsed_fields(df, "raw_payload", X.TRANSACTION_FIELDS, ["raw_payload"]).collect()
+    slow = df.select(*X.parse_transaction("raw_payload"), "raw_payload").collect()
+    assert sorted(map(repr, fast)) == sorted(map(repr, slow))

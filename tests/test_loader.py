@@ -232,11 +232,79 @@ def test_damaged_parquet_rows_fail_the_load(spark, tmp_root):
         f.seek(start)
         f.write(b"\xff" * 400)
     with pytest.raises(Exception):
-        LD.load(spark, f"{tmp_root}/pq", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, file_format="parquet")
+        LD.load(spark, f"{tmp_root}/pq", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, file_format="parquet", on_error="abort")
     assert LD.read_raw_table(spark, f"{tmp_root}/raw", f"{tmp_root}/ledger", include_errors=True).count() == 0
     assert LD.read_ledger(spark, f"{tmp_root}/ledger").count() == 0
 
 
+def _damaged_parquet(path, rows=4000):
+    """A Parquet file with a sound footer and a damaged third row group."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    pq.write_table(pa.table({"transaction_id": [f"D{i}" for i in range(rows)]}), path, row_group_size=rows // 4, use_dictionary=False)
+    start = pq.ParquetFile(path).metadata.row_group(2).column(0).data_page_offset
+    with open(path, "r+b") as f:
+        f.seek(start)
+        f.write(b"\xff" * 400)
+
+
+def test_damaged_files_cost_only_themselves(spark, tmp_root):
+    """Two landing days, damaged Parquet files in the first: every sound row of both days loads, a
+    damaged file is one error, a second run finds nothing to do, and no orphan partition is left."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    first, second = (f"{tmp_root}/src/year=2024/month=01/day=0{d}/hour=10" for d in (5, 6))
+    _damaged_parquet(f"{first}/bad1.parquet")
+    _damaged_parquet(f"{first}/bad2.parquet")
+    _write(f"{first}/none.parquet", b"this is no parquet file")
+    for folder, n, name in ((first, 70, "a"), (first, 0, "empty"), (second, 50, "b")):
+        os.makedirs(folder, exist_ok=True)
+        pq.write_table(pa.table({"transaction_id": pa.array([f"{name}{i}" for i in range(n)], pa.string()), "amount": pa.array([1.5] * n, pa.float64())}), f"{folder}/{name}.parquet")
+    args = (f"{tmp_root}/src", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF)
+    r = LD.load(spark, *args, file_format="parquet", feed="transactions", batch_days=1)
+    assert (r.files_processed, r.rows_loaded, r.rows_errored, r.status) == (6, 120, 3, "partial")
+    assert LD.load(spark, *args, file_format="parquet", feed="transactions", batch_days=1).files_processed == 0
+    per_file = {os.path.basename(x.source_file): (x.rows_loaded, x.rows_errored) for x in LD.read_ledger(spark, args[2]).collect()}
+    assert per_file == {"bad1.parquet": (0, 1), "bad2.parquet": (0, 1), "none.parquet": (0, 1), "a.parquet": (70, 0), "empty.parquet": (0, 0), "b.parquet": (50, 0)}
+    raw = LD.read_raw_table(spark, args[1], args[2], include_errors=True)
+    assert raw.where("is_error").count() == 3 and {x.record_key for x in raw.where("not is_error").collect()} == {f"a{i}" for i in range(70)} | {f"b{i}" for i in range(50)}
+    ids = {x.load_id for x in spark.read.schema(LD.RAW_TABLE_SCHEMA).parquet(args[1]).select("load_id").distinct().collect()}
+    assert ids == {x.load_id for x in LD.read_ledger(spark, args[2]).select("load_id").distinct().collect()}
+    days = {x.landing_date.day: x.status for x in LD.load_report(spark, args[2]).collect()}
+    assert days == {5: "partial", 6: "success"}
+
+
+def test_damaged_compressed_csv(spark, tmp_root):
+    """A cut-off gzip file is one error beside its sound neighbours."""
+    import gzip
+    for name, n in (("a", 5), ("b", 2000), ("c", 7)):
+        data = gzip.compress(("transaction_id,amount\n" + "".join(f"{name}{i},{i * 7919 % 1000}\n" for i in range(n))).encode())
+        _write(f"{tmp_root}/csv/{name}.csv.gz", data[:len(data) // 2] if name == "b" else data)
+    r = LD.load(spark, f"{tmp_root}/csv", f"{tmp_root}/raw", f"{tmp_root}/ledger", AS_OF, file_format="csv", feed="transactions")
+    assert (r.files_processed, r.rows_loaded, r.rows_errored, r.status) == (3, 12, 1, "partial")
+
+
+def test_flat_lines_need_no_python(spark, tmp_root):
+    """Files of flat JSON lines are cut by built-ins and give what the document cutter gives."""
+    import random
+    from ledgerflow.sources import json_files as J
+    r = random.Random(4)
+    parts = ['{"a":1}', '{"b":"x y"}', '{"c":{"d":1}}', "\n", "\n", "\n", " ", "\r\n", "{bad", '{"a":1},', '[{"a":2}]', '{"a":"}{"}', '"s"', "5", "{}",
+             '{"a":1} x}', '{"a":1}{"a":2}']
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(9))) for _ in range(800)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {}
+    for x in J.explode_json_text(df).collect():
+        got.setdefault(x.id, []).append((x.source_row, x.raw_payload, x.is_error))
+    arrays = {i for i, t in enumerate(texts) if t.strip()[:1] == "[" and t.strip()[-1:] == "]"}
+    for i, t in enumerate(texts):
+        if i not in arrays:
+            assert [p for _, p, _ in sorted(got.get(i, []))] == J.split_documents(t), t
+    fed = J._plain_lines("text")[1]
+    assert {x.id for x in df.where(fed).collect()} >= {i for i, t in enumerate(texts) if t and not set(t.split("\n")) - {'{"a":1}', '{"b":"x y"}', "{}"}}
+
+
 def test_files_beside_the_day_folders_and_bad_folder_names(spark, tmp_root):
     rec = b'[{"transaction_id": "T"}]'
     for p in ("year=2024/month=01/day=05/hour=10/a.json", "year=2024/month=13/day=45/b.json", "loose.json", "year=2024/c.json",
