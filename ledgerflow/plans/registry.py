@@ -669,7 +669,7 @@ p AS (SELECT * FROM raw_pay WHERE payment_status = 'SETTLED' AND payment_id IS N
       QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY resend_set) = 1)
 SELECT {', '.join('t.' + c for c in TRANSACTION_COLUMNS)}, p.payment_id, p.payment_type, p.payment_status, p.settled_at
 FROM t LEFT JOIN p ON t.member_id = p.member_id AND t.amount = p.amount AND t.posted_at::DATE = p.scheduled_date
-                  AND p.settled_at BETWEEN t.posted_at AND t.posted_at + INTERVAL 4 DAY"""
+                  AND p.settled_at BETWEEN t.posted_at - INTERVAL 4 DAY AND t.posted_at + INTERVAL 4 DAY"""
 
 
 def settle_streams(spark, sf_dir, root):

@@ -50,7 +50,7 @@ from ledgerflow.session import delete_path, list_entries, path_exists
 from ledgerflow.sources.json_files import explode_json_text
 
 # Watermark delay for transactions (settlement lag), and the
-# event-time range in which a settlement can follow a posted transaction.
+# event-time range, on either side of the posting time, in which a settlement links.
 TRANSACTION_WATERMARK = "3 days"
 SETTLEMENT_RANGE = "4 days"
 #: Delay that no event of a bounded history exceeds: nothing is late.
@@ -148,7 +148,8 @@ def settlement_join(tx: DataFrame, pay: DataFrame,
                     tx_delay: str = TRANSACTION_WATERMARK,
                     pay_delay: str = TRANSACTION_WATERMARK,
                     settle_range: str = SETTLEMENT_RANGE) -> DataFrame:
-    """Transactions LEFT OUTER JOIN settled payments, as a stream-stream join (K3)."""
+    """Transactions LEFT OUTER JOIN settled payments, as a stream-stream join (K3). A settlement
+    links from ``settle_range`` before the posting time to as long after it; others are lost here."""
     t = (with_event_time(tx, "posted_at", "t_ts").withWatermark("t_ts", tx_delay)
          .withColumn("t_date", event_date("posted_at")))
     p = (with_event_time(pay.where(F.col("payment_status") == PAYMENT_SETTLED), "settled_at", "p_ts")
@@ -157,7 +158,7 @@ def settlement_join(tx: DataFrame, pay: DataFrame,
                  F.col("scheduled_date").alias("p_date"), "payment_id", "payment_type",
                  "payment_status", "settled_at", "p_ts"))
     cond = F.expr(f"""t_member = p_member_id AND t_amount = p_amount AND t_date = p_date
-                     AND p_ts >= t_ts AND p_ts <= t_ts + INTERVAL {settle_range}""")
+                     AND p_ts >= t_ts - INTERVAL {settle_range} AND p_ts <= t_ts + INTERVAL {settle_range}""")
     t = t.withColumnRenamed("member_id", "t_member").withColumnRenamed("amount", "t_amount")
     j = t.join(p, cond, "leftOuter")
     return (j.withColumnRenamed("t_member", "member_id").withColumnRenamed("t_amount", "amount")
