@@ -2,22 +2,30 @@
 
 Words are white-space separated, A-Z in lower case; a text ends with one end
 token. The model is normalised over the known words, one unknown word and the
-end token, in two steps:
-
-* a log-bilinear network over classes (the most frequent words, the end, and one
-  class for all rarer words) predicts the class from the two classes before it:
-  ``score = (c1 * r[h1] + c2 * r[h2]) . q[w] + b[w]``, normalised by a batched
-  matrix product over all classes;
-* within the rare class, absolute discounting gives a word with count c the
-  share (c - d) / n, and the unknown word what the discounts free.
+end token. Every known word has a vector, as context and as target, that of its
+cell: frequent words, the end and the unknown word have cells of their own, the
+other words share hashed cells. The numbers of both kinds of cells grow with the
+square root of the vocabulary. A word's probability has three steps:
+
+* a log-bilinear network gives the group of the cell from the two cells before,
+  ``score = (c1 * r[h1] + c2 * r[h2]) . g[group] + bias``, normalised by a batched
+  matrix product over all groups; the most frequent cells are groups of their
+  own, the others lie in groups of like frequency, about as many as cells in each;
+* in a group of several cells a second product gives the cell, normalised over
+  the cells of the group;
+* within a hashed cell, absolute discounting gives a word with count c the share
+  of c - d. What it frees is the unknown word's: a token of a hashed cell is
+  trained as the unknown word with the cell's freed share as chance.
 
 Training is data-parallel: in each round every task takes the broadcast
-parameters, runs minibatch noise-contrastive steps over its training rows in
-numpy and returns its parameters; Spark averages them by row of the parameter
-tables, weighted by tokens. Token counts cover all training rows and are a
-distributed table; only the ``hot_words`` most frequent (fixed bound) are sent
-to the tasks, where most tokens find their counts. The rest meet the count table
-in a shuffle join on a hash, which therefore holds no frequent key.
+parameters, runs minibatch noise-contrastive steps for both networks over its
+training rows in numpy and returns the rows of the parameter tables that it
+changed; Spark averages them by row, weighted by the tokens and noise that met
+it. ``task_tokens`` bounds the number of tasks, so what they return stays small
+beside the input. Token counts cover all training rows and are a distributed
+table; only the ``hot_words`` most frequent (fixed bound) are sent to the tasks,
+where most tokens find their counts. The rest meet the count table in a shuffle
+join on a hash, which therefore holds no frequent key.
 
 Words are keyed by a 64-bit hash; at n distinct words the chance that any two
 share one is about n^2 / 2^65 (3e-8 at a million, 3 % at a billion), and then
@@ -48,13 +56,17 @@ END = np.uint64(1)  # the end token's key; words with this hash do not occur in
 
 @dataclass(frozen=True)
 class LmParams:
-    classes: int = 512        # output classes: frequent words, end, rare
     dim: int = 16
-    noise: int = 32           # noise words shared by a minibatch
-    batch: int = 2048
+    noise: int = 32           # noise groups shared by a minibatch
+    batch: int = 8192
+    block: int = 16           # tokens of a group that share as many noise cells
     rate: float = 0.1
     rounds: int = 1           # passes over the training rows, parameters averaged after each
+    heads: int = 256          # most frequent cells, groups of their own
+    growth: float = 8.0       # hashed cells: the power of two from growth * sqrt(V) on
+    own: int = 4              # cells of frequent words, for each hashed cell
     hot_words: int = 1 << 18  # most frequent words whose counts go to every task (16 bytes each)
+    task_tokens: int = 1 << 27  # tokens of one training task, where there are more than tasks at a time
 
 
 def word_keys(batch, column):
@@ -112,15 +124,54 @@ def token_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _class_ids(keys: np.ndarray, known: np.ndarray, ids: np.ndarray, other: int) -> np.ndarray:
+def _look_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray, other) -> np.ndarray:
     if not len(known):
         return np.full(len(keys), other, np.int64)
     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, ids[at], other)
+    return np.where(known[at] == keys, values[at], other)
+
+
+@dataclass
+class Cells:
+    """Cells in order of frequency after the end (0) and the unknown word (1), so that
+    the cells of a group are neighbours."""
+    keys: np.ndarray     # sorted keys of the words with a cell of their own, and the end
+    ids: np.ndarray      # their cells
+    hashed: np.ndarray   # cell of each hash bucket (a power of two)
+    share: np.ndarray    # of the training tokens, by cell
+    free: np.ndarray     # chance that a token of the cell stands for the unknown word
+    left: np.ndarray     # discounted tokens of a hashed cell
+    starts: np.ndarray   # first cell of each group, and the number of cells
+
+    def __post_init__(self):
+        self.size = np.diff(self.starts)
+        self.group = np.repeat(np.arange(len(self.size)), self.size)
+        mass = np.add.reduceat(self.share, self.starts[:-1])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.log_group = np.log(np.maximum(mass, 1e-12)).astype(np.float32)
+            inner = self.share / mass[self.group]
+            self.log_inner = np.log(np.where(inner > 0, inner, 1e-12)).astype(np.float32)
+        self.up_to = np.cumsum(self.share)
+        self.groups_up_to = np.cumsum(mass)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        bucket = (keys & np.uint64(len(self.hashed) - 1)).astype(np.int64)
+        return _look_up(keys, self.keys, self.ids, self.hashed[bucket])
+
+    def draw_groups(self, rng, n: int) -> np.ndarray:
+        u = rng.random(n) * self.groups_up_to[-1]
+        return np.minimum(np.searchsorted(self.groups_up_to, u, "right"), len(self.size) - 1)
+
+    def draw_cells(self, rng, groups: np.ndarray, n: int) -> np.ndarray:
+        """``n`` cells of each of the given groups, by their shares."""
+        first, last = self.starts[groups], self.starts[groups + 1] - 1
+        low = self.up_to[first] - self.share[first]
+        u = low[:, None] + rng.random((len(groups), n)) * (self.up_to[last] - low)[:, None]
+        return np.clip(np.searchsorted(self.up_to, u, "right"), first[:, None], last[:, None])
 
 
 def _contexts(cls: np.ndarray, ends: np.ndarray, start: int):
-    """Classes one and two places before each token; ``start`` before a row's first."""
+    """Cells one and two places before each token; ``start`` before a row's first."""
     h1 = np.empty_like(cls)
     h1[1:] = cls[:-1]
     h2 = np.empty_like(cls)
@@ -134,87 +185,132 @@ def _contexts(cls: np.ndarray, ends: np.ndarray, start: int):
     return h1, h2
 
 
-def initial_parameters(p: LmParams, share: np.ndarray) -> dict[str, np.ndarray]:
+def initial_parameters(p: LmParams, cells: Cells, trained: bool = True) -> dict[str, np.ndarray]:
+    """Vectors of contexts (the last row is the start), groups and cells; the last
+    column of the latter two is a bias."""
     rng = np.random.default_rng(11)
-    n = p.classes
-    return {"r": rng.normal(0, 0.1, (n + 1, p.dim)).astype(np.float32),  # the last row is the start
-            "q": rng.normal(0, 0.1, (n, p.dim)).astype(np.float32),
-            "b": np.log(np.maximum(share, 1e-9)).astype(np.float32)[:, None],
-            "c": np.ones((2, p.dim), np.float32)}
+    n = len(cells.share)
+    r = rng.normal(0, 0.1, (n + 1, p.dim)).astype(np.float32)
+    r[np.append(cells.share == 0, not trained)] = 0
+    g = rng.normal(0, 0.1, (len(cells.size), p.dim + 1)).astype(np.float32)
+    q = rng.normal(0, 0.1, (n, p.dim + 1)).astype(np.float32)
+    g[:, -1] = cells.log_group
+    q[:, -1] = cells.log_inner
+    return {"r": r, "g": g, "q": q, "c": np.ones((2, p.dim), np.float32)}
+
+
+def _chance(x: np.ndarray) -> np.ndarray:
+    return (1 / (1 + np.exp(np.clip(-x, -30, 30)))).astype(np.float32)
 
 
-def _add_rows(table: np.ndarray, rows: np.ndarray, delta: np.ndarray) -> None:
-    """``table[rows] += delta`` where rows repeat."""
+def _context(w: dict, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    ctx = np.ones((len(h1), w["g"].shape[1]), np.float32)
+    ctx[:, :-1] = w["r"][h1] * w["c"][0] + w["r"][h2] * w["c"][1]
+    return ctx
+
+
+def _climb(w: np.ndarray, state: np.ndarray, met: np.ndarray, rows: np.ndarray, delta: np.ndarray, rate: float) -> None:
+    """One adaptive step on the given rows of a table, where rows repeat."""
     order = np.argsort(rows, kind="stable")
     rows = rows[order]
     at = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    table[rows[at]] += np.add.reduceat(delta[order], at, axis=0)
-
-
-def nce_step(w: dict, h1, h2, target, noise, share, state: dict, p: LmParams) -> None:
-    """One minibatch: logistic discrimination of the true class from ``noise``
-    classes drawn from ``share``; adaptive step sizes by row."""
-    log_noise = np.log(np.maximum(share, 1e-9) * len(noise)).astype(np.float32)
-    c1, c2 = w["c"]
-    r1, r2 = w["r"][h1], w["r"][h2]
-    ctx = r1 * c1 + r2 * c2
-    qt, qn = w["q"][target], w["q"][noise]
-    st = np.einsum("ij,ij->i", ctx, qt) + w["b"][target, 0] - log_noise[target]
-    sn = ctx @ qn.T + (w["b"][noise, 0] - log_noise[noise])
-    gt = (1 / (1 + np.exp(np.clip(st, -30, 30)))).astype(np.float32)     # 1 - P(data | true class)
-    gn = (-1 / (1 + np.exp(np.clip(-sn, -30, 30)))).astype(np.float32)   # -P(data | noise class)
-    dctx = gt[:, None] * qt + gn @ qn
-    grads = {k: np.zeros_like(v) for k, v in w.items()}
-    _add_rows(grads["q"], target, gt[:, None] * ctx)
-    _add_rows(grads["q"], noise, gn.T @ ctx)
-    _add_rows(grads["b"], target, gt[:, None])
-    _add_rows(grads["b"], noise, gn.sum(0)[:, None])
-    _add_rows(grads["r"], h1, dctx * c1)
-    _add_rows(grads["r"], h2, dctx * c2)
-    grads["c"][0] = (dctx * r1).sum(0)
-    grads["c"][1] = (dctx * r2).sum(0)
-    for k, g in grads.items():
-        g /= len(target)
-        state[k] += (g * g).mean(1, keepdims=True)
-        w[k] += p.rate * g / np.sqrt(state[k] + 1e-8)
-
-
-def _train_round(train: DataFrame, w: dict, vocabulary: tuple, share: np.ndarray, p: LmParams) -> dict:
-    known, ids = vocabulary
-    rare = p.classes - 1
+    hit = rows[at]
+    grad = np.add.reduceat(delta[order], at, axis=0)
+    state[hit] += grad * grad
+    w[hit] += rate * grad / np.sqrt(state[hit] + 1e-8)
+    met[hit] += np.diff(np.append(at, len(rows)))
+
+
+def nce_step(w: dict, h1, h2, target, cells: Cells, state: dict, met: dict, rng, p: LmParams) -> None:
+    """One minibatch: logistic discrimination of the true group from noise groups, and
+    of the true cell from noise cells of its group."""
+    ctx = _context(w, h1, h2)
+    group = cells.group[target]
+    noise = cells.draw_groups(rng, p.noise)
+    log_noise = cells.log_group + np.float32(math.log(p.noise))
+    gt, gn = w["g"][group], w["g"][noise]
+    up = _chance(log_noise[group] - np.einsum("ij,ij->i", ctx, gt))[:, None]  # 1 - P(data | true group)
+    down = -_chance(ctx @ gn.T - log_noise[noise])                            # -P(data | noise group)
+    d_ctx = up * gt + down @ gn
+    steps = [("g", np.concatenate([group, noise]), np.concatenate([up * ctx, down.T @ ctx]))]
+    inner = np.flatnonzero(cells.size[group] > 1)
+    if len(inner):
+        # Tokens of a group are cut into blocks that share their noise cells.
+        order = inner[np.argsort(group[inner], kind="stable")]
+        of = group[order]
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        place = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
+        begins = place % p.block == 0
+        block = np.cumsum(begins) - 1
+        at = np.full((block[-1] + 1, p.block), -1)
+        at[block, place % p.block] = order
+        real = at >= 0
+        drawn = cells.draw_cells(rng, of[begins], p.block)
+        x = ctx[at] * real[..., None]
+        t = target[at]
+        log_noise = cells.log_inner + np.float32(math.log(p.block))
+        qt, qn = w["q"][t], w["q"][drawn]
+        up = (_chance(log_noise[t] - np.einsum("bij,bij->bi", x, qt)) * real)[..., None]
+        down = -_chance(x @ qn.transpose(0, 2, 1) - log_noise[drawn][:, None, :]) * real[..., None]
+        d_ctx[at[real]] += (up * qt + down @ qn)[real]
+        steps.append(("q", np.concatenate([t[real], drawn.ravel()]),
+                      np.concatenate([(up * x)[real], (down.transpose(0, 2, 1) @ x).reshape(-1, x.shape[2])])))
+    d_ctx = d_ctx[:, :-1]
+    steps.append(("c", np.array([0, 1]), np.stack([(d_ctx * w["r"][h1]).sum(0), (d_ctx * w["r"][h2]).sum(0)])))
+    steps.append(("r", np.concatenate([h1, h2]), np.concatenate([d_ctx * w["c"][0], d_ctx * w["c"][1]])))
+    for name, rows, delta in steps:
+        _climb(w[name], state[name], met[name], rows, delta, p.rate)
+
+
+def _train_round(train: DataFrame, w: dict, cells: Cells, total: int, p: LmParams) -> dict:
+    start = len(cells.share)
     names = list(w)
+    width = p.dim + 1
 
     def run(batches):
         mine = {k: v.copy() for k, v in w.items()}
-        state = {k: np.zeros((len(v), 1), np.float32) for k, v in w.items()}
+        state = {k: np.zeros_like(v) for k, v in w.items()}
+        met = {k: np.zeros(len(v)) for k, v in w.items()}
         rng = np.random.default_rng(5)
-        tokens = 0
         for batch in batches:
             for _, n, keys, row in word_keys(batch, 0):
                 stream, _, ends = with_ends(n, keys, row)
-                cls = _class_ids(stream, known, ids, rare)
-                h1, h2 = _contexts(cls, ends, p.classes)
-                tokens += len(cls)
-                draws = rng.choice(p.classes, p.noise * (len(cls) // p.batch + 1), p=share)
-                for k, at in enumerate(range(0, len(cls), p.batch)):
+                cell = cells.of(stream)
+                h1, h2 = _contexts(cell, ends, start)
+                for at in range(0, len(cell), p.batch):
                     part = slice(at, at + p.batch)
-                    nce_step(mine, h1[part], h2[part], cls[part], draws[k * p.noise:(k + 1) * p.noise], share, state, p)
-        if tokens:
-            for t, name in enumerate(names):
-                v = mine[name]
+                    target = np.where(rng.random(len(cell[part])) < cells.free[cell[part]], 1, cell[part])
+                    nce_step(mine, h1[part], h2[part], target, cells, state, met, rng, p)
+        for t, name in enumerate(names):
+            changed = np.flatnonzero(met[name])
+            for at in range(0, len(changed), 1 << 14):
+                i = changed[at:at + (1 << 14)]
+                v = np.zeros((len(i), width), np.float32)
+                v[:, :mine[name].shape[1]] = mine[name][i]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, width, dtype=np.int32)), pa.array(v.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), t, np.int32)), pa.array(np.arange(len(v), dtype=np.int32)),
-                     pa.array((v.astype(np.float64) * tokens).tolist(), pa.list_(pa.float64())), pa.array(np.full(len(v), float(tokens)))],
-                    names=["t", "i", "v", "tokens"])
+                    [pa.array(np.full(len(i), t, np.int32)), pa.array(i.astype(np.int32)), lists, pa.array(met[name][i])],
+                    names=["t", "i", "v", "met"])
 
-    parts = train.select("text").mapInArrow(run, "t int, i int, v array<double>, tokens double")
-    mean = (parts.select("t", "i", F.posexplode("v").alias("j", "x"), "tokens").groupBy("t", "i", "j")
-            .agg((F.sum("x") / F.sum("tokens")).alias("x")))
+    tasks = max(train.sparkSession.sparkContext.defaultParallelism, -(-total // p.task_tokens))
+    parts = train.select("text").coalesce(tasks).mapInArrow(run, "t int, i int, v array<float>, met double")
+    mean = parts.groupBy("t", "i").agg(*[(F.sum(F.col("v")[j] * F.col("met")) / F.sum("met")).cast("float").alias(f"x{j}") for j in range(width)])
     out = {k: v.copy() for k, v in w.items()}
-    got = mean.toPandas()  # as many rows as there are parameters
+    got = mean.toPandas()  # at most one row for each row of the parameter tables
     for t, name in enumerate(names):
         mine = got[got["t"] == t]
-        out[name][mine["i"], mine["j"]] = mine["x"]
+        out[name][mine["i"]] = mine[[f"x{j}" for j in range(out[name].shape[1])]].to_numpy(np.float32)
+    return out
+
+
+def _log_sums(ctx: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Log of the sum of exponentials over all rows of the table, by matrix products."""
+    out = np.empty(len(ctx), np.float32)
+    for at in range(0, len(ctx), 4096):
+        s = ctx[at:at + 4096] @ table.T
+        top = s.max(1, keepdims=True)
+        s -= top
+        out[at:at + 4096] = top[:, 0] + np.log(np.exp(s, out=s).sum(1))
     return out
 
 
@@ -222,55 +318,82 @@ def _train_round(train: DataFrame, w: dict, vocabulary: tuple, share: np.ndarray
 class LanguageModel:
     params: LmParams
     weights: dict
-    share: np.ndarray
-    vocabulary: tuple      # sorted keys and class of each
+    cells: Cells
     hot: tuple             # sorted keys and counts
     total: int             # N
     distinct: int          # V
     discount: float
-    rare_tokens: int
-    rare_types: int
-    counts: DataFrame
-
-    def log_normalisers(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Context vectors and log of the sum over all classes, by matrix products."""
-        w = self.weights
-        ctx = w["r"][h1] * w["c"][0] + w["r"][h2] * w["c"][1]
-        log_z = np.empty(len(ctx), np.float32)
-        for at in range(0, len(ctx), 4096):
-            s = ctx[at:at + 4096] @ w["q"].T + w["b"][:, 0]
-            top = s.max(1, keepdims=True)
-            log_z[at:at + 4096] = top[:, 0] + np.log(np.exp(s - top).sum(1))
-        return ctx, log_z
-
-    def class_log_probability(self, cls, h1, h2) -> np.ndarray:
-        """log P(class | two classes before), normalising each distinct context once."""
-        width = self.params.classes + 1
-        pairs, of = np.unique(h1 * width + h2, return_inverse=True)
-        ctx, log_z = self.log_normalisers(pairs // width, pairs % width)
-        w = self.weights
-        return np.einsum("ij,ij->i", ctx[of], w["q"][cls]) + w["b"][cls, 0] - log_z[of]
-
-    def rare_log_probability(self, c: np.ndarray) -> np.ndarray:
-        """log of the share of a rare word with count ``c`` (0: the unknown word) in its class."""
-        if not self.rare_tokens:
-            return np.zeros(len(c))
-        free = self.discount * self.rare_types / self.rare_tokens
-        return np.log(np.where(c > 0, (c - self.discount) / self.rare_tokens, free))
+    counts: DataFrame | None
+
+    def log_probability(self, cell, h1, h2) -> tuple[np.ndarray, np.ndarray]:
+        """log P(cell | two cells before) and log P(unknown word | two cells before)."""
+        logp, unknown = np.empty(len(cell)), np.empty(len(cell))
+        for at in range(0, len(cell), 1 << 18):
+            part = slice(at, at + (1 << 18))
+            logp[part], unknown[part] = self._log_probability(cell[part], h1[part], h2[part])
+        return logp, unknown
+
+    def _log_probability(self, cell, h1, h2):
+        w, cells = self.weights, self.cells
+        width = len(cells.share) + 1
+        pairs, of = np.unique(h1 * width + h2, return_inverse=True)  # each distinct context once
+        ctx = _context(w, pairs // width, pairs % width)
+        log_z = _log_sums(ctx, w["g"])
+        group = cells.group[cell]
+        logp = np.einsum("ij,ij->i", ctx[of], w["g"][group]) - log_z[of]
+        inner = np.flatnonzero(cells.size[group] > 1)
+        inner = inner[np.argsort(group[inner], kind="stable")]
+        edges = np.flatnonzero(np.diff(group[inner], prepend=-1, append=-1))
+        for a, b in zip(edges, edges[1:]):
+            at = inner[a:b]
+            first, last = cells.starts[group[at[0]]], cells.starts[group[at[0]] + 1]
+            x = ctx[of[at]]
+            logp[at] += np.einsum("ij,ij->i", x, w["q"][cell[at]]) - _log_sums(x, w["q"][first:last])
+        return logp, (ctx @ w["g"][1] - log_z)[of]
+
+    def log_rest(self, cell: np.ndarray) -> np.ndarray:
+        """Log of the discounted tokens of a hashed cell, 0 elsewhere."""
+        left = self.cells.left[cell]
+        return np.log(np.where(left > 0, left, 1.0))
 
 
 def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Rows above a count that at most ``most`` rows reach, found in a histogram of
-    log counts (a few hundred cells)."""
+    """At most ``most`` rows of the largest counts, found in a histogram of log counts (a
+    few hundred cells). Of the last cell, whose counts differ by a tenth, those in the
+    first of 4,096 ranges of the key."""
     cell = F.floor(F.log2(F.col("n").cast("double")) * 8)
-    cells = sorted(((r["cell"], r["count"]) for r in counts.groupBy(cell.alias("cell")).count().collect()), reverse=True)
-    held, least = 0, None
-    for c, rows in cells:
+    span = F.shiftrightunsigned(F.col("key"), 52)
+    held = 0
+    for c, rows in sorted(((r["cell"], r["count"]) for r in counts.groupBy(cell.alias("cell")).count().collect()), reverse=True):
+        if held + rows > most:
+            spans = sorted((r["span"], r["count"]) for r in counts.where(cell == c).groupBy(span.alias("span")).count().collect())
+            up_to = np.cumsum([held] + [x for _, x in spans])
+            fits = int(np.searchsorted(up_to, most, "right")) - 1
+            return counts.where((cell > c) | ((cell == c) & (span < (spans[fits][0] if fits < len(spans) else 1 << 12))))
         held += rows
-        if held > most:
-            break
-        least = c
-    return counts.where(F.lit(False) if least is None else cell >= least)
+    return counts
+
+
+def make_cells(keys: np.ndarray, n: np.ndarray, ends: int, tokens: np.ndarray, types: np.ndarray, discount: float, p: LmParams) -> Cells:
+    """Cells from the words with one of their own (keys, counts) and the tokens and
+    distinct words of each hash bucket."""
+    buckets = len(tokens)
+    freed = discount * types
+    unknown = freed.sum()
+    mass = np.concatenate([[max(ends, 1), unknown if ends else 1], n, tokens - freed])
+    order = np.concatenate([[0, 1], 2 + np.argsort(-mass[2:], kind="stable")])
+    place = np.empty(len(mass), np.int64)
+    place[order] = np.arange(len(mass))
+    none = np.zeros(2 + len(keys))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        free = np.concatenate([none, np.where(tokens > 0, freed / tokens, 0.0)])
+    heads = min(p.heads, len(mass))
+    size = max(1, math.ceil(math.sqrt(len(mass) - heads)))
+    known = np.concatenate([[END], keys]).astype(np.uint64)
+    by_key = np.argsort(known)
+    return Cells(known[by_key], np.concatenate([place[:1], place[2:2 + len(keys)]])[by_key], place[-buckets:],
+                 mass[order] / mass.sum(), free[order], np.concatenate([none, tokens - freed])[order],
+                 np.unique(np.concatenate([np.arange(heads), np.arange(heads, len(mass), size), [len(mass)]])))
 
 
 def fit(train: DataFrame, params: LmParams = LmParams()) -> LanguageModel:
@@ -278,45 +401,42 @@ def fit(train: DataFrame, params: LmParams = LmParams()) -> LanguageModel:
     counts = materialize(token_counts(train), "lm-counts")
     end = int(signed(np.array([END]))[0])
     stats = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct"),
-                       F.count(F.when(F.col("n") == 1, 1)).alias("n1"), F.count(F.when(F.col("n") == 2, 1)).alias("n2")).first()
+                       F.count(F.when(F.col("n") == 1, 1)).alias("n1"), F.count(F.when(F.col("n") == 2, 1)).alias("n2"),
+                       F.coalesce(F.sum(F.when(F.col("key") == end, F.col("n"))), F.lit(0)).alias("ends")).first()
     hot = _most_frequent(counts, p.hot_words).toPandas()  # hot_words rows at most
     keys, n = unsigned(hot["key"].to_numpy(np.int64)), hot["n"].to_numpy(np.int64)
-    order = np.lexsort((keys, -n))
-    keys, n = keys[order], n[order]
-    # Classes: the end, then the most frequent words; the last class is everything rarer.
-    frequent = np.flatnonzero(keys != END)[:p.classes - 2]
-    vocab = np.concatenate([[END], keys[frequent]]).astype(np.uint64)
-    vocab_n = np.concatenate([n[keys == END] if (keys == END).any() else [0], n[frequent]])
-    if stats["total"] and not (keys == END).any():
-        vocab_n[0] = counts.where(F.col("key") == end).agg(F.sum("n")).first()[0]
-    share = np.zeros(p.classes)
-    share[:len(vocab)] = vocab_n
-    rare_tokens = int(stats["total"] - vocab_n.sum())
-    rare_types = max(0, int(stats["distinct"] - len(vocab))) if stats["total"] else 0
-    discount = stats["n1"] / max(1, stats["n1"] + 2 * stats["n2"])
-    discount = min(0.95, max(0.05, discount))
-    share[-1] = max(rare_tokens, 1)   # unknown words belong to it, so it is never empty
-    share[0] = max(share[0], 1)
-    share = share / share.sum()
-    order = np.argsort(vocab)
-    vocabulary = (vocab[order], np.arange(len(vocab))[order])
-    w = initial_parameters(p, share)
+    discount = min(0.95, max(0.05, stats["n1"] / max(1, stats["n1"] + 2 * stats["n2"])))
+    buckets = 1 << max(4, math.ceil(math.log2(max(1.0, p.growth * math.sqrt(stats["distinct"])))))
+    own = np.flatnonzero((keys != END) & (n > 1))  # words seen once share hashed cells
+    own = own[np.lexsort((keys[own], -n[own]))][:p.own * buckets]
+    tokens, types = np.zeros(buckets), np.zeros(buckets)
+    bucket = F.col("key").bitwiseAND(F.lit(buckets - 1))
+    for r in counts.where(F.col("key") != end).groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():
+        tokens[r["b"]], types[r["b"]] = r["n"], r["k"]
+    of = (keys[own] & np.uint64(buckets - 1)).astype(np.int64)
+    tokens -= np.bincount(of, n[own], buckets)
+    types -= np.bincount(of, minlength=buckets)
+    cells = make_cells(keys[own], n[own], stats["ends"], tokens, types, discount, p)
+    w = initial_parameters(p, cells, stats["total"] > 0)
     if stats["total"]:
         for _ in range(p.rounds):
-            w = _train_round(train, w, vocabulary, share, p)
-    w["b"][share == 0] = -1e9
+            w = _train_round(train, w, cells, stats["total"], p)
+    w["g"][np.add.reduceat(cells.share, cells.starts[:-1]) == 0, -1] = -1e9
+    w["q"][cells.share == 0, -1] = -1e9
+    if cells.share[1] == 0:  # no word shares a cell: the unknown word is as rare as one token more
+        w["g"][1] = 0
+        w["g"][1, -1] = -math.log(stats["total"] + 1)
+    if stats["ends"] and not (keys == END).any():  # the end's count is always at hand
+        keys, n = np.append(keys, END), np.append(n, stats["ends"])
     by_key = np.argsort(keys)
-    return LanguageModel(p, w, share, vocabulary, (keys[by_key], n[by_key]), int(stats["total"]), int(stats["distinct"]),
-                         discount, rare_tokens, rare_types, counts)
+    return LanguageModel(p, w, cells, (keys[by_key], n[by_key]), int(stats["total"]), int(stats["distinct"]), discount, counts)
 
 
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every row."""
     counts = model.counts
     lean = LanguageModel(**{**model.__dict__, "counts": None})  # what the tasks need
-    rare_class = model.params.classes - 1
     denominator = math.log10(model.total + model.distinct + 1)
-    known, ids = model.vocabulary
     hot_keys, hot_n = model.hot
     id_type = docs.schema["doc_id"].dataType
 
@@ -325,14 +445,15 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
             id_column = batch.column(0)
             for first, n, keys, row in word_keys(batch, 1):
                 stream, row, ends = with_ends(n, keys, row)
-                cls = _class_ids(stream, known, ids, rare_class)
-                h1, h2 = _contexts(cls, ends, lean.params.classes)
-                logp = lean.class_log_probability(cls, h1, h2).astype(np.float64)
-                c = _class_ids(stream, hot_keys, hot_n, -1)   # -1: not among the hot words
+                cell = lean.cells.of(stream)
+                logp, unknown = lean.log_probability(cell, *_contexts(cell, ends, len(lean.cells.share)))
+                logp -= lean.log_rest(cell)
+                c = _look_up(stream, hot_keys, hot_n, -1)   # -1: not among the hot words
                 hot = c >= 0
-                rare = hot & (cls == rare_class)
-                logp[rare] += lean.rare_log_probability(c[rare])
-                sums = {"lm": np.bincount(row, logp / math.log(10), n), "n_tokens": np.bincount(row, minlength=n),
+                logp[hot] += np.where(lean.cells.left[cell[hot]] > 0, np.log(c[hot] - lean.discount), 0.0)
+                logp /= math.log(10)
+                unknown /= math.log(10)
+                sums = {"lm": np.bincount(row[hot], logp[hot], n), "n_tokens": np.bincount(row, minlength=n),
                         "n_known": np.bincount(row[hot], minlength=n),
                         "base": np.bincount(row[hot], np.log10(c[hot] + 1.0), n)}
                 # One head row a document, then one row for each of its distinct words without a count so far.
@@ -341,36 +462,36 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 r_open, k_open = r_open[order], k_open[order]
                 new = np.flatnonzero(np.append(True, (r_open[1:] != r_open[:-1]) | (k_open[1:] != k_open[:-1]))[:len(r_open)])
                 times = np.diff(np.append(new, len(r_open)))
+                lm, lm_unknown = (np.add.reduceat(x[~hot][order], new) if len(new) else np.zeros(0) for x in (logp, unknown))
                 r_open, k_open = r_open[new], k_open[new]
                 yield pa.RecordBatch.from_arrays(
                     [id_column.slice(first, n), pa.array(np.full(n, number)), pa.array(np.arange(first, first + n)),
                      pa.array(signed(mix64(np.arange(first, first + n, dtype=np.uint64)))), pa.array(np.ones(n, bool)),
-                     pa.array(np.zeros(n, np.int64)), *(pa.array(sums[k]) for k in ("n_tokens", "n_known", "base", "lm"))], schema=schema(id_column.type))
+                     pa.array(np.zeros(n, np.int64)), *(pa.array(sums[k]) for k in ("n_tokens", "n_known", "base", "lm")), pa.array(np.zeros(n))], schema=schema(id_column.type))
                 for at in range(0, len(new), 1 << 16):
-                    r, k, t = r_open[at:at + (1 << 16)], k_open[at:at + (1 << 16)], times[at:at + (1 << 16)]
+                    r, k, t, x, y = (v[at:at + (1 << 16)] for v in (r_open, k_open, times, lm, lm_unknown))
                     zero = np.zeros(len(r), np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.nulls(len(r), id_column.type), pa.array(np.full(len(r), number)), pa.array(r + first), pa.array(signed(k)),
-                         pa.array(np.zeros(len(r), bool)), pa.array(t), pa.array(zero), pa.array(zero), pa.array(zero.astype(float)), pa.array(zero.astype(float))], schema=schema(id_column.type))
+                         pa.array(np.zeros(len(r), bool)), pa.array(t), pa.array(zero), pa.array(zero), pa.array(zero.astype(float)), pa.array(x), pa.array(y)], schema=schema(id_column.type))
 
     def schema(id_arrow):
         return pa.schema([("doc_id", id_arrow), ("batch", pa.int64()), ("row", pa.int64()), ("key", pa.int64()), ("head", pa.bool_()), ("times", pa.int64()),
-                          ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("lm", pa.float64())])
+                          ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("lm", pa.float64()), ("lm_unknown", pa.float64())])
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type.simpleString()}, batch long, row long, key long, head boolean, times long, n_tokens long, n_known long, base double, lm double")
+    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type.simpleString()}, batch long, row long, key long, head boolean, times long, n_tokens long, n_known long, base double, lm double, lm_unknown double")
     rows = rows.withColumn("part", F.spark_partition_id())
     # Head rows look for a count too (under a spread key) and ignore what they find.
     found = rows.join(counts.select("key", F.col("n").alias("c")), "key", "left")
     c = F.when(~F.col("head"), F.coalesce("c", F.lit(0)))
-    n_rare = float(max(model.rare_tokens, 1))
-    inside = F.when(c > 0, F.log10((c - model.discount) / n_rare)).otherwise(F.lit(
-        math.log10(model.discount * model.rare_types / n_rare) if model.rare_tokens else 0.0))
+    # A word that has a count here has no cell of its own, or would be among the hot words.
+    inside = F.when(c > 0, F.col("lm") + F.col("times") * F.log10(c - model.discount)).otherwise(F.col("lm_unknown"))
     per = found.groupBy("part", "batch", "row").agg(
         F.max("doc_id").alias("doc_id"),
         F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
         F.sum(F.col("base") + F.when(~F.col("head"), F.col("times") * F.log10(c + 1.0)).otherwise(0.0)).alias("base"),
-        F.sum(F.col("lm") + F.when(~F.col("head"), F.col("times") * inside).otherwise(0.0)).alias("score"))
+        F.sum(F.when(F.col("head"), F.col("lm")).otherwise(inside)).alias("score"))
     return per.select("doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
                       (F.col("base") - F.col("n_tokens") * denominator).alias("base_score"), "score")
 

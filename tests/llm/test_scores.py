@@ -92,42 +92,99 @@ def brute_scores(rows, folds=7, out=2):
 @pytest.mark.parametrize("hot", [1 << 18, 7])
 def test_lm_base_scores(make_docs, edge_rows, hot):
     rows = edge_rows + [(i, f"the cat {i} sat on the mat {i % 3} rare{i}") for i in range(20, 60)]
-    got = lm_score.score_folds(make_docs(rows), params=lm_score.LmParams(hot_words=hot, classes=16)).collect()
+    got = lm_score.score_folds(make_docs(rows), params=lm_score.LmParams(hot_words=hot, heads=8)).collect()
     assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == brute_scores(rows)
     assert all(r.score < 0 for r in got)
 
 
-def test_lm_is_normalised_and_better_than_its_base(spark):
+def lm_by_brute_force(model, counts, word, before):
+    """Natural log P(word | the cells of the two words before), by loops over all groups and cells."""
+    w, cells = model.weights, model.cells
+    r1, r2 = (w["r"][k].astype(float) for k in before)
+    ctx = np.append(r1 * w["c"][0] + r2 * w["c"][1], 1.0)
+    softmax = lambda rows: np.exp(rows @ ctx) / np.exp(rows @ ctx).sum()
+    n = counts.get(word, 0)
+    cell = cell_of(model, word) if n else 1
+    group = int(np.searchsorted(cells.starts, cell, "right")) - 1
+    first, last = cells.starts[group], cells.starts[group + 1]
+    p = softmax(w["g"].astype(float))[group] * softmax(w["q"][first:last].astype(float))[cell - first]
+    if cell in set(cells.hashed.tolist()):
+        p *= (n - model.discount) / cells.left[cell]
+    return math.log(p)
+
+
+def cell_of(model, word):
+    key = lm_score.END if word == b"" else lm_score.span_hashes(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]))[0]
+    return int(model.cells.of(np.array([key], np.uint64))[0])
+
+
+LM_ROWS = [(i, f"the cat {i % 9} sat on the mat {i % 3} rare{i}") for i in range(20, 90)] + [(5, None), (6, ""), (7, "dog Dog the"), (9, "never seen words " * 3)]
+
+
+@pytest.mark.parametrize("hot", [1 << 18, 7])
+def test_lm_scores_by_brute_force(make_docs, hot):
+    docs = make_docs([(i, t) for i, t in LM_ROWS if i != 9])
+    model = lm_score.fit(docs, lm_score.LmParams(heads=6, hot_words=hot))
+    counts = collections.Counter(t for i, x in LM_ROWS if i != 9 for t in tokens(x))
+    start = len(model.cells.share)
+    got = {r.doc_id: r.score for r in lm_score.score(make_docs(LM_ROWS), model).collect()}
+    for i, text in LM_ROWS:
+        before, want = (start, start), 0.0
+        for t in tokens(text):
+            want += lm_by_brute_force(model, counts, t, before)
+            before = (cell_of(model, t), before[0])
+        assert got[i] == pytest.approx(want / math.log(10), abs=1e-3)
+    # All known words, the end and the unknown word have the probability 1 together.
+    for before in [(start, start), (0, start), (cell_of(model, b"the"), cell_of(model, b"rare33"))]:
+        assert sum(math.exp(lm_by_brute_force(model, counts, t, before)) for t in [*counts, b"unknown"]) == pytest.approx(1, abs=1e-4)
+
+
+def test_lm_every_word_has_a_vector_and_held_out_text_gains(spark):
     docs = table(spark, SF, "documents")
-    params = lm_score.LmParams(classes=128)
-    model = lm_score.fit(docs, params)
-    h1, h2 = np.array([0, 5, params.classes, 127]), np.array([3, params.classes, params.classes, 1])
-    total = sum(np.exp(model.class_log_probability(np.full(4, k), h1, h2)) for k in range(params.classes))
-    assert total == pytest.approx(1, abs=1e-4)
-    counts = {r.key: r.n for r in model.counts.collect()}
-    vocabulary = set(model.vocabulary[0].view(np.int64).tolist())
-    rare = np.array([n for k, n in counts.items() if k not in vocabulary])
-    inside = np.exp(model.rare_log_probability(rare)).sum() + np.exp(model.rare_log_probability(np.array([0])))[0]
-    assert inside == pytest.approx(1, abs=1e-6)
+    lang = {r.doc_id: r.lang for r in docs.collect()}
     rows = [r for r in lm_score.score_folds(docs).collect() if r.held_out]
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+    for name in {x for x in lang.values() if x}:
+        of = [r for r in rows if lang[r.doc_id] == name]
+        assert sum(r.score for r in of) > sum(r.base_score for r in of)
+    model = lm_score.fit(docs)
+    assert (model.cells.share[model.cells.hashed] > 0).mean() > 0.95  # the tail meets its cells
+    assert np.abs(model.weights["r"][model.cells.hashed]).sum(1).astype(bool).mean() > 0.95
+
+
+def test_lm_cells_grow_and_ties_do_not_empty_the_hot_words(spark):
+    p = lm_score.LmParams()
+    sizes = []
+    for words in (100, 10_000):
+        keys = np.arange(10, 10 + words, dtype=np.uint64)
+        cells = lm_score.make_cells(keys, np.full(words, 2), 5, np.full(64, 9.0), np.full(64, 3.0), 0.5, p)
+        sizes.append(len(cells.share))
+        assert cells.share.sum() == pytest.approx(1) and cells.group[-1] == len(cells.size) - 1
+        assert (cells.group[cells.of(keys)] >= 0).all() and len(set(cells.of(keys).tolist())) == words
+    assert sizes[1] > sizes[0]
+    rng = np.random.default_rng(1)
+    ties = spark.createDataFrame([(int(k), 3 if i < 5 else 1) for i, k in enumerate(rng.integers(-2**63, 2**63, 4000))], "key long, n long")
+    got = [r.n for r in lm_score._most_frequent(ties, 1000).collect()]
+    assert 980 <= len(got) <= 1000 and got.count(3) == 5
 
 
 def test_nce_learns_what_follows_what():
-    """On a stream in which each class has one successor, the model finds it."""
-    p = lm_score.LmParams(classes=6, dim=8, noise=12, batch=64)
-    stream = np.tile([0, 1, 2, 3, 4], 2000)
-    share = np.array([.2, .2, .2, .2, .2, 1e-6])
-    share /= share.sum()
-    w = lm_score.initial_parameters(p, share)
-    state = {k: np.zeros((len(v), 1), np.float32) for k, v in w.items()}
+    """On a stream in which each word has one successor, the model finds it, in groups of one and of several cells."""
+    p = lm_score.LmParams(dim=8, noise=12, batch=64, heads=3)
+    cells = lm_score.make_cells(np.array([7, 8, 9, 10], np.uint64), np.array([20, 20, 20, 20]), 20, np.full(1, 1.0), np.full(1, 1.0), 0.5, p)
+    assert cells.size.max() > 1
+    loop = np.concatenate([[0], cells.of(np.array([7, 8, 9, 10], np.uint64))])
+    stream = np.tile(loop, 2000)
+    w = lm_score.initial_parameters(p, cells)
+    state = {k: np.zeros_like(v) for k, v in w.items()}
+    met = {k: np.zeros(len(v)) for k, v in w.items()}
     rng = np.random.default_rng(0)
     for at in range(2, len(stream) - p.batch, p.batch):
         i = np.arange(at, at + p.batch)
-        lm_score.nce_step(w, stream[i - 1], stream[i - 2], stream[i], rng.choice(6, p.noise, p=share), share, state, p)
-    model = lm_score.LanguageModel(p, w, share, None, None, 0, 0, .5, 1, 1, None)
-    got = np.exp(model.class_log_probability(np.array([1, 3, 2]), np.array([0, 2, 0]), np.array([4, 1, 4])))
-    assert got[0] > 0.8 and got[1] > 0.8 and got[2] < 0.1
+        lm_score.nce_step(w, stream[i - 1], stream[i - 2], stream[i], cells, state, met, rng, p)
+    model = lm_score.LanguageModel(p, w, cells, None, 0, 0, .5, None)
+    got = np.exp(model.log_probability(loop[[1, 2, 3, 4]], loop[[0, 1, 2, 3]], loop[[4, 0, 1, 2]])[0])
+    assert (got > 0.75).all()
+    assert np.exp(model.log_probability(loop[[2]], loop[[0]], loop[[4]])[0])[0] < 0.1
 
 
 def test_lm_without_training_rows(make_docs):
@@ -138,5 +195,5 @@ def test_lm_without_training_rows(make_docs):
 
 def test_word_longer_than_a_slice(make_docs):
     rows = [(1, "x" * (SLICE_BYTES + 10) + " y"), (2, "x" * (SLICE_BYTES + 10)), (4, "y")]
-    got = lm_score.score_folds(make_docs(rows), params=lm_score.LmParams(classes=8)).collect()
+    got = lm_score.score_folds(make_docs(rows), params=lm_score.LmParams(heads=4)).collect()
     assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == brute_scores(rows)
