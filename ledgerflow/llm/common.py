@@ -34,12 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: the lineage is cut
-    by files that outlive any executor."""
+    by files that outlive any executor. ``partitions`` get folders of their own."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

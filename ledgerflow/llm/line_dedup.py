@@ -161,16 +161,26 @@ class Shard:
         return known & ~keeper
 
 
-def _load(path: str, shard: int | None = None) -> list[dict]:
-    """Rows of the written shards, all or one, from the shared folder."""
+def _load(path: str, shard: int) -> list[dict]:
+    """The row of a written shard, from its own folder in the shared one; none if no key lies there."""
     from pyarrow import fs as pafs
     from pyarrow import parquet as pq
     store, root = pafs.FileSystem.from_uri(path)
-    files = [x.path for x in store.get_file_info(pafs.FileSelector(root, recursive=True)) if x.path.endswith(".parquet")]
-    rows: list[dict] = []
-    for f in files:
-        rows += pq.read_table(f, filesystem=store, filters=None if shard is None else [("shard", "=", shard)]).to_pylist()
-    return rows
+    folder = pafs.FileSelector(f"{root}/shard={shard}", allow_not_found=True)
+    files = [x.path for x in store.get_file_info(folder) if x.path.endswith(".parquet")]
+    return [r for f in files for r in pq.read_table(f, filesystem=store, partitioning=None).to_pylist()]
+
+
+def shard_deals(counts: DataFrame, shards: int, tasks: int) -> np.ndarray:
+    """Over how many places the lines of each shard are dealt: those that repeat by their
+    number, which is known, the others evenly. Places are some for each task, so that
+    their hashes fill the tasks evenly."""
+    deals = np.full(shards, -(-8 * tasks // shards))
+    weights = counts.groupBy(F.pmod("h", F.lit(shards)).alias("shard")).agg(F.sum("n").alias("n")).collect()  # one row a shard
+    place = max(1, sum(r["n"] for r in weights) // (8 * tasks))
+    for r in weights:
+        deals[r["shard"]] += r["n"] // place
+    return deals
 
 
 def _lines(text: str | None) -> list[bytes]:
@@ -185,12 +195,12 @@ def dedup_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFrame
     counts = materialize(line_counts(docs, p), "line-counts")
     keys = counts.count()
     shards = max(1, -(-keys // p.shard_keys))
-    table = materialize(build_shards(counts, shards), "line-shards")
+    table = materialize(build_shards(counts, shards), "line-shards", "shard")
     total = table.agg(F.coalesce(F.sum(F.length("fingerprints") + F.length("counts") + F.length("keepers") + F.length("named")), F.lit(0))).first()[0]
     if 2 * total <= p.broadcast_bytes:
         rows = spark.sparkContext.broadcast([r.asDict() for r in table.collect()])
         return _probe_local(docs, rows, shards, p)
-    return _probe_routed(docs, table, shards, p)
+    return _probe_routed(docs, table, shard_deals(counts, shards, shuffle_tasks(docs)), p)
 
 
 def _rewrite(part: pa.RecordBatch, drops: list[set | None], schema: list[str], p: LineParams):
@@ -249,19 +259,29 @@ def _probe_local(docs: DataFrame, shard_rows, shards: int, p: LineParams) -> Dat
     return docs.mapInArrow(run, _out_schema(docs, p))
 
 
-def _probe_routed(docs: DataFrame, table: DataFrame, shards: int, p: LineParams) -> DataFrame:
-    """Line hashes meet their shard; the numbers of dropped lines come back by row position."""
-    path = table.inputFiles()[0].rsplit("/", 1)[0]
-    placed = docs.withColumn("__rk", F.monotonically_increasing_id())
-
+def route_lines(placed: DataFrame, deals: np.ndarray, p: LineParams) -> DataFrame:
+    """``rk, number, h, f, doc_id, shard`` of every line with a long enough key; the lines
+    of a shard, and of a frequent key, lie in as many tasks as they are dealt over."""
     def hashes(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 row, number, h, f, ids, has = _line_arrays(part, p)
+                rk = part.column("__rk").to_numpy()[row]
+                shard = np.mod(h, len(deals))
+                deal = mix64((rk + number).astype(np.uint64)) % deals[shard].astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("__rk").take(pa.array(row)), pa.array(number), pa.array(h), pa.array(f), pa.array(ids[row], mask=~has[row])],
-                    names=["rk", "number", "h", "f", "doc_id"])
+                    [pa.array(rk), pa.array(number), pa.array(h), pa.array(f), pa.array(ids[row], mask=~has[row]), pa.array(shard), pa.array(deal.astype(np.int64))],
+                    names=["rk", "number", "h", "f", "doc_id", "shard", "deal"])
+
+    lines = placed.select("__rk", "doc_id", "text").mapInArrow(hashes, "rk long, number long, h long, f long, doc_id long, shard long, deal long")
+    return lines.repartition(shuffle_tasks(placed), "shard", "deal").drop("deal")
+
+
+def _probe_routed(docs: DataFrame, table: DataFrame, deals: np.ndarray, p: LineParams) -> DataFrame:
+    """Line hashes meet their shard; the numbers of dropped lines come back by row position."""
+    path = table.inputFiles()[0].rsplit("/", 2)[0]
+    placed = docs.withColumn("__rk", F.monotonically_increasing_id())
 
     def probe(batches):
         current, shard = None, None
@@ -280,11 +300,7 @@ def _probe_routed(docs: DataFrame, table: DataFrame, shards: int, p: LineParams)
                 gone = shard.dropped(part.column("h").to_numpy(), part.column("f").to_numpy(), ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(gone)) for c in ("rk", "number")], names=["__rk", "number"])
 
-    n = shuffle_tasks(docs)
-    lines = placed.select("__rk", "doc_id", "text").mapInArrow(hashes, "rk long, number long, h long, f long, doc_id long")
-    # A frequent line would fill its shard's task: each shard is dealt over several.
-    routed = (lines.withColumn("shard", F.pmod("h", F.lit(shards))).withColumn("deal", F.pmod("rk", F.lit(max(1, n // shards))))
-              .repartition(n, "shard", "deal").sortWithinPartitions("shard"))
+    routed = route_lines(placed, deals, p).sortWithinPartitions("shard")
     drops = routed.mapInArrow(probe, "__rk long, number long").groupBy("__rk").agg(F.collect_list("number").alias("__drop"))
     names = docs.columns
 

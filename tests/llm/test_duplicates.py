@@ -131,3 +131,17 @@ def test_perfect_hash():
         levels = line_dedup.build_mph(h)
         mph = line_dedup.Mph([np.packbits(x).tobytes() for x in levels], [len(x) for x in levels])
         assert sorted(mph.index(h).tolist()) == list(range(n))
+
+
+@pytest.mark.parametrize("shards", [2, 8, 40])
+def test_hot_line_is_dealt_at_any_number_of_shards(spark, make_docs, shards):
+    """A line in a third of the documents, and more shards than tasks: no task is far above the median."""
+    hot = "one line that a third of all documents hold"
+    rows = [(i, f"{hot if i % 3 == 0 else f'a line of the document {i} alone'}\nsome other line of {i} and {i % 50}") for i in range(6000)]
+    docs = make_docs(rows)
+    p = line_dedup.LineParams()
+    deals = line_dedup.shard_deals(line_dedup.line_counts(docs, p), shards, line_dedup.shuffle_tasks(docs))
+    routed = line_dedup.route_lines(docs.withColumn("__rk", F.monotonically_increasing_id()), deals, p)
+    sizes = [r["count"] for r in routed.groupBy(F.spark_partition_id().alias("at")).count().collect()]
+    assert sum(sizes) == 12000
+    assert max(sizes) < 2.5 * np.median(sizes)
