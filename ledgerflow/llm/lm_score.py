@@ -203,6 +203,29 @@ def _chance(x: np.ndarray) -> np.ndarray:
     return (1 / (1 + np.exp(np.clip(-x, -30, 30)))).astype(np.float32)
 
 
+def _rows(a: np.ndarray, wide: int) -> tuple[int, int]:
+    """Rows of a block whose product with ``wide`` columns is so small that the algebra
+    library starts no threads (a task has one core), and the rows in whole blocks."""
+    rows = max(1, (1 << 18) // (a.shape[1] * wide))
+    return rows, len(a) // rows * rows
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` by blocks of rows."""
+    rows, whole = _rows(a, b.shape[1])
+    out = np.empty((len(a), b.shape[1]), np.float32)
+    np.matmul(a[:whole].reshape(-1, rows, a.shape[1]), b, out=out[:whole].reshape(-1, rows, b.shape[1]))
+    np.matmul(a[whole:], b, out=out[whole:])
+    return out
+
+
+def _sum_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` by blocks of rows."""
+    rows, whole = _rows(a, b.shape[1])
+    blocks = a[:whole].reshape(-1, rows, a.shape[1]).transpose(0, 2, 1) @ b[:whole].reshape(-1, rows, b.shape[1])
+    return blocks.sum(0) + a[whole:].T @ b[whole:]
+
+
 def _context(w: dict, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     ctx = np.ones((len(h1), w["g"].shape[1]), np.float32)
     ctx[:, :-1] = w["r"][h1] * w["c"][0] + w["r"][h2] * w["c"][1]
@@ -211,7 +234,7 @@ def _context(w: dict, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
 
 def _climb(w: np.ndarray, state: np.ndarray, met: np.ndarray, rows: np.ndarray, delta: np.ndarray, rate: float) -> None:
     """One adaptive step on the given rows of a table, where rows repeat."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows)
     rows = rows[order]
     at = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
     hit = rows[at]
@@ -230,9 +253,9 @@ def nce_step(w: dict, h1, h2, target, cells: Cells, state: dict, met: dict, rng,
     log_noise = cells.log_group + np.float32(math.log(p.noise))
     gt, gn = w["g"][group], w["g"][noise]
     up = _chance(log_noise[group] - np.einsum("ij,ij->i", ctx, gt))[:, None]  # 1 - P(data | true group)
-    down = -_chance(ctx @ gn.T - log_noise[noise])                            # -P(data | noise group)
-    d_ctx = up * gt + down @ gn
-    steps = [("g", np.concatenate([group, noise]), np.concatenate([up * ctx, down.T @ ctx]))]
+    down = -_chance(_product(ctx, gn.T) - log_noise[noise])                   # -P(data | noise group)
+    d_ctx = up * gt + _product(down, gn)
+    steps = [("g", np.concatenate([group, noise]), np.concatenate([up * ctx, _sum_product(down, ctx)]))]
     inner = np.flatnonzero(cells.size[group] > 1)
     if len(inner):
         # Tokens of a group are cut into blocks that share their noise cells.
@@ -304,13 +327,21 @@ def _train_round(train: DataFrame, w: dict, cells: Cells, total: int, p: LmParam
 
 
 def _log_sums(ctx: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Log of the sum of exponentials over all rows of the table, by matrix products."""
+    """Log of the sum of exponentials over all rows of the table, by matrix products
+    that stay in the processor's cache."""
     out = np.empty(len(ctx), np.float32)
-    for at in range(0, len(ctx), 4096):
-        s = ctx[at:at + 4096] @ table.T
-        top = s.max(1, keepdims=True)
-        s -= top
-        out[at:at + 4096] = top[:, 0] + np.log(np.exp(s, out=s).sum(1))
+    rows = max(16, (1 << 17) // len(table))
+    columns = np.ascontiguousarray(table.T)
+    # No score is above this; only where sums could overflow or vanish each row's largest is taken off.
+    reach = np.sqrt((ctx[:, :-1] ** 2).sum(1).max(initial=0) * (table[:, :-1] ** 2).sum(1).max()) + abs(table[:, -1].max())
+    for at in range(0, len(ctx), rows):
+        s = _product(ctx[at:at + rows], columns)
+        if reach < 60:
+            out[at:at + rows] = np.log(np.exp(s, out=s).sum(1))
+        else:
+            top = s.max(1, keepdims=True)
+            s -= top
+            out[at:at + rows] = top[:, 0] + np.log(np.exp(s, out=s).sum(1))
     return out
 
 
@@ -349,7 +380,7 @@ class LanguageModel:
             first, last = cells.starts[group[at[0]]], cells.starts[group[at[0]] + 1]
             x = ctx[of[at]]
             logp[at] += np.einsum("ij,ij->i", x, w["q"][cell[at]]) - _log_sums(x, w["q"][first:last])
-        return logp, (ctx @ w["g"][1] - log_z)[of]
+        return logp, (np.einsum("ij,j->i", ctx, w["g"][1]) - log_z)[of]
 
     def log_rest(self, cell: np.ndarray) -> np.ndarray:
         """Log of the discounted tokens of a hashed cell, 0 elsewhere."""
