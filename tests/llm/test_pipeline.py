@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
 
 
