@@ -281,17 +281,23 @@ def _record_rows(spark: SparkSession, files: DataFrame, pending: DataFrame, grou
     return out.join(F.broadcast(pending), FILE_KEY, "left_semi")
 
 
+def _routed(rows: DataFrame, routing: tuple[str, str] | None) -> DataFrame:
+    """``rows`` with ``record_key`` and ``route_date`` of the good records."""
+    if not routing:
+        return rows.withColumns({"record_key": F.lit(None).cast("string"), "route_date": F.lit(None).cast("date")})
+    # A projection of its own: one parse gives both columns.
+    rows = rows.withColumn("_v", F.when(~F.col("is_error"), F.try_parse_json("raw_payload")))
+    return rows.withColumns({"record_key": F.try_variant_get("_v", routing[0], "string"),
+                             "route_date": F.try_variant_get("_v", routing[1], "date")}).drop("_v")
+
+
 def _append(rows: DataFrame, target_path: str, as_of: dt.datetime, load_id: str,
             routing: tuple[str, str] | None) -> None:
-    if routing:
-        v = F.try_parse_json("raw_payload")
-        key, day = F.try_variant_get(v, routing[0], "string"), F.try_variant_get(v, routing[1], "date")
-    else:
-        key, day = F.lit(None).cast("string"), F.lit(None).cast("date")
     loaded_at = as_of_literal(as_of)
-    (rows.select("raw_payload", loaded_at.alias("loaded_at"), "source_file",
+    (_routed(rows, routing).select(
+                 "raw_payload", loaded_at.alias("loaded_at"), "source_file",
                  "source_row", "file_size", "file_mtime", "is_error",
-                 F.when(~F.col("is_error"), key).alias("record_key"), F.when(~F.col("is_error"), day).alias("route_date"),
+                 "record_key", "route_date",
                  F.to_date(loaded_at).alias("load_date"), F.lit(load_id).alias("load_id"))
          .write.mode("append").partitionBy("load_date", "load_id").parquet(target_path))
 
