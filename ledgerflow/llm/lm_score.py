@@ -77,6 +77,24 @@ def word_keys(batch, column):
         yield first, n, span_hashes(data, starts, ends), row
 
 
+def word_blocks(batch, column, size: int = 1 << 21):
+    """``word_keys`` with neighbouring runs joined up to some ``size`` words."""
+    held, words = [], 0
+    for run in word_keys(batch, column):
+        if held and words + len(run[2]) + run[1] > size:
+            yield _joined(held)
+            held, words = [], 0
+        held.append(run)
+        words += len(run[2]) + run[1]
+    if held:
+        yield _joined(held)
+
+
+def _joined(runs):
+    first = runs[0][0]
+    return first, sum(n for _, n, _, _ in runs), np.concatenate([k for _, _, k, _ in runs]), np.concatenate([(r + (at - first)).astype(np.int32) for at, _, _, r in runs])
+
+
 def with_ends(n: int, keys: np.ndarray, row: np.ndarray):
     """The token stream with an end after each row: keys, row, position of each row's end."""
     lengths = np.bincount(row, minlength=n)
@@ -86,7 +104,7 @@ def with_ends(n: int, keys: np.ndarray, row: np.ndarray):
     mask[ends] = False
     out[mask] = keys
     out[ends] = END
-    return out, np.repeat(np.arange(n), lengths + 1), ends
+    return out, np.repeat(np.arange(n, dtype=np.int32), lengths + 1), ends
 
 
 def token_counts(train: DataFrame) -> DataFrame:
@@ -124,11 +142,28 @@ def token_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _look_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray, other) -> np.ndarray:
-    if not len(known):
-        return np.full(len(keys), other, np.int64)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], other)
+class KeyTable:
+    """Sorted distinct hashes, found by their leading bits and a few steps from there."""
+
+    def __init__(self, keys: np.ndarray):
+        self.n = len(keys)
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+        bits = self.n.bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where the table holds each key; -1 where it does not."""
+        at = self.first[keys >> self.shift]
+        behind = np.flatnonzero(self.keys[at] < keys)
+        for _ in range(16):
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < keys[behind]]
+            if not len(behind):
+                break
+        at[behind] = np.searchsorted(self.keys, keys[behind])
+        at[(self.keys[at] != keys) | (at == self.n)] = -1
+        return at
 
 
 @dataclass
@@ -144,8 +179,10 @@ class Cells:
     starts: np.ndarray   # first cell of each group, and the number of cells
 
     def __post_init__(self):
+        self.table = KeyTable(self.keys)
+        self.ids, self.hashed = self.ids.astype(np.int32), self.hashed.astype(np.int32)
         self.size = np.diff(self.starts)
-        self.group = np.repeat(np.arange(len(self.size)), self.size)
+        self.group = np.repeat(np.arange(len(self.size), dtype=np.int32), self.size)
         mass = np.add.reduceat(self.share, self.starts[:-1])
         with np.errstate(divide="ignore", invalid="ignore"):
             self.log_group = np.log(np.maximum(mass, 1e-12)).astype(np.float32)
@@ -155,8 +192,8 @@ class Cells:
         self.groups_up_to = np.cumsum(mass)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        bucket = (keys & np.uint64(len(self.hashed) - 1)).astype(np.int64)
-        return _look_up(keys, self.keys, self.ids, self.hashed[bucket])
+        place = self.table.places(keys)
+        return np.where(place >= 0, self.ids[place], self.hashed[keys & np.uint64(len(self.hashed) - 1)])
 
     def draw_groups(self, rng, n: int) -> np.ndarray:
         u = rng.random(n) * self.groups_up_to[-1]
@@ -200,7 +237,17 @@ def initial_parameters(p: LmParams, cells: Cells, trained: bool = True) -> dict[
 
 
 def _chance(x: np.ndarray) -> np.ndarray:
-    return (1 / (1 + np.exp(np.clip(-x, -30, 30)))).astype(np.float32)
+    out = np.clip(x, -30, 30)
+    np.exp(np.negative(out, out=out), out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
+
+
+def _order(rows: np.ndarray) -> np.ndarray:
+    """Stable order of numbers below 2**32, by 16 bits at a time (numpy sorts these by radix)."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    high = rows >> 16
+    return order[np.argsort(high[order].astype(np.uint16), kind="stable")] if high.any() else order
 
 
 def _rows(a: np.ndarray, wide: int) -> tuple[int, int]:
@@ -228,61 +275,76 @@ def _sum_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _context(w: dict, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     ctx = np.ones((len(h1), w["g"].shape[1]), np.float32)
-    ctx[:, :-1] = w["r"][h1] * w["c"][0] + w["r"][h2] * w["c"][1]
+    ctx[:, :-1] = w["r"].take(h1, 0) * w["c"][0] + w["r"].take(h2, 0) * w["c"][1]
     return ctx
 
 
-def _climb(w: np.ndarray, state: np.ndarray, met: np.ndarray, rows: np.ndarray, delta: np.ndarray, rate: float) -> None:
-    """One adaptive step on the given rows of a table, where rows repeat."""
-    order = np.argsort(rows)
+def _climb(w: np.ndarray, state: np.ndarray, met: np.ndarray, rows: np.ndarray, delta: np.ndarray, times, rate: float) -> None:
+    """One adaptive step on the given rows of a table, where rows repeat; ``times`` is how often each was met."""
+    order = _order(rows)
     rows = rows[order]
     at = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
     hit = rows[at]
-    grad = np.add.reduceat(delta[order], at, axis=0)
-    state[hit] += grad * grad
-    w[hit] += rate * grad / np.sqrt(state[hit] + 1e-8)
-    met[hit] += np.diff(np.append(at, len(rows)))
+    grad = np.add.reduceat(delta.take(order, 0), at, axis=0)
+    total = state.take(hit, 0)
+    total += grad * grad
+    state[hit] = total
+    total += np.float32(1e-8)
+    grad *= np.float32(rate)
+    grad /= np.sqrt(total, out=total)
+    grad += w.take(hit, 0)
+    w[hit] = grad
+    met[hit] += np.diff(np.append(at, len(rows))) if np.isscalar(times) else np.add.reduceat(times[order], at)
 
 
 def nce_step(w: dict, h1, h2, target, cells: Cells, state: dict, met: dict, rng, p: LmParams) -> None:
     """One minibatch: logistic discrimination of the true group from noise groups, and
     of the true cell from noise cells of its group."""
-    ctx = _context(w, h1, h2)
+    r1, r2 = w["r"].take(h1, 0), w["r"].take(h2, 0)
+    ctx = np.ones((len(h1), w["g"].shape[1]), np.float32)
+    ctx[:, :-1] = r1 * w["c"][0] + r2 * w["c"][1]
     group = cells.group[target]
     noise = cells.draw_groups(rng, p.noise)
     log_noise = cells.log_group + np.float32(math.log(p.noise))
-    gt, gn = w["g"][group], w["g"][noise]
+    gt, gn = w["g"].take(group, 0), w["g"][noise]
     up = _chance(log_noise[group] - np.einsum("ij,ij->i", ctx, gt))[:, None]  # 1 - P(data | true group)
     down = -_chance(_product(ctx, gn.T) - log_noise[noise])                   # -P(data | noise group)
-    d_ctx = up * gt + _product(down, gn)
-    steps = [("g", np.concatenate([group, noise]), np.concatenate([up * ctx, _sum_product(down, ctx)]))]
+    d_ctx = _product(down, gn)
+    d_ctx += up * gt
+    steps = [("g", np.concatenate([group, noise]), np.concatenate([up * ctx, _sum_product(down, ctx)]), 1)]
     inner = np.flatnonzero(cells.size[group] > 1)
     if len(inner):
         # Tokens of a group are cut into blocks that share their noise cells.
-        order = inner[np.argsort(group[inner], kind="stable")]
-        of = group[order]
+        inner = inner[_order(group[inner])]
+        of = group[inner]
         first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
         place = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
         begins = place % p.block == 0
-        block = np.cumsum(begins) - 1
-        at = np.full((block[-1] + 1, p.block), -1)
-        at[block, place % p.block] = order
-        real = at >= 0
+        slot = (np.cumsum(begins) - 1) * p.block + place % p.block
         drawn = cells.draw_cells(rng, of[begins], p.block)
-        x = ctx[at] * real[..., None]
-        t = target[at]
         log_noise = cells.log_inner + np.float32(math.log(p.block))
-        qt, qn = w["q"][t], w["q"][drawn]
-        up = (_chance(log_noise[t] - np.einsum("bij,bij->bi", x, qt)) * real)[..., None]
-        down = -_chance(x @ qn.transpose(0, 2, 1) - log_noise[drawn][:, None, :]) * real[..., None]
-        d_ctx[at[real]] += (up * qt + down @ qn)[real]
-        steps.append(("q", np.concatenate([t[real], drawn.ravel()]),
-                      np.concatenate([(up * x)[real], (down.transpose(0, 2, 1) @ x).reshape(-1, x.shape[2])])))
+        x, t = ctx.take(inner, 0), target[inner]
+        qt, qn = w["q"].take(t, 0), w["q"].take(drawn, 0)
+        blocks = np.zeros((drawn.size, x.shape[1]), np.float32)
+        blocks[slot] = x
+        blocks = blocks.reshape(qn.shape)
+        real = np.zeros(drawn.size, np.float32)
+        real[slot] = -1
+        up = _chance(log_noise[t] - np.einsum("ij,ij->i", x, qt))[:, None]
+        down = _chance(blocks @ qn.transpose(0, 2, 1) - log_noise[drawn][:, None, :]) * real.reshape(*drawn.shape, 1)
+        d_ctx[inner] += up * qt + (down @ qn).reshape(-1, x.shape[1]).take(slot, 0)
+        steps.append(("q", np.concatenate([t, drawn.ravel()]),
+                      np.concatenate([up * x, (down.transpose(0, 2, 1) @ blocks).reshape(-1, x.shape[1])]), 1))
     d_ctx = d_ctx[:, :-1]
-    steps.append(("c", np.array([0, 1]), np.stack([(d_ctx * w["r"][h1]).sum(0), (d_ctx * w["r"][h2]).sum(0)])))
-    steps.append(("r", np.concatenate([h1, h2]), np.concatenate([d_ctx * w["c"][0], d_ctx * w["c"][1]])))
-    for name, rows, delta in steps:
-        _climb(w[name], state[name], met[name], rows, delta, p.rate)
+    steps.append(("c", np.array([0, 1]), np.stack([np.einsum("ij,ij->j", d_ctx, r1), np.einsum("ij,ij->j", d_ctx, r2)]), 1))
+    # A word is the first context of one token and mostly the second of the next: one row for both.
+    near, far = d_ctx * w["c"][0], d_ctx * w["c"][1]
+    both = np.append(h1[:-1] == h2[1:], False)
+    near[:-1] += far[1:] * both[:-1, None]
+    alone = np.append(0, np.flatnonzero(~both[:-1]) + 1)
+    steps.append(("r", np.concatenate([h1, h2[alone]]), np.concatenate([near, far[alone]]), np.append(1 + both, np.ones(len(alone)))))
+    for name, rows, delta, times in steps:
+        _climb(w[name], state[name], met[name], rows, delta, times, p.rate)
 
 
 def _train_round(train: DataFrame, w: dict, cells: Cells, total: int, p: LmParams) -> dict:
@@ -326,18 +388,26 @@ def _train_round(train: DataFrame, w: dict, cells: Cells, total: int, p: LmParam
     return out
 
 
+def _reach(ctx: np.ndarray, table: np.ndarray) -> float:
+    """No score of these contexts is above this, nor below its negative, rows without a chance apart."""
+    real = table[table[:, -1] > -1e8]
+    if not len(real):
+        return math.inf
+    return np.sqrt((ctx ** 2).sum(1).max(initial=0) * (real[:, :-1] ** 2).sum(1).max()) + abs(real[:, -1]).max()
+
+
 def _log_sums(ctx: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Log of the sum of exponentials over all rows of the table, by matrix products
     that stay in the processor's cache."""
     out = np.empty(len(ctx), np.float32)
     rows = max(16, (1 << 17) // len(table))
-    columns = np.ascontiguousarray(table.T)
-    # No score is above this; only where sums could overflow or vanish each row's largest is taken off.
-    reach = np.sqrt((ctx[:, :-1] ** 2).sum(1).max(initial=0) * (table[:, :-1] ** 2).sum(1).max()) + abs(table[:, -1].max())
+    columns, ones = np.ascontiguousarray(table.T), np.ones(len(table), np.float32)
+    # Only where sums could overflow or vanish each row's largest is taken off.
+    reach = _reach(ctx[:, :-1], table)
     for at in range(0, len(ctx), rows):
         s = _product(ctx[at:at + rows], columns)
         if reach < 60:
-            out[at:at + rows] = np.log(np.exp(s, out=s).sum(1))
+            out[at:at + rows] = np.log(np.einsum("ij,j->i", np.exp(s, out=s), ones))
         else:
             top = s.max(1, keepdims=True)
             s -= top
@@ -345,6 +415,41 @@ def _log_sums(ctx: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
+def _compact(cells: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct cells, and the place of each cell among them."""
+    seen = np.zeros(width, bool)
+    seen[cells] = True
+    return np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - 1)[cells]
+
+
+def _log_pair_sums(w: dict, h1: np.ndarray, h2: np.ndarray, columns: int = 144, tile: int = 512, rows: int = 1024) -> np.ndarray:
+    """Log of the sum of exponentials over all groups, for pairs of cells before in order of
+    the first. A score is the sum of a part of each cell, so its exponential is a product:
+    exponentials are taken once for a cell, and a pair is a dot product of two rows."""
+    (u1, i1), (u2, i2) = (_compact(h, len(w["r"])) for h in (h1, h2))
+    a, b = w["r"].take(u1, 0) * w["c"][0], w["r"].take(u2, 0) * w["c"][1]
+    if not _reach(a, w["g"]) + _reach(b, w["g"]) < 60:  # products could overflow or vanish
+        return np.concatenate([_log_sums(_context(w, h1[i:i + (1 << 16)], h2[i:i + (1 << 16)]), w["g"]) for i in range(0, len(h1), 1 << 16)])
+    sums = np.zeros(len(h1), np.float32)
+    edges = np.searchsorted(i1, np.arange(0, len(u1) + tile, tile))
+    buffers = np.empty((2, rows, columns), np.float32)
+    for table in np.array_split(w["g"], -(-len(w["g"]) // columns)):
+        vectors = np.ascontiguousarray(table.T)
+        left, right = (v.reshape(-1)[:rows * vectors.shape[1]].reshape(rows, -1) for v in buffers)
+        second = _product(b, vectors[:-1])
+        second += vectors[-1]
+        np.exp(second, out=second)
+        for k, (i, end) in enumerate(zip(edges, edges[1:])):
+            first = _product(a[k * tile:(k + 1) * tile], vectors[:-1])
+            np.exp(first, out=first)
+            for i in range(i, end, rows):
+                n = min(rows, end - i)
+                first.take(i1[i:i + n] - k * tile, 0, left[:n], "clip")
+                second.take(i2[i:i + n], 0, right[:n], "clip")
+                sums[i:i + n] += np.einsum("ij,ij->i", left[:n], right[:n])
+    return np.log(sums)
+
+
 @dataclass
 class LanguageModel:
     params: LmParams
@@ -358,29 +463,36 @@ class LanguageModel:
 
     def log_probability(self, cell, h1, h2) -> tuple[np.ndarray, np.ndarray]:
         """log P(cell | two cells before) and log P(unknown word | two cells before)."""
-        logp, unknown = np.empty(len(cell)), np.empty(len(cell))
-        for at in range(0, len(cell), 1 << 18):
-            part = slice(at, at + (1 << 18))
-            logp[part], unknown[part] = self._log_probability(cell[part], h1[part], h2[part])
-        return logp, unknown
-
-    def _log_probability(self, cell, h1, h2):
         w, cells = self.weights, self.cells
-        width = len(cells.share) + 1
-        pairs, of = np.unique(h1 * width + h2, return_inverse=True)  # each distinct context once
-        ctx = _context(w, pairs // width, pairs % width)
-        log_z = _log_sums(ctx, w["g"])
+        # In order of the cells before, each distinct pair once.
+        order = _order(h2)
+        order = order[_order(h1[order])]
+        a, b = h1[order], h2[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[:len(a)]
+        of = np.empty(len(cell), np.int32)
+        of[order] = np.cumsum(new, dtype=np.int32) - 1
+        a, b = a[new], b[new]
+        log_z = _log_pair_sums(w, a, b)
         group = cells.group[cell]
-        logp = np.einsum("ij,ij->i", ctx[of], w["g"][group]) - log_z[of]
-        inner = np.flatnonzero(cells.size[group] > 1)
-        inner = inner[np.argsort(group[inner], kind="stable")]
+        logp, unknown = np.empty(len(cell)), np.empty(len(cell))
+        for at in range(0, len(cell), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            ctx = _context(w, h1[part], h2[part])
+            logp[part] = np.einsum("ij,ij->i", ctx, w["g"].take(group[part], 0)) - log_z[of[part]]
+            unknown[part] = ctx @ w["g"][1] - log_z[of[part]]
+        # The tokens of a group are neighbours, those with the same pair too.
+        inner = order[cells.size[group[order]] > 1]
+        inner = inner[_order(group[inner])]
         edges = np.flatnonzero(np.diff(group[inner], prepend=-1, append=-1))
-        for a, b in zip(edges, edges[1:]):
-            at = inner[a:b]
-            first, last = cells.starts[group[at[0]]], cells.starts[group[at[0]] + 1]
-            x = ctx[of[at]]
-            logp[at] += np.einsum("ij,ij->i", x, w["q"][cell[at]]) - _log_sums(x, w["q"][first:last])
-        return logp, (np.einsum("ij,j->i", ctx, w["g"][1]) - log_z)[of]
+        for at, to in zip(edges, edges[1:]):
+            tokens = inner[at:to]
+            first, last = cells.starts[group[tokens[0]]], cells.starts[group[tokens[0]] + 1]
+            pairs = of[tokens]
+            new = np.append(True, pairs[1:] != pairs[:-1])
+            ctx = _context(w, a[pairs[new]], b[pairs[new]])
+            again = np.cumsum(new) - 1
+            logp[tokens] += np.einsum("ij,ij->i", ctx.take(again, 0), w["q"].take(cell[tokens], 0)) - _log_sums(ctx, w["q"][first:last])[again]
+        return logp, unknown
 
     def log_rest(self, cell: np.ndarray) -> np.ndarray:
         """Log of the discounted tokens of a hashed cell, 0 elsewhere."""
@@ -469,24 +581,27 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     lean = LanguageModel(**{**model.__dict__, "counts": None})  # what the tasks need
     denominator = math.log10(model.total + model.distinct + 1)
     hot_keys, hot_n = model.hot
+    hot_words, hot_cells = KeyTable(hot_keys), model.cells.of(hot_keys)
     id_type = docs.schema["doc_id"].dataType
 
     def run(batches):
         for number, batch in enumerate(batches):
             id_column = batch.column(0)
-            for first, n, keys, row in word_keys(batch, 1):
+            for first, n, keys, row in word_blocks(batch, 1):
                 stream, row, ends = with_ends(n, keys, row)
-                cell = lean.cells.of(stream)
+                place = hot_words.places(stream)
+                hot = place >= 0
+                cell = np.empty(len(stream), np.int32)
+                cell[hot], cell[~hot] = hot_cells[place[hot]], lean.cells.of(stream[~hot])
+                c = hot_n[place[hot]]
                 logp, unknown = lean.log_probability(cell, *_contexts(cell, ends, len(lean.cells.share)))
                 logp -= lean.log_rest(cell)
-                c = _look_up(stream, hot_keys, hot_n, -1)   # -1: not among the hot words
-                hot = c >= 0
-                logp[hot] += np.where(lean.cells.left[cell[hot]] > 0, np.log(c[hot] - lean.discount), 0.0)
+                logp[hot] += np.where(lean.cells.left[cell[hot]] > 0, np.log(c - lean.discount), 0.0)
                 logp /= math.log(10)
                 unknown /= math.log(10)
                 sums = {"lm": np.bincount(row[hot], logp[hot], n), "n_tokens": np.bincount(row, minlength=n),
                         "n_known": np.bincount(row[hot], minlength=n),
-                        "base": np.bincount(row[hot], np.log10(c[hot] + 1.0), n)}
+                        "base": np.bincount(row[hot], np.log10(c + 1.0), n)}
                 # One head row a document, then one row for each of its distinct words without a count so far.
                 r_open, k_open = row[~hot], stream[~hot]
                 order = np.lexsort((k_open, r_open))
@@ -503,7 +618,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     r, k, t, x, y = (v[at:at + (1 << 16)] for v in (r_open, k_open, times, lm, lm_unknown))
                     zero = np.zeros(len(r), np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(len(r), id_column.type), pa.array(np.full(len(r), number)), pa.array(r + first), pa.array(signed(k)),
+                        [pa.nulls(len(r), id_column.type), pa.array(np.full(len(r), number)), pa.array((r + first).astype(np.int64)), pa.array(signed(k)),
                          pa.array(np.zeros(len(r), bool)), pa.array(t), pa.array(zero), pa.array(zero), pa.array(zero.astype(float)), pa.array(x), pa.array(y)], schema=schema(id_column.type))
 
     def schema(id_arrow):
