@@ -8,8 +8,8 @@ other words share hashed cells. The numbers of both kinds of cells grow with the
 square root of the vocabulary. A word's probability has three steps:
 
 * a log-bilinear network gives the group of the cell from the two cells before,
-  ``score = (c1 * r[h1] + c2 * r[h2]) . g[group] + bias``, normalised by a batched
-  matrix product over all groups; the most frequent cells are groups of their
+  ``score = (c1 * r[h1] + c2 * r[h2]) . g[group] + bias``, normalised over all groups
+  by batched products of each cell's exponentials; the most frequent cells are groups of their
   own, the others lie in groups of like frequency, about as many as cells in each;
 * in a group of several cells a second product gives the cell, normalised over
   the cells of the group;
@@ -80,19 +80,21 @@ def word_keys(batch, column):
 def word_blocks(batch, column, size: int = 1 << 21):
     """``word_keys`` with neighbouring runs joined up to some ``size`` words."""
     held, words = [], 0
-    for run in word_keys(batch, column):
-        if held and words + len(run[2]) + run[1] > size:
-            yield _joined(held)
-            held, words = [], 0
-        held.append(run)
-        words += len(run[2]) + run[1]
-    if held:
-        yield _joined(held)
-
 
-def _joined(runs):
-    first = runs[0][0]
-    return first, sum(n for _, n, _, _ in runs), np.concatenate([k for _, _, k, _ in runs]), np.concatenate([(r + (at - first)).astype(np.int32) for at, _, _, r in runs])
+    def joined():
+        first, rows = held[0][0], sum(n for _, n, _, _ in held)
+        out = first, rows, np.concatenate([k for _, _, k, _ in held]), np.concatenate([r + np.int32(at - first) for at, _, _, r in held])
+        held.clear()  # not kept while the block is in use
+        return out
+
+    for first, n, keys, row in word_keys(batch, column):
+        if held and words + len(keys) + n > size:
+            yield joined()
+            words = 0
+        held.append((first, n, keys, row.astype(np.int32)))
+        words += len(keys) + n
+    if held:
+        yield joined()
 
 
 def with_ends(n: int, keys: np.ndarray, row: np.ndarray):
@@ -422,20 +424,21 @@ def _compact(cells: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - 1)[cells]
 
 
-def _log_pair_sums(w: dict, h1: np.ndarray, h2: np.ndarray, columns: int = 144, tile: int = 512, rows: int = 1024) -> np.ndarray:
+def _log_pair_sums(w: dict, h1: np.ndarray, h2: np.ndarray, held: int = 3 << 22, tile: int = 512, rows: int = 1024) -> np.ndarray:
     """Log of the sum of exponentials over all groups, for pairs of cells before in order of
     the first. A score is the sum of a part of each cell, so its exponential is a product:
-    exponentials are taken once for a cell, and a pair is a dot product of two rows."""
+    exponentials are taken once for a cell, and a pair is a dot product of two rows. At
+    most ``held`` exponentials of second cells are kept at a time."""
     (u1, i1), (u2, i2) = (_compact(h, len(w["r"])) for h in (h1, h2))
     a, b = w["r"].take(u1, 0) * w["c"][0], w["r"].take(u2, 0) * w["c"][1]
     if not _reach(a, w["g"]) + _reach(b, w["g"]) < 60:  # products could overflow or vanish
         return np.concatenate([_log_sums(_context(w, h1[i:i + (1 << 16)], h2[i:i + (1 << 16)]), w["g"]) for i in range(0, len(h1), 1 << 16)])
     sums = np.zeros(len(h1), np.float32)
     edges = np.searchsorted(i1, np.arange(0, len(u1) + tile, tile))
-    buffers = np.empty((2, rows, columns), np.float32)
+    columns = min(144, max(8, held // max(1, len(u2))))
     for table in np.array_split(w["g"], -(-len(w["g"]) // columns)):
         vectors = np.ascontiguousarray(table.T)
-        left, right = (v.reshape(-1)[:rows * vectors.shape[1]].reshape(rows, -1) for v in buffers)
+        left, right = np.empty((2, rows, len(table)), np.float32)
         second = _product(b, vectors[:-1])
         second += vectors[-1]
         np.exp(second, out=second)
@@ -589,6 +592,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
             id_column = batch.column(0)
             for first, n, keys, row in word_blocks(batch, 1):
                 stream, row, ends = with_ends(n, keys, row)
+                del keys
                 place = hot_words.places(stream)
                 hot = place >= 0
                 cell = np.empty(len(stream), np.int32)

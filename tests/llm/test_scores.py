@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerflow.llm import language_id, lm_score
@@ -187,6 +188,92 @@ def test_nce_learns_what_follows_what():
     assert np.exp(model.log_probability(loop[[2]], loop[[0]], loop[[4]])[0])[0] < 0.1
 
 
+def lm_tables(rng, groups, cells, dim=8):
+    return {"r": rng.normal(0, 1, (cells, dim)).astype(np.float32), "g": rng.normal(0, 1, (groups, dim + 1)).astype(np.float32),
+            "c": rng.normal(1, .2, (2, dim)).astype(np.float32)}
+
+
+def test_lm_normaliser_takes_exponentials_by_cell_not_by_pair(monkeypatch):
+    """With many pairs of few cells before, the products grow with the cells."""
+    rng = np.random.default_rng(3)
+    sizes = []
+    product = lm_score._product
+    monkeypatch.setattr(lm_score, "_product", lambda a, b: sizes.append(len(a) * b.shape[1]) or product(a, b))
+    groups, cells = 50, 60
+    w = lm_tables(rng, groups, cells) | {"q": np.zeros((groups, 9), np.float32)}
+    one = lm_score.Cells(np.array([lm_score.END]), np.array([0]), np.arange(16), np.full(groups, 1 / groups), np.zeros(groups), np.zeros(groups), np.arange(groups + 1))
+    model = lm_score.LanguageModel(lm_score.LmParams(), w, one, None, 0, 0, .5, None)
+    h1, h2 = (x.ravel() for x in np.meshgrid(np.arange(cells - 1), np.arange(cells - 1)))
+    target = rng.integers(0, groups, len(h1))
+    got, unknown = model.log_probability(target, h1, h2)
+    assert sum(sizes) <= 2 * cells * groups < len(h1) * groups / 10
+    scores = lm_score._context(w, h1, h2).astype(float) @ w["g"].astype(float).T
+    want = scores - np.log(np.exp(scores).sum(1, keepdims=True))
+    assert got == pytest.approx(want[np.arange(len(h1)), target], abs=1e-4)
+    assert unknown == pytest.approx(want[:, 1], abs=1e-4)
+
+
+@pytest.mark.parametrize("scale", [1, 30])
+def test_lm_normaliser_by_brute_force(scale):
+    """Also in several parts, with rows without a chance, and where exponentials would overflow."""
+    rng = np.random.default_rng(4)
+    w = lm_tables(rng, 70, 40)
+    w["g"] *= scale
+    w["g"][[3, 69], -1] = -1e9
+    pairs = np.unique(rng.integers(0, 40, (500, 2)), axis=0)
+    scores = lm_score._context(w, *pairs.T).astype(float) @ w["g"].astype(float).T
+    top = scores.max(1, keepdims=True)
+    want = top[:, 0] + np.log(np.exp(scores - top).sum(1))
+    for sizes in ({}, {"held": 1, "tile": 7, "rows": 5}):
+        assert lm_score._log_pair_sums(w, *pairs.T, **sizes) == pytest.approx(want, rel=1e-4, abs=1e-4)
+
+
+def test_lm_key_table_and_blocks(make_docs):
+    rng = np.random.default_rng(5)
+    some = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+    for keys in (some[:0], some[:1], some, np.append(np.arange(3000, dtype=np.uint64), some), np.append(some, np.uint64(2**64 - 1))):
+        keys = np.unique(keys)
+        asked = np.concatenate([keys, some, rng.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 1, 2**64 - 1], np.uint64)])
+        place = {k: i for i, k in enumerate(keys.tolist())}
+        assert lm_score.KeyTable(keys).places(asked).tolist() == [place.get(k, -1) for k in asked.tolist()]
+    texts = pa.record_batch({"text": ["a b " * (i % 7) for i in range(50)] + [None, "x" * (SLICE_BYTES + 1), "", "y z"]})
+    whole = [(k, first + r) for first, n, keys, row in lm_score.word_keys(texts, 0) for k, r in zip(keys.tolist(), row.tolist())]
+    for size in (1, 40, 1 << 20):
+        blocks = list(lm_score.word_blocks(texts, 0, size))
+        assert [(k, first + r) for first, n, keys, row in blocks for k, r in zip(keys.tolist(), row.tolist())] == whole
+        assert [b[0] for b in blocks] == np.cumsum([0] + [b[1] for b in blocks])[:-1].tolist() and sum(b[1] for b in blocks) == 54
+
+
+def test_lm_training_step_sums_rows_that_repeat():
+    """One step, also where the contexts are no stream, moves each row by the sum of its gradients."""
+    p = lm_score.LmParams(dim=4, noise=3, batch=32, heads=2)
+    cells = lm_score.make_cells(np.array([7, 8, 9, 10], np.uint64), np.array([9, 8, 7, 6]), 9, np.full(2, 4.0), np.full(2, 1.0), 0.5, p)
+    start = len(cells.share)
+    rng = np.random.default_rng(6)
+    stream = rng.integers(0, start, 34)
+    for h1, h2 in ((stream[1:-1], stream[:-2]), (rng.integers(0, start + 1, 32), rng.integers(0, start + 1, 32)), (stream[:1], stream[1:2])):
+        target = rng.integers(0, start, len(h1))
+        w = lm_score.initial_parameters(p, cells)
+        old = {k: v.copy() for k, v in w.items()}
+        state, met = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros(len(v)) for k, v in w.items()}
+        lm_score.nce_step(w, h1, h2, target, cells, state, met, np.random.default_rng(1), p)
+        assert met["r"].tolist() == np.bincount(np.append(h1, h2), minlength=start + 1).tolist()
+        assert met["g"].sum() == len(h1) + p.noise
+        # The gradient by loops, with the same noise.
+        again = np.random.default_rng(1)
+        ctx = np.append(old["r"][h1] * old["c"][0] + old["r"][h2] * old["c"][1], np.ones((len(h1), 1)), 1).astype(float)
+        noise = cells.draw_groups(again, p.noise)
+        group = cells.group[target]
+        grad = np.zeros_like(old["g"], dtype=float)
+        chance = lambda k, i: 1 / (1 + np.exp(cells.log_group[k] + math.log(p.noise) - ctx[i] @ old["g"][k]))
+        for i in range(len(h1)):
+            grad[group[i]] += (1 - chance(group[i], i)) * ctx[i]
+            for k in noise:
+                grad[k] -= chance(k, i) * ctx[i]
+        assert state["g"] == pytest.approx(grad ** 2, rel=1e-3, abs=1e-5)
+        assert w["g"] - old["g"] == pytest.approx(p.rate * grad / np.sqrt(grad ** 2 + 1e-8), rel=1e-2, abs=1e-3)
+
+
 def test_lm_without_training_rows(make_docs):
     out = lm_score.score_folds(make_docs([(i, "a b") for i in range(50) if fold(i, 7) == 2])).collect()
     assert out and all(r.n_known == 0 and r.train_tokens == 0 and r.n_tokens == 3 for r in out)
