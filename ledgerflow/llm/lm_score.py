@@ -51,6 +51,7 @@ from ledgerflow.llm.common import (
     LOWER, id_remainder, materialize, mix64, signed, span_hashes, text_slices, unsigned, word_spans,
 )
 
+TILE_BITS = 9  # so many neighbouring cells' exponentials stay in the processor's cache
 END = np.uint64(1)  # the end token's key; words with this hash do not occur in practice
 
 
@@ -403,12 +404,12 @@ def _log_sums(ctx: np.ndarray, table: np.ndarray) -> np.ndarray:
     that stay in the processor's cache."""
     out = np.empty(len(ctx), np.float32)
     rows = max(16, (1 << 17) // len(table))
-    columns, ones = np.ascontiguousarray(table.T), np.ones(len(table), np.float32)
     # Only where sums could overflow or vanish each row's largest is taken off.
-    reach = _reach(ctx[:, :-1], table)
+    small = _reach(ctx[:, :-1], table) < 60
+    columns, ones = np.ascontiguousarray(table.T), np.ones(len(table), np.float32)
     for at in range(0, len(ctx), rows):
         s = _product(ctx[at:at + rows], columns)
-        if reach < 60:
+        if small:
             out[at:at + rows] = np.log(np.einsum("ij,j->i", np.exp(s, out=s), ones))
         else:
             top = s.max(1, keepdims=True)
@@ -424,9 +425,9 @@ def _compact(cells: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - 1)[cells]
 
 
-def _log_pair_sums(w: dict, h1: np.ndarray, h2: np.ndarray, held: int = 3 << 22, tile: int = 512, rows: int = 1024) -> np.ndarray:
+def _log_pair_sums(w: dict, h1: np.ndarray, h2: np.ndarray, held: int = 3 << 22, rows: int = 1024) -> np.ndarray:
     """Log of the sum of exponentials over all groups, for pairs of cells before in order of
-    the first. A score is the sum of a part of each cell, so its exponential is a product:
+    the first cells' tiles. A score is the sum of a part of each cell, so its exponential is a product:
     exponentials are taken once for a cell, and a pair is a dot product of two rows. At
     most ``held`` exponentials of second cells are kept at a time."""
     (u1, i1), (u2, i2) = (_compact(h, len(w["r"])) for h in (h1, h2))
@@ -434,7 +435,8 @@ def _log_pair_sums(w: dict, h1: np.ndarray, h2: np.ndarray, held: int = 3 << 22,
     if not _reach(a, w["g"]) + _reach(b, w["g"]) < 60:  # products could overflow or vanish
         return np.concatenate([_log_sums(_context(w, h1[i:i + (1 << 16)], h2[i:i + (1 << 16)]), w["g"]) for i in range(0, len(h1), 1 << 16)])
     sums = np.zeros(len(h1), np.float32)
-    edges = np.searchsorted(i1, np.arange(0, len(u1) + tile, tile))
+    tiles = np.arange((len(w["r"]) >> TILE_BITS) + 2)
+    edges, cells = np.searchsorted(h1 >> TILE_BITS, tiles), np.searchsorted(u1 >> TILE_BITS, tiles)
     columns = min(144, max(8, held // max(1, len(u2))))
     for table in np.array_split(w["g"], -(-len(w["g"]) // columns)):
         vectors = np.ascontiguousarray(table.T)
@@ -442,12 +444,12 @@ def _log_pair_sums(w: dict, h1: np.ndarray, h2: np.ndarray, held: int = 3 << 22,
         second = _product(b, vectors[:-1])
         second += vectors[-1]
         np.exp(second, out=second)
-        for k, (i, end) in enumerate(zip(edges, edges[1:])):
-            first = _product(a[k * tile:(k + 1) * tile], vectors[:-1])
+        for start, end, low, high in zip(edges, edges[1:], cells, cells[1:]):
+            first = _product(a[low:high], vectors[:-1])
             np.exp(first, out=first)
-            for i in range(i, end, rows):
+            for i in range(start, end, rows):
                 n = min(rows, end - i)
-                first.take(i1[i:i + n] - k * tile, 0, left[:n], "clip")
+                first.take(i1[i:i + n] - low, 0, left[:n], "clip")
                 second.take(i2[i:i + n], 0, right[:n], "clip")
                 sums[i:i + n] += np.einsum("ij,ij->i", left[:n], right[:n])
     return np.log(sums)
@@ -467,9 +469,10 @@ class LanguageModel:
     def log_probability(self, cell, h1, h2) -> tuple[np.ndarray, np.ndarray]:
         """log P(cell | two cells before) and log P(unknown word | two cells before)."""
         w, cells = self.weights, self.cells
-        # In order of the cells before, each distinct pair once.
-        order = _order(h2)
-        order = order[_order(h1[order])]
+        # In order of the first cell's tile, the second cell and the first, each distinct pair once.
+        order = _order(h1 & ((1 << TILE_BITS) - 1))
+        order = order[_order(h2[order])]
+        order = order[_order(h1[order] >> TILE_BITS)]
         a, b = h1[order], h2[order]
         new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[:len(a)]
         of = np.empty(len(cell), np.int32)
