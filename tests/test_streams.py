@@ -7,9 +7,20 @@ import os
 
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.merge import EVENTS_LAYOUT, merge_by_key, write_full
+from ledgerflow.plans import incremental as INC
+from ledgerflow.schemas import EVENT_SCHEMA, PAYMENT_ROUTING, TRANSACTION_ROUTING
 from ledgerflow.session import local_path
 from ledgerflow.sources import json_files as J
 from ledgerflow.sources import landing as L
+from ledgerflow.streaming import streams as ST
+
+AS_OF = dt.datetime(2024, 1, 31)
+
+
+def _files(spark, texts):
+    rows = [(t, f"f{i}.json", dt.datetime(2024, 1, 9, 0, i)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "text string, source_file string, file_mtime timestamp").repartition(4)
 
 
 def _hours(spark, n, hours=(10, 11)):
@@ -58,3 +69,42 @@ def test_small_files_share_tasks(spark, tmp_root):
         assert rows.count() == 200
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_an_epoch_has_a_file_a_day(spark, tmp_root):
+    texts = [json.dumps([{"transaction_id": f"T{f}{d}", "posted_at": f"2024-01-0{d}T10:00:00"} for d in range(1, 6)]) for f in range(8)]
+    rows = ST.append_epoch(_files(spark, texts), 0, f"{tmp_root}/raw", TRANSACTION_ROUTING, lambda epoch: AS_OF)
+    out = local_path(spark, f"{tmp_root}/raw/epoch=0")
+    assert len(glob.glob(f"{out}/route_date=*/part-*")) == 5
+    assert {(r.epoch, r.record_key) for r in rows.collect()} == {(0, f"T{f}{d}") for f in range(8) for d in range(1, 6)}
+    assert rows.count() == 40
+
+
+def test_payments_relink_what_they_link(spark, tmp_root):
+    tx = [("T1", "M1", 10.0), ("T2", "M1", 20.0), ("T3", "M1", 30.0), ("T4", "M2", 10.0), ("T5", "M1", None)]
+    day = dt.date(2024, 1, 5)
+    rows = [{f.name: None for f in EVENT_SCHEMA} | {"transaction_id": t, "member_id": m, "amount": a, "event_date": day} for t, m, a in tx]
+    write_full(spark.createDataFrame([tuple(r[f.name] for f in EVENT_SCHEMA) for r in rows], EVENT_SCHEMA), f"{tmp_root}/events", EVENTS_LAYOUT)
+    pay = lambda amount, status: json.dumps({"payment_id": "P1", "member_id": "M1", "amount": amount, "payment_status": status, "scheduled_date": "2024-01-05"})
+    for epoch, text in enumerate((pay(10.0, "SETTLED"), pay(20.0, "SETTLED"), pay(30.0, "FAILED"), pay(None, "SETTLED"))):
+        ST.append_epoch(_files(spark, [text]), epoch, f"{tmp_root}/pay", PAYMENT_ROUTING, lambda epoch: AS_OF)
+    changed = spark.createDataFrame([("P1",)], "record_key string")
+    keys = lambda **kw: {r[0] for r in INC.relinked_transactions(spark, f"{tmp_root}/events", ST.read_epochs(spark, f"{tmp_root}/pay"), changed, AS_OF, **kw).collect()}
+    assert keys(by_amount=True) == {"T1", "T2"}     # of an older settled version and of the newer one
+    assert keys() == {"T1", "T2", "T3", "T5"}
+
+
+def test_a_merge_reads_its_rows_once(spark, tmp_root):
+    schema = "event_date date, transaction_id string"
+    day = lambda n: dt.date(2024, 1, n)
+    write_full(spark.createDataFrame([(day(1), "a"), (day(2), "b"), (None, "c"), (day(3), "d")], schema), f"{tmp_root}/t", EVENTS_LAYOUT.partition_col)
+    seen = spark.sparkContext.accumulator(0)
+    batch = spark.createDataFrame([(day(2), "a"), (None, "x")], schema)
+    counted = batch.mapInArrow(lambda it: (seen.add(b.num_rows) or b for b in it), schema)
+    gone = spark.createDataFrame([("a",), ("c",)], "transaction_id string")
+    merge_by_key(spark, f"{tmp_root}/t", counted, ["transaction_id"], "event_date", checkpoint=False,
+                 partitions=[day(1), day(2), None], delete_keys=gone)
+    rows = {(r.event_date, r.transaction_id) for r in spark.read.parquet(f"{tmp_root}/t").collect()}
+    assert rows == {(day(2), "a"), (day(2), "b"), (None, "x"), (day(3), "d")}
+    assert not os.path.exists(local_path(spark, f"{tmp_root}/t/event_date=2024-01-01"))
+    assert seen.value == 2
