@@ -21,6 +21,9 @@ Malformed input does not stop a load: a record that is not a JSON object, a CSV
 line that does not fit its header and a Parquet file that is none are kept with
 ``is_error`` and counted as errored; the staging views read only good rows.
 
+A JSON file larger than ``json_files.HELD_BYTES`` is never held whole: its text is read in parts,
+brought into order by a sort and cut there.
+
 CSV files are read in groups of one header. Parquet files are read together where
 their schemas merge (Spark reads the footers in tasks), else in groups of one schema,
 so each keeps its own columns and types. A Parquet file must give as many rows as its
@@ -48,6 +51,7 @@ from pyspark.sql import types as T
 from ledgerflow.functions.expressions import as_of_literal
 from ledgerflow.schemas import PAYMENT_ROUTING, ROUTING, TRANSACTION_ROUTING  # noqa: F401
 from ledgerflow.session import delete_path, list_entries, path_exists
+from ledgerflow.sources import json_files as J
 from ledgerflow.sources.json_files import explode_json_text, list_files
 
 RAW_TABLE_SCHEMA = T.StructType([
@@ -260,14 +264,49 @@ def _parquet_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
                      F.col("_metadata.row_index").cast("long").alias("source_row"), F.lit(False).alias("is_error"))
 
 
+def _larger(pending: DataFrame) -> list[str]:
+    return [r[0] for r in pending.where(F.col("file_size") > J.HELD_BYTES).select("source_file").orderBy("source_file").collect()]   # those of one batch
+
+
+def _large_files(spark: SparkSession, names: list[str]) -> list[str]:
+    """The files that can be read in parts: a compressed one's bytes are no text."""
+    codecs = spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    return [p for p in names if codecs.getCodec(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)) is None]
+
+
+def _marked(spark: SparkSession, path: str) -> bool:
+    """Whether a file begins with a byte order mark."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        return [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
+    finally:
+        stream.close()
+
+
+def _texts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Texts of files up to each ``}``."""
+    marked = [p for p in paths if _marked(spark, p)]
+    rows = spark.read.format("text").option("lineSep", "}").option("recursiveFileLookup", True).load(_literal(paths))
+    return rows.select(_file_path().alias("source_file"), F.col("_metadata.file_size").alias("file_size"), "value",
+                       F.col("_metadata.file_block_start").alias("at"), _file_path().isin(marked).alias("mark"))
+
+
 def _record_rows(spark: SparkSession, files: DataFrame, pending: DataFrame, groups: dict, fmt: str) -> DataFrame:
     """Records of the pending files: raw_payload, source_row, is_error, FILE_KEY.
     ``groups``: paths by header or schema, of the formats that have one."""
     if fmt == "json":
         # The pending keys are those of one batch's files.
         text = F.make_valid_utf8(F.col("content").cast("string"))     # A4
-        return explode_json_text(files.select(*FILE_KEY, text.alias("text"))
+        larger = _larger(pending)
+        large = _large_files(spark, larger)
+        # The size first, so that the content of a large file is not read.
+        held = files.where((F.col("file_size") <= J.HELD_BYTES) | F.col("source_file").isin([p for p in larger if p not in large]))
+        rows = explode_json_text(held.select(*FILE_KEY, text.alias("text"))
                                  .join(F.broadcast(pending), FILE_KEY, "left_semi"))
+        if large:
+            rows = rows.unionByName(J.large_json_rows(_texts(spark, large)).join(F.broadcast(pending), "source_file"))
+        return rows
     out = spark.createDataFrame([], "source_file string, file_size long, file_mtime timestamp, "
                                     "source_row long, raw_payload string, is_error boolean")
     m = F.col("_m")
