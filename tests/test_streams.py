@@ -108,3 +108,30 @@ def test_a_merge_reads_its_rows_once(spark, tmp_root):
     assert rows == {(day(2), "a"), (day(2), "b"), (None, "x"), (day(3), "d")}
     assert not os.path.exists(local_path(spark, f"{tmp_root}/t/event_date=2024-01-01"))
     assert seen.value == 2
+
+
+def test_stream_state_is_kept_on_disk(spark, tmp_root):
+    rows = _hours(spark, 50).select(F.col("transaction_id").alias("k"), F.lit(dt.datetime(2024, 1, 5)).cast("timestamp_ntz").alias("posted_at"))
+    for _ in range(2):      # what comes again is dropped by the state of the run before
+        rows.write.mode("append").parquet(f"{tmp_root}/in")
+        before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", *ST.STATE_STORE)}
+        s = ST.dedupe_first_arrival(spark.readStream.schema(rows.schema).parquet(f"{tmp_root}/in"), "k")
+        ST.run_available(s.select("k").writeStream.format("parquet").option("checkpointLocation", f"{tmp_root}/c").option("path", f"{tmp_root}/out"), spark)
+        assert {k: spark.conf.get(k, None) for k in before} == before
+        assert spark.read.parquet(f"{tmp_root}/out").count() == 50
+    state = f"{local_path(spark, tmp_root)}/c/state/0"
+    assert len(glob.glob(f"{state}/*/*.zip")) > 0 and not glob.glob(f"{state}/*/*.delta")
+
+
+def test_daily_states_join_their_feeds_once(spark, monkeypatch):
+    from ledgerflow.plans import extension_queries as EQ
+    from ledgerflow.plans.registry import settle_streams
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(*args):
+        joined = settle_streams(*args)
+        return joined.mapInArrow(lambda it: (seen.add(b.num_rows) or b for b in it), joined.schema)
+    monkeypatch.setattr(EQ, "settle_streams", counted)
+    out = EQ.q_stream_daily_states(spark, "/root/testdata/sf0.001")
+    n = out.agg(F.sum("total_transactions")).first()[0]
+    assert seen.value == n > 0
